@@ -11,7 +11,7 @@ from urbanflow.functions.names import col_q
 from urbanflow.functions.numbers import present
 from urbanflow.operators.aggregates import with_keys
 from urbanflow.operators.quantiles import exact_quantiles
-from urbanflow.operators.statistics import long_form
+from urbanflow.operators.statistics import column_name, long_form
 from urbanflow.session import join_lookup
 
 # Fixed value: a box whisker reaches at most this many interquartile ranges.
@@ -143,5 +143,6 @@ def box_outliers(df: DataFrame, groups: list[str], value: str, **options: int) -
 
 def box_stats_unpivot(df: DataFrame, group: str, values: list[str], **options: int) -> DataFrame:
     """Box statistics of many columns by one group, as one job over (column, value) cells."""
-    cells = long_form(df, values, "double", [group])
-    return box_stats(cells, [group, "column"], "value", **options)
+    stats = box_stats(long_form(df, values, "double", [group]), [group, "position"], "value", **options)
+    rest = [c for c in stats.columns if c not in (group, "position")]
+    return stats.select(col_q(group), column_name(values).alias("column"), *rest).orderBy(col_q(group), "column")

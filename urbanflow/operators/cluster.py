@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from urbanflow.functions.names import col_q
 from urbanflow.operators.bins import box_stats_unpivot
 from urbanflow.operators.reduce import vector_of
+from urbanflow.session import materialize
 
 SEED = 42
 
@@ -27,7 +29,8 @@ def kept(df: DataFrame):
 
 
 def _points(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(vector_of(columns).alias("features"))
+    """The score columns alone, written once, as vectors: every iteration of every fit reads them again."""
+    return materialize(df.select(*map(col_q, columns))).select(vector_of(columns).alias("features"))
 
 
 def _fit(points: DataFrame, k: int, seed: int, max_iter: int) -> KMeansModel:
@@ -35,23 +38,27 @@ def _fit(points: DataFrame, k: int, seed: int, max_iter: int) -> KMeansModel:
 
 
 def kmeans_elbow(
-    df: DataFrame, columns: list[str], ks: range = range(1, 11), seed: int = SEED, max_iter: int = 300
+    df: DataFrame, columns: list[str], ks: range = range(1, 11), seed: int = SEED, max_iter: int = 300, parallelism: int = 1
 ) -> DataFrame:
-    """(k, inertia): the sum of squared distances to the nearest centre. k = 1 needs no fit: it is n times the variance."""
-    rows = []
-    with kept(_points(df, columns)) as points:
-        for k in ks:
-            if k == 1:
-                parts = [F.count(F.lit(1)) * F.var_pop(col_q(c)) for c in columns]
-                rows.append((1, float(df.agg(sum(parts[1:], parts[0]).alias("i")).first()["i"])))
-            else:
-                rows.append((k, float(_fit(points, k, seed, max_iter).summary.trainingCost)))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double")
+    """(k, inertia): the sum of squared distances to the nearest centre, `parallelism` fits at a time.
+
+    k = 1 needs no fit: it is the number of rows times the total variance.
+    """
+    table = materialize(df.select(*map(col_q, columns)))
+
+    def inertia(k: int) -> float:
+        if k == 1:
+            parts = [F.count(F.lit(1)) * F.var_pop(col_q(c)) for c in columns]
+            return float(table.agg(sum(parts[1:], parts[0]).alias("i")).first()["i"])
+        return float(_fit(points, k, seed, max_iter).summary.trainingCost)
+
+    with kept(table.select(vector_of(columns).alias("features"))) as points, ThreadPoolExecutor(parallelism) as pool:
+        costs = list(pool.map(inheritable_thread_target(inertia), ks))
+    return df.sparkSession.createDataFrame(list(zip(ks, costs)), "k int, inertia double")
 
 
 def kmeans_fit(df: DataFrame, columns: list[str], k: int = 2, seed: int = SEED, max_iter: int = 300) -> KMeansModel:
-    with kept(_points(df, columns)) as points:
-        return _fit(points, k, seed, max_iter)
+    return _fit(_points(df, columns), k, seed, max_iter)
 
 
 def kmeans_assign(df: DataFrame, columns: list[str], model: KMeansModel, out: str = "Cluster") -> DataFrame:

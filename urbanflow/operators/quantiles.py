@@ -36,12 +36,19 @@ def exact_quantiles(
     probs: dict[str, float],
     cell_rows: int = CELL_ROWS,
     grid: int = GRID,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Groups, `n` (present values) and one column per entry of `probs`. Missing keys and values are left out."""
+    """Groups, `n` (present values) and one column per entry of `probs`. Missing keys and values are left out.
+
+    `sizes` (groups and `n`, as a written table) saves the counting pass when the caller has it.
+    """
     keys = [f"__g{i}" for i in range(len(groups))]
     data = with_keys(df, groups).select(*[col_q(g).alias(k) for g, k in zip(groups, keys)], col_q(value).cast("double").alias("__v"))
     data = data.where(present(F.col("__v")))
-    sizes = materialize(data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    if sizes is None:
+        sizes = materialize(data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    else:
+        sizes = sizes.select(*[col_q(g).alias(k) for g, k in zip(groups, keys)], "n")
     largest = sizes.agg(F.max("n")).first()[0] or 0
     wide = _ordered(data, keys, probs) if largest <= cell_rows else _bracketed(data, keys, sizes, probs, cell_rows, grid)
     return wide.select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], "n", *[F.col(p) for p in probs])

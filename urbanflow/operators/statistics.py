@@ -14,6 +14,7 @@ from urbanflow.functions.names import col_q
 from urbanflow.functions.numbers import present
 from urbanflow.operators.aggregates import _heaviest
 from urbanflow.operators.quantiles import approx_quantiles, exact_quantiles
+from urbanflow.session import materialize
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 # Up to this many pairs are plain aggregates in one generated function; wider matrices use block products.
@@ -25,9 +26,14 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def long_form(df: DataFrame, columns: list[str], kind: str, keep: list[str] = ()) -> DataFrame:
-    """One (column, value) row per cell."""
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col_q(c).cast(kind).alias("value")) for c in columns]))
-    return df.select(*map(col_q, keep), cells.alias("__cell")).select(*map(col_q, keep), "__cell.column", "__cell.value")
+    """One (position, value) row per cell; the position of the column in `columns` is a cheaper key than its name."""
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("position"), col_q(c).cast(kind).alias("value")) for i, c in enumerate(columns)]))
+    return df.select(*map(col_q, keep), cells.alias("__cell")).select(*map(col_q, keep), "__cell.position", "__cell.value")
+
+
+def column_name(columns: list[str]) -> Column:
+    """The name for a `position` of `long_form`."""
+    return F.element_at(F.array(*map(F.lit, columns)), F.col("position") + 1)
 
 
 def describe_columns(df: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
@@ -41,31 +47,36 @@ def describe_columns(df: DataFrame, columns: list[str] | None = None, approx: bo
     parts = []
     if numbers:
         cells = long_form(df, numbers, "double").where(present(F.col("value")))
-        moments = cells.groupBy("column").agg(
-            F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        moments = materialize(cells.groupBy("position").agg(
+            F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
             F.min("value").alias("min"), F.max("value").alias("max"),
-        )
-        quartiles = (approx_quantiles if approx else exact_quantiles)(cells, ["column"], "value", QUARTILES)
-        named = _names(df, numbers)
-        parts.append(named.join(moments, "column", "left").join(quartiles.drop("n"), "column", "left"))
+        ))
+        if approx:
+            quartiles = approx_quantiles(cells, ["position"], "value", QUARTILES)
+        else:
+            quartiles = exact_quantiles(cells, ["position"], "value", QUARTILES, sizes=moments.select("position", "n"))
+        table = _positions(df, numbers).join(moments, "position", "left").join(quartiles.drop("n"), "position", "left")
+        parts.append(table.withColumn("column", column_name(numbers)))
     if others:
         cells = long_form(df, others, "string").where("value IS NOT NULL")
-        counts = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        summary = counts.groupBy("column").agg(
-            F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), _heaviest("value", "n").alias("top"), F.max("n").alias("freq")
-        )
-        parts.append(_names(df, others).join(summary, "column", "left"))
+        counts = cells.groupBy("position", "value").agg(F.count(F.lit(1)).alias("freq"))
+        summary = counts.groupBy("position").agg(
+            F.sum("freq").alias("n"), F.count(F.lit(1)).alias("unique"), _heaviest("value", "freq").alias("top"),
+            F.max("freq").alias("freq"),
+        )
+        table = _positions(df, others).join(summary, "position", "left")
+        parts.append(table.withColumn("column", column_name(others)))
     if len(parts) == 1:
         table = parts[0]
     else:
         table = parts[0].unionByName(parts[1], allowMissingColumns=True)
     order = ["unique", "top", "freq", "mean", "std", "min", *QUARTILES, "max"]
     fields = [F.col(c) for c in order if c in table.columns]
-    return table.select("column", F.coalesce("count", F.lit(0)).alias("count"), *fields).orderBy("column")
+    return table.select("column", F.coalesce("n", F.lit(0)).alias("count"), *fields).orderBy("column")
 
 
-def _names(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+def _positions(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("position"))
 
 
 def _pearson(x: Column, y: Column) -> Column:

@@ -30,6 +30,7 @@ class Clusters:
 
 
 def cluster_rows(df: DataFrame, columns: list[str] = S.MEASURES, k: int = 2) -> Clusters:
+    """Rows with their cluster. The input is read several times: pass a table, or `materialize` a derived one."""
     scored = score_table(df, columns)
     model = kmeans_fit(scored, SCORES, k)
     return Clusters(kmeans_assign(scored, SCORES, model), model)

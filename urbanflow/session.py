@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,44 +46,53 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the checkpoint folder, so that losing an executor never recomputes its input."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _row_bytes(schema: T.StructType) -> Column | None:
     """Bytes of one row as an expression, or None when the schema holds a nested type."""
     fixed, parts = 16, []
     for field in schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(col_q(field.name)), F.lit(0)).cast("long"))
+            parts.append(F.coalesce(F.octet_length(col_q(field.name)), F.lit(0)).cast("long") + F.lit(16))
         elif isinstance(field.dataType, T.AtomicType):
             fixed += 16
         else:
             return None
     total = F.lit(fixed).cast("long")
     for part in parts:
-        total = total + part + F.lit(16)
+        total = total + part
     return total
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure `df` (one aggregate over it) and tell whether it may be broadcast."""
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute `df` once into a table under the checkpoint folder and read it back.
+
+    Losing an executor never recomputes its input, and later passes read only the columns they need.
+    """
+    return _written(df)[0]
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, int | None]:
+    """The written table and its size in memory, measured by the write job itself."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
     row_bytes = _row_bytes(df.schema)
     if row_bytes is None:
-        return False
-    measured = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()["b"]
-    return measured <= max_bytes
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), None
+    seen = Observation()
+    df.observe(seen, F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["bytes"]
 
 
 def join_lookup(
     left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Equi-join a large table with a lookup table that is unique on `keys`.
+    """Equi-join a large table with a lookup table.
 
-    The lookup is materialised once and measured. Within `max_bytes` it is broadcast, so the large side is
-    neither shuffled nor sorted; beyond it the join stays a shuffled join, where adaptive execution splits hot keys.
+    The lookup is computed once and measured as it is written. Within `max_bytes` it is broadcast, so the large side
+    is neither shuffled nor sorted; beyond it, or when its size is unknown, the join is a shuffled one, in which
+    adaptive execution splits hot keys.
     """
-    right = materialize(right)
-    return left.join(F.broadcast(right) if fits_broadcast(right, max_bytes) else right, keys, how)
+    table, size = _written(right)
+    small = size is not None and size <= max_bytes
+    return left.join(F.broadcast(table) if small else table, keys, how)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,32 +14,37 @@ def _format_of(path: str, fmt: str | None) -> str:
     return fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
 
 
-def require_path(spark: SparkSession, path: str, fmt: str = "text") -> str:
-    """The path itself, or FileNotFoundError. Works for every file system Spark can reach."""
+def _load(reader: DataFrameReader, path: str) -> DataFrame:
+    """Load, with a readable error when the path is missing. Works for every file system that Spark reaches."""
     try:
-        reader = spark.read.format(fmt)
-        (reader.schema("value string") if fmt in ("text", "csv") else reader).load(path).schema  # noqa: B018
+        return reader.load(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"expected input is missing: {path}") from error
         raise
+
+
+def require_path(spark: SparkSession, path: str) -> str:
+    """The path itself, or FileNotFoundError. Reads no data."""
+    _load(spark.read.format("binaryFile"), path)
     return path
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str | None = None
 ) -> DataFrame:
-    """Scan a table. With `schema` no inference pass is made; floating NaN is read as a missing value."""
+    """Scan a table. With `schema` no inference pass is made; in a CSV, NaN is read as a missing value."""
     fmt = _format_of(path, fmt)
-    require_path(spark, path, fmt)
     reader = spark.read.format(fmt)
     if fmt == "csv":
         # PERMISSIVE would turn a bad number into NULL silently.
         reader = reader.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    elif schema is not None:
+    if schema is not None:
         reader = reader.schema(schema)
-    return nan_to_null(reader.load(path)) if fmt == "csv" else reader.load(path)
+    elif fmt == "csv":
+        reader = reader.option("inferSchema", True)
+    table = _load(reader, path)
+    return nan_to_null(table) if fmt == "csv" else table
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from urbanflow.operators.encode import encode_temporal, one_hot
 from urbanflow.operators.projection import split_by_year
 from urbanflow.plans.exploration import SCORES, cluster_rows, score_table
 from urbanflow.plans.modelling import baseline_tree, model_table
-from urbanflow.session import join_lookup
+from urbanflow.session import join_lookup, materialize
 from urbanflow.workload import tables as T
 from urbanflow.workload.registry import query
 from urbanflow.workload.stats import rounded
@@ -41,7 +41,7 @@ def with_group_means(df: DataFrame, keys: list[str], out: str) -> DataFrame:
 
 def mean_trials(spark, sf) -> DataFrame:
     """(trial_id, keys, train_rmse, val_rmse, test_rmse) of the group-mean predictors, scored in one job."""
-    rows = labelled(spark, sf)
+    rows = materialize(labelled(spark, sf).select("split", "label", "area", "road", "weather", "roadwork"))
     for i, keys in enumerate(TRIAL_KEYS):
         rows = with_group_means(rows, keys, f"p{i}")
     errors = M.rmse_by_split(rows, predictions={f"e{i}": f"p{i}" for i in range(len(TRIAL_KEYS))})
@@ -115,23 +115,23 @@ def _(spark, sf):
 
 @query("kmeans_elbow")
 def _(spark, sf):
-    return K.kmeans_elbow(score_table(T.traffic(spark, sf)), SCORES, range(1, 11), max_iter=20)
+    return K.kmeans_elbow(score_table(materialize(T.traffic(spark, sf))), SCORES, range(1, 11), max_iter=20, parallelism=4)
 
 
 @query("kmeans_assign")
 def _(spark, sf):
-    return cluster_rows(T.traffic(spark, sf)).rows.select("k", *SCORES, "Cluster")
+    return cluster_rows(materialize(T.traffic(spark, sf))).rows.select("k", *SCORES, "Cluster")
 
 
 @query("cluster_centers")
 def _(spark, sf):
-    found = cluster_rows(T.traffic(spark, sf))
+    found = cluster_rows(materialize(T.traffic(spark, sf)))
     return K.cluster_centers(found.rows, SCORES, found.model)
 
 
 @query("cluster_profile")
 def _(spark, sf):
-    return K.cluster_profile(cluster_rows(T.traffic(spark, sf)).rows, S.MEASURES)
+    return K.cluster_profile(cluster_rows(materialize(T.traffic(spark, sf))).rows, S.MEASURES)
 
 
 def _encoded_facts(spark, sf) -> DataFrame:

@@ -86,7 +86,7 @@ def _(spark, sf):
 
 @query("require_path", "SELECT n_nationkey, n_name FROM nation")
 def _(spark, sf):
-    path = IO.require_path(spark, f"{sf}/nation.parquet", "parquet")
+    path = IO.require_path(spark, f"{sf}/nation.parquet")
     return spark.read.parquet(path).select("n_nationkey", "n_name")
 
 

@@ -9,6 +9,7 @@ from urbanflow.functions.numbers import round_n
 from urbanflow.operators import aggregates as A
 from urbanflow.operators import bins as B
 from urbanflow.operators import statistics as X
+from urbanflow.session import materialize
 from urbanflow.workload import tables as T
 from urbanflow.workload.registry import query
 
@@ -160,8 +161,8 @@ def _(spark, sf):
 
 def _corr_sql(table: str, columns: list[str], digits: int) -> str:
     cells = [
-        f"""SELECT '{a}' AS x, '{b}' AS y, round({'1.0::DOUBLE' if a == b else f'corr({a}, {b})'}, {digits}) + 0.0 AS r
-            FROM {table}{' LIMIT 1' if a == b else ''}"""
+        f"""SELECT '{a}' AS x, '{b}' AS y, CASE WHEN min({a}) < max({a}) AND min({b}) < max({b})
+              THEN round({'1.0::DOUBLE' if a == b else f'corr({a}, {b})'}, {digits}) + 0.0 END AS r FROM {table}"""
         for a in columns
         for b in columns
     ]
@@ -178,7 +179,7 @@ DAY_NUMBERS = [c for c, _ in T.DAY_MEASURES if c not in ("sunrise", "sunset")]
 
 @query("corr_matrix_rounded", f"WITH {T.WEATHER} " + _corr_sql("weather", DAY_NUMBERS, 3))
 def _(spark, sf):
-    return X.corr_matrix(T.weather(spark, sf), DAY_NUMBERS, digits=3)
+    return X.corr_matrix(materialize(T.weather(spark, sf).select(DAY_NUMBERS)), DAY_NUMBERS, digits=3)
 
 
 @query(
