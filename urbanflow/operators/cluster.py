@@ -53,7 +53,7 @@ def kmeans_elbow(
         return float(_fit(points, k, seed, max_iter).summary.trainingCost)
 
     with kept(table.select(vector_of(columns).alias("features"))) as points, ThreadPoolExecutor(parallelism) as pool:
-        costs = list(pool.map(inheritable_thread_target(inertia), ks))
+        costs = list(pool.map(inheritable_thread_target(df.sparkSession)(inertia), ks))
     return df.sparkSession.createDataFrame(list(zip(ks, costs)), "k int, inertia double")
 
 

@@ -139,7 +139,7 @@ def random_search(
 
         if parallelism > 1:
             with ThreadPoolExecutor(parallelism) as pool:
-                rows = list(pool.map(inheritable_thread_target(run), records))
+                rows = list(pool.map(inheritable_thread_target(table.sparkSession)(run), records))
         else:
             rows = [run(record) for record in records]
     kinds = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields] + [f"{n} double" for n in names])

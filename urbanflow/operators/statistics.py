@@ -82,7 +82,12 @@ def _positions(df: DataFrame, columns: list[str]) -> DataFrame:
 def _pearson(x: Column, y: Column) -> Column:
     """Pearson's r over the rows where both are present; NULL when either is constant there or nothing is left."""
     spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(F.regr_sxy(y, x), spread)))
+    return _clamped(F.try_divide(F.regr_sxy(y, x), spread))
+
+
+def _clamped(r: Column) -> Column:
+    """Within [-1, 1]; a missing r stays missing (least and greatest skip NULLs)."""
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def _clean(c: str) -> Column:
@@ -136,9 +141,8 @@ def _block_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFram
     vx = F.when(vx > noise * F.col("sxx"), vx)
     vy = F.when(vy > noise * F.col("syy"), vy)
     r = F.try_divide(F.col("sxy") - F.try_divide(sx * sy, n), F.sqrt(vx) * F.sqrt(vy))
-    bounded = F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
     named = df.sparkSession.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "pair int, x string, y string")
-    return named.join(total, "pair", "left").select("x", "y", bounded.alias("r"))
+    return named.join(total, "pair", "left").select("x", "y", _clamped(r).alias("r"))
 
 
 def corr_matrix(df: DataFrame, columns: list[str] | None = None, digits: int | None = None) -> DataFrame:

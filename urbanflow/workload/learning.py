@@ -82,13 +82,13 @@ def _(spark, sf):
     "attach_predictions",
     f"""WITH {LABELLED}, a AS (SELECT area, avg(volume) AS pa FROM rows WHERE split = 'train' GROUP BY area),
         w AS (SELECT weather, avg(volume) AS pw FROM rows WHERE split = 'train' GROUP BY weather)
-        SELECT k, round(pa, 4) AS p_area, round(pw, 4) AS p_weather, round((pa + pw) / 2, 4) AS prediction
+        SELECT k, round(pa, 6) AS p_area, round(pw, 6) AS p_weather, round((pa + pw) / 2, 6) AS prediction
         FROM rows LEFT JOIN a USING (area) LEFT JOIN w USING (weather)""",
 )
 def _(spark, sf):
     both = with_group_means(with_group_means(labelled(spark, sf), ["area"], "p_area"), ["weather"], "p_weather")
     mean = mean_of_two(F.col("p_area"), F.col("p_weather"))
-    return rounded(both.select("k", "p_area", "p_weather", mean.alias("prediction")), 4)
+    return rounded(both.select("k", "p_area", "p_weather", mean.alias("prediction")), 6)
 
 
 @query(
