@@ -17,8 +17,9 @@ from urbanflow.operators.quantiles import approx_quantiles, exact_quantiles
 from urbanflow.session import materialize
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-# Up to this many pairs are plain aggregates in one generated function; wider matrices use block products.
-AGGREGATE_PAIRS = 45
+# Up to this many pairs are plain aggregates, as much as one generated function takes before it is too long to be
+# compiled; wider matrices use block products.
+AGGREGATE_PAIRS = 10
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -27,8 +28,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def long_form(df: DataFrame, columns: list[str], kind: str, keep: list[str] = ()) -> DataFrame:
     """One (position, value) row per cell; the position of the column in `columns` is a cheaper key than its name."""
-    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("position"), col_q(c).cast(kind).alias("value")) for i, c in enumerate(columns)]))
-    return df.select(*map(col_q, keep), cells.alias("__cell")).select(*map(col_q, keep), "__cell.position", "__cell.value")
+    cells = [c for i, name in enumerate(columns) for c in (F.lit(i), col_q(name).cast(kind))]
+    return df.select(*map(col_q, keep), F.stack(F.lit(len(columns)), *cells).alias("position", "value"))
 
 
 def column_name(columns: list[str]) -> Column:
@@ -85,6 +86,11 @@ def _pearson(x: Column, y: Column) -> Column:
     return _clamped(F.try_divide(F.regr_sxy(y, x), spread))
 
 
+def _itself(x: Column) -> Column:
+    """The correlation of a column with itself: 1, or NULL when it is constant or empty."""
+    return F.when(F.max(x) > F.min(x), F.lit(1.0))
+
+
 def _clamped(r: Column) -> Column:
     """Within [-1, 1]; a missing r stays missing (least and greatest skip NULLs)."""
     return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
@@ -98,8 +104,8 @@ def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """(x, y, r) for the listed pairs, from one scan and one aggregate row. Missing values are deleted pairwise."""
     if not pairs:
         return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    if len(pairs) <= AGGREGATE_PAIRS:
-        found = df.agg(*[_pearson(_clean(x), _clean(y)).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
+    if sum(x != y for x, y in pairs) <= AGGREGATE_PAIRS:
+        found = df.agg(*[(_itself(_clean(x)) if x == y else _pearson(_clean(x), _clean(y))).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
         cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r")) for i, (x, y) in enumerate(pairs)]
         return found.select(F.explode(F.array(*cells)).alias("p")).select("p.*")
     return _block_correlations(df, pairs)
@@ -148,12 +154,12 @@ def _block_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFram
 def corr_matrix(df: DataFrame, columns: list[str] | None = None, digits: int | None = None) -> DataFrame:
     """Symmetric Pearson matrix in long form (x, y, r), diagonal included; only half of it is computed."""
     columns = columns or numeric_columns(df)
-    half = pair_correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]])
-    spreads = df.agg(*[(F.max(_clean(c)) > F.min(_clean(c))).alias(f"s{i}") for i, c in enumerate(columns)])
-    ones = [F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.when(F.col(f"s{i}"), F.lit(1.0)).alias("r")) for i, c in enumerate(columns)]
-    diagonal = spreads.select(F.explode(F.array(*ones)).alias("p")).select("p.*")
-    both = F.explode(F.array(F.struct("x", "y", "r"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "r")))
-    full = diagonal.unionByName(half.select(both.alias("p")).select("p.*"))
+    half = pair_correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
+    one = F.when((F.col("x") == F.col("y")) & F.col("r").isNotNull(), F.lit(1.0)).otherwise(F.col("r"))
+    half = half.withColumn("r", one)
+    cell = F.struct("x", "y", "r")
+    mirrored = F.when(F.col("x") != F.col("y"), F.array(cell, F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "r")))
+    full = half.select(F.explode(F.coalesce(mirrored, F.array(cell))).alias("p")).select("p.*")
     return full if digits is None else full.select("x", "y", (F.round("r", digits) + F.lit(0.0)).alias("r"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from urbanflow.functions.names import col_q
 from urbanflow.functions.text import strip
+from urbanflow.session import materialize
 from urbanflow.sources.tables import require_path
 
 # The first three letters of a month name.
@@ -60,8 +61,8 @@ def sectioned_dates(lines: DataFrame, doc: str, block: str, pos: str, line: str,
         F.when(text.startswith("#"), F.when(heading.rlike("^[0-9]+$"), heading.try_cast("int"))).alias("heading_year"),
         F.when(~text.startswith("#") & text.contains("-"), text).alias("entry"),
     )
-    # Only year headings and entries matter, so nothing else is shuffled.
-    parsed = parsed.where("heading_year IS NOT NULL OR entry IS NOT NULL")
+    # Only year headings and entries matter. They are written once, because the fill reads them twice.
+    parsed = materialize(parsed.where("heading_year IS NOT NULL OR entry IS NOT NULL"))
     dated = carry_forward(parsed, ["doc"], "block", "pos", "heading_year", "year")
     entry = F.col("entry")
     days = F.replace(F.substring(entry, F.locate("-", entry) + 1, F.length(entry)), F.lit(" "), F.lit(""))
