@@ -63,10 +63,14 @@ def random_forest(params: dict, seed: int = SEED, prediction: str = "prediction"
 
 
 def boosted_trees(params: dict, seed: int = SEED, prediction: str = "prediction") -> GBTRegressor:
-    """Gradient boosting on squared error. Column sampling is drawn per node; L2 regularisation has no counterpart
-    and `reg_lambda` is accepted without effect."""
+    """Gradient boosting on squared error.
+
+    Spark ML fits each tree to twice the residual, so the step is half the learning rate: every tree then adds the
+    learning rate times its fit of the residual. Its first tree is fitted to the label itself, at full weight. Column
+    sampling is drawn per node. L2 regularisation has no counterpart: `reg_lambda` is accepted without effect.
+    """
     return GBTRegressor(
-        maxIter=int(params.get("n_estimators", 100)), stepSize=float(params.get("learning_rate", 0.3)),
+        maxIter=int(params.get("n_estimators", 100)), stepSize=float(params.get("learning_rate", 0.3)) / 2,
         maxDepth=int(params.get("max_depth", 6)), subsamplingRate=float(params.get("subsample", 1.0)),
         featureSubsetStrategy=_subset(params.get("colsample_bytree")), lossType="squared", seed=seed,
         maxMemoryInMB=512, checkpointInterval=10, predictionCol=prediction,

@@ -113,6 +113,32 @@ def _(spark, sf):
     return score_table(lines, LINE_COLUMNS)
 
 
+# On two standardised columns the axes are known: (1, 1) and (1, -1), the stronger one by the sign of the correlation.
+# Price and charge are strongly correlated, so the axes are well separated.
+@query(
+    "pca_two_columns",
+    """WITH c AS (SELECT *, l_extendedprice * (1 - l_discount) AS charge FROM lineitem),
+       z AS (SELECT l_orderkey, l_linenumber, l_partkey, corr(l_extendedprice, charge) OVER () AS r,
+         (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER () AS a,
+         (charge - avg(charge) OVER ()) / stddev_pop(charge) OVER () AS b FROM c)
+       SELECT l_orderkey, l_linenumber, l_partkey, round(abs(a + sign(r) * b) / sqrt(2), 5) AS first,
+         round(abs(a - sign(r) * b) / sqrt(2), 5) AS second FROM z""",
+)
+def _(spark, sf):
+    charge = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("charge")
+    lines = T.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", charge)
+    scores = [F.round(F.abs(c), 5).alias(out) for c, out in (("pc1", "first"), ("pc2", "second"))]
+    return score_table(lines, ["l_extendedprice", "charge"]).select("l_orderkey", "l_linenumber", "l_partkey", *scores)
+
+
+@query(
+    "kmeans_inertia_of_one",
+    """SELECT 1 AS k, round(count(*) * (var_pop(l_quantity) + var_pop(l_discount)), 2) AS inertia FROM lineitem""",
+)
+def _(spark, sf):
+    return rounded(K.kmeans_elbow(T.table(spark, sf, "lineitem"), ["l_quantity", "l_discount"], range(1, 2)), 2)
+
+
 @query("kmeans_elbow")
 def _(spark, sf):
     return K.kmeans_elbow(score_table(materialize(T.traffic(spark, sf))), SCORES, range(1, 11), max_iter=20, parallelism=4)
@@ -144,6 +170,51 @@ def _modelled(spark, sf, features: list[str] | None = None) -> DataFrame:
     return model_table(_encoded_facts(spark, sf), "volume", "d", T.YEARS, ["k"], features)
 
 
+ONE_HOT = {
+    "weather": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    "area": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+    "roadwork": ["F", "O", "P"],
+}
+TESTS = [f"{c} = '{v}'" for c, values in ONE_HOT.items() for v in values]
+ONE_HOT_NAMES = [f"{c}_{v}" for c, values in ONE_HOT.items() for v in values]
+
+
+def _stump_sql(i: int, source: str, y: str) -> str:
+    """The split of the training rows on one 0/1 column that explains most of `y`, and the two means: tables c, b, s."""
+    sides = ", ".join(
+        f"{agg} FILTER (WHERE {sign}(t)) AS {out}"
+        for agg, sign, out in ((f"avg({y})", "", "m1"), (f"avg({y})", "NOT ", "m0"), ("count(*)", "", "n1"), ("count(*)", "NOT ", "n0"))
+    )
+    candidates = " UNION ALL ".join(
+        f"SELECT {j} AS f, {sides.replace('(t)', f'({t})')} FROM {source} WHERE split = 'train'" for j, t in enumerate(TESTS)
+    )
+    chosen = " ".join(f"WHEN {j} THEN {t}" for j, t in enumerate(TESTS))
+    return f"""c{i} AS ({candidates}),
+      b{i} AS (SELECT * FROM c{i} WHERE n1 > 0 AND n0 > 0 ORDER BY n1 * n0 / (n1 + n0) * power(m1 - m0, 2) DESC LIMIT 1),
+      s{i} AS (SELECT r.*, CASE WHEN (CASE f {chosen} END) THEN m1 ELSE m0 END AS p{i} FROM {source} r, b{i})"""
+
+
+@query(
+    "tree_stump",
+    f"WITH {LABELLED}, {_stump_sql(1, 'rows', 'volume')} SELECT k, split, round(p1, 4) AS prediction FROM s1",
+)
+def _(spark, sf):
+    table = _modelled(spark, sf, ONE_HOT_NAMES)
+    stump = M.fit(M.decision_tree({"max_depth": 1}), table.where("split = 'train'"))
+    return rounded(stump.transform(table).select("k", "split", "prediction"), 4)
+
+
+@query(
+    "boosted_stumps",
+    f"""WITH {LABELLED}, {_stump_sql(1, 'rows', 'volume')}, r1 AS (SELECT *, volume - p1 AS gap FROM s1),
+        {_stump_sql(2, 'r1', 'gap')} SELECT k, split, round(p1 + 0.2 * p2, 4) AS prediction FROM s2""",
+)
+def _(spark, sf):
+    table = _modelled(spark, sf, ONE_HOT_NAMES)
+    boosted = M.boosted_trees({"n_estimators": 2, "max_depth": 1, "learning_rate": 0.2})
+    return rounded(M.fit(boosted, table.where("split = 'train'")).transform(table).select("k", "split", "prediction"), 4)
+
+
 # Grids for the check: small, so that a search takes seconds. The full ones are the defaults of `plans.modelling`.
 SMALL_TREES = {"max_depth": [2, 3], "min_samples_split": [2, 10], "min_samples_leaf": [1, 4], "max_features": ["sqrt", None, 0.8]}
 SMALL_FORESTS = {"n_estimators": [4, 6], "max_depth": [3, 4], "min_samples_split": [2], "min_samples_leaf": [1, 4], "max_features": ["sqrt", 0.8]}
