@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +104,39 @@ def test_exploration(spark, enriched):
     assert exploration.cluster_rows(table).rows.groupBy("Cluster").count().count() == 2
 
 
+def test_chart_tables(spark, enriched):
+    table = read_table(spark, enriched)
+    charts = {name: [r.asDict() for r in df.collect()] for name, df in exploration.chart_tables(table).items()}
+    assert charts["area_by_road"][0]["Quay"] > 0 and charts["area_by_road"][0]["M.G. Road"] is None
+    assert [r["label"] for r in charts["area_road_totals"]] == ["Harbour - Quay", "Old Town - M.G. Road", "Old Town - Ring/1"]
+    assert sum(r["share"] for r in charts["incident_shares"]) == pytest.approx(100, abs=0.2)
+    # All values are equal, so the range is widened and they fall into the middle.
+    assert [r["rows"] for r in charts["capacity_histogram"]] == [0] * 10 + [90] + [0] * 9
+    assert max(r["ratio"] for r in charts["congestion_by_area"]) == 1
+    assert sum(r["rows"] for r in charts["speed_volume_density"]) == 90
+    assert [r["n"] for r in charts["travel_time_boxes"]] == [30, 60]
+    # One kind of weather per road in this city: absent pairs are 0.
+    assert [r["Harbour"] > 0 for r in charts["weather_by_area"]] == [False, False, True]
+
+
+def test_encoded_tables_and_weather_correlations(spark, city, enriched):
+    base, _ = city
+    encoded = encode_dataset(read_table(spark, enriched), drop=("sunrise", "sunset"))
+    tables = {name: df.toPandas() for name, df in exploration.encoded_tables(encoded).items()}
+    assert len(tables["summary"]) == len(encoded.columns) and tables["summary"]["column"].is_unique
+    core = [c for c in encoded.columns if not c.startswith(tuple(S.CATEGORY_PREFIXES))]
+    assert len(tables["core_correlations"]) == len(core) ** 2
+    expected = encoded.toPandas().astype(float).corr()
+    got = tables["core_correlations"].pivot(index="x", columns="y", values="r").loc[core, core].to_numpy(float)
+    np.testing.assert_allclose(got, expected.loc[core, core].to_numpy(), atol=1e-9)
+    assert list(tables["volume_correlations"]["feature"].sort_values()) == sorted(c for c in encoded.columns if c != S.VOLUME)
+    daily = read_table(spark, f"{base}/weather.csv")
+    for extra in ("temp", "sealevelpressure", "solarenergy", "severerisk"):
+        daily = daily.withColumn(extra, F.rand(3))
+    daily.write.parquet(f"{base}/weather19")
+    assert exploration.weather_correlations(spark, f"{base}/weather19").count() == 19 * 19
+
+
 def test_stream_equals_batch(spark, city, enriched, tmp_path):
     base, _ = city
     schema = read_table(spark, f"{base}/traffic.csv").schema

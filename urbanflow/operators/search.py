@@ -12,7 +12,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from urbanflow.operators import models as M
-from urbanflow.operators.cluster import kept
 from urbanflow.operators.combine import train_val_union
 
 # The grids and the number of draws.
@@ -124,24 +123,21 @@ def random_search(
 ) -> DataFrame:
     """One row per trial: its parameters and the errors on the train and val splits.
 
-    `table` is assembled and has a `split` column. Fits are distributed; `parallelism` overlaps several of them.
+    `table` is assembled and has a `split` column. It is read by every trial: pass a written table (`materialize`).
+    Fits are distributed; `parallelism` overlaps several of them.
     """
     records = [row.asDict() for row in points.orderBy("trial_id").collect()]
     names = [f"{s}_{name}" for s in ("train", "val") for name in scored]
+    data = train_val_union(table)
+    train = data.where("split = 'train'")
 
-    with kept(train_val_union(table)) as data:
-        train = data.where("split = 'train'")
+    def run(record: dict) -> tuple:
+        params = {k: _untyped(v) for k, v in record.items() if k != "trial_id"}
+        errors = _errors(family(params, train), data, scored)
+        return (*record.values(), *[errors.get(n) for n in names])
 
-        def run(record: dict) -> tuple:
-            params = {k: _untyped(v) for k, v in record.items() if k != "trial_id"}
-            errors = _errors(family(params, train), data, scored)
-            return (*record.values(), *[errors.get(n) for n in names])
-
-        if parallelism > 1:
-            with ThreadPoolExecutor(parallelism) as pool:
-                rows = list(pool.map(inheritable_thread_target(table.sparkSession)(run), records))
-        else:
-            rows = [run(record) for record in records]
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(inheritable_thread_target(table.sparkSession)(run), records))
     kinds = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields] + [f"{n} double" for n in names])
     return table.sparkSession.createDataFrame(rows, kinds)
 
@@ -167,10 +163,9 @@ def refit_best(
     errors = {f"{s}_{name}" for s in ("train", "val") for name in scored}
     record = {k: v for k, v in best.items() if k not in errors}
     params = {k: _untyped(v) for k, v in record.items() if k != "trial_id"}
-    with kept(table) as data:
-        predict = family(params, train_val_union(data))
-        renamed = data.withColumn("split", F.when(F.col("split") == "test", "test").otherwise("train_val"))
-        found = _errors(predict, renamed, {k: v for k, v in scored.items() if v == "prediction"})
+    predict = family(params, train_val_union(table))
+    renamed = table.withColumn("split", F.when(F.col("split") == "test", "test").otherwise("train_val"))
+    found = _errors(predict, renamed, {k: v for k, v in scored.items() if v == "prediction"})
     name = next(k for k, v in scored.items() if v == "prediction")
     outs = [f"train_val_{name}", f"test_{name}"]
     fields = [f for f in trials.schema.fields if f.name in record]

@@ -8,15 +8,19 @@ from urbanflow import schema as S
 from urbanflow.operators import models as M
 from urbanflow.operators import search as R
 from urbanflow.operators.projection import feature_names, split_by_year
+from urbanflow.session import materialize
 
 
 def model_table(
     encoded: DataFrame, target: str = S.VOLUME, date: str = S.DATE, years: dict[str, int] = S.SPLIT_YEARS,
     keys: list[str] = (), features: list[str] | None = None,
 ) -> DataFrame:
-    """(split, keys, features, label) of an encoded table that still carries its date."""
+    """(split, keys, features, label) of an encoded table that still carries its date.
+
+    It is written once: fits, trials and scores all read it again.
+    """
     features = features or feature_names(encoded, target, [date, *keys])
-    return M.assemble(split_by_year(encoded, date, years), features, target, ["split", *keys])
+    return materialize(M.assemble(split_by_year(encoded, date, years), features, target, ["split", *keys]))
 
 
 def baseline_tree(table: DataFrame) -> DataFrame:
