@@ -9,6 +9,7 @@ from urbanflow.functions.numbers import round_n
 from urbanflow.operators import aggregates as A
 from urbanflow.operators import bins as B
 from urbanflow.operators import statistics as X
+from urbanflow.operators.quantiles import exact_quantiles
 from urbanflow.session import materialize
 from urbanflow.workload import tables as T
 from urbanflow.workload.registry import query
@@ -255,6 +256,18 @@ def _(spark, sf):
     return B.box_outliers(events, ["event_type"], "value")
 
 
+# The way of large groups, forced by a small limit on the rows that one task may order.
+@query(
+    "quantiles_of_large_groups",
+    """SELECT l_returnflag, count(*) AS n, round(quantile_cont(l_extendedprice, 0.01), 6) AS low,
+       round(quantile_cont(l_extendedprice, 0.5), 6) AS median, round(quantile_cont(l_extendedprice, 0.99), 6) AS high
+       FROM lineitem GROUP BY l_returnflag""",
+)
+def _(spark, sf):
+    probs = {"low": 0.01, "median": 0.5, "high": 0.99}
+    return rounded(exact_quantiles(T.table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", probs, 1000, 100), 6)
+
+
 BOX_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
