@@ -49,25 +49,36 @@ def test_materialize_keeps_types_and_names(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
 
 
-def test_checkpoint_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+def test_checkpoint_folder_is_the_named_one_or_below_the_warehouse(spark):
     class Context:
-        master = "yarn"
+        folder = None
 
         def getCheckpointDir(self):  # noqa: N802
-            return None
+            return self.folder
 
-    class Conf:
-        def get(self, key, default=None):
-            return default
+        def setCheckpointDir(self, folder):  # noqa: N802
+            self.folder = folder
 
     class Session:
-        sparkContext, conf = Context(), Conf()  # noqa: N815
+        def __init__(self, **conf):
+            self.sparkContext, self.conf = Context(), {"spark.sql.warehouse.dir": "s3://w", "spark.checkpoint.dir": None, **conf}
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.ensure_checkpoint_dir(Session())
+    for conf, folder in (({}, "s3://w/checkpoints"), ({"spark.checkpoint.dir": "hdfs://c"}, "hdfs://c")):
+        session_ = Session(**conf)
+        session_.conf = type("Conf", (), {"get": lambda self, key, default=None, c=session_.conf: c.get(key) or default})()
+        session.ensure_checkpoint_dir(session_)
+        assert session_.sparkContext.folder == folder
+
+
+def test_tables_are_removed(spark):
+    table = materialize(spark.range(3).toDF("a"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert files.exists(path)
+    session.drop_table(table)
+    assert not files.exists(path)
 
 
-@pytest.fixture
 def hot(spark):
     """Two thirds of the rows share one key."""
     return spark.range(30_000).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -13,6 +13,7 @@ from urbanflow.functions.names import col_q
 
 # A lookup side is broadcast only when its measured size is at most this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
+_FOLDERS: set[str] = set()
 
 
 def build_session(app: str = "urbanflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,17 +34,12 @@ def build_session(app: str = "urbanflow", master: str | None = None, **conf: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by `spark.checkpoint.dir`; make one only in local mode, where nothing names one."""
+    """Use the folder named by `spark.checkpoint.dir`, else one below the session's warehouse, which executors share too."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="urbanflow-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
 
 
 def _row_bytes(schema: T.StructType) -> Column | None:
@@ -74,14 +70,37 @@ def _written(df: DataFrame) -> tuple[DataFrame, int | None]:
     """The written table and its size in memory, measured by the write job itself."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
-    row_bytes = _row_bytes(df.schema)
-    if row_bytes is None:
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path), None
-    seen = Observation()
-    df.observe(seen, F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["bytes"]
+    folder = f"{spark.sparkContext.getCheckpointDir()}/tables"
+    if not _FOLDERS:
+        atexit.register(release_tables, spark)
+    _FOLDERS.add(folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    row_bytes, seen = _row_bytes(df.schema), None
+    if row_bytes is not None:
+        seen = Observation()
+        df = df.observe(seen, F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"))
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table, seen and seen.get["bytes"]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_table(table: DataFrame) -> None:
+    """Remove a table made by `materialize` once nothing lazy reads it any more."""
+    _delete(table.sparkSession, table.scratch_path)
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Remove every table that this process has materialised; runs by itself when the process ends."""
+    if spark.sparkContext._jsc is not None:
+        for folder in _FOLDERS:
+            _delete(spark, folder)
+    _FOLDERS.clear()
 
 
 def join_lookup(
