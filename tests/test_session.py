@@ -79,6 +79,7 @@ def test_tables_are_removed(spark):
     assert not files.exists(path)
 
 
+@pytest.fixture
 def hot(spark):
     """Two thirds of the rows share one key."""
     return spark.range(30_000).select(
