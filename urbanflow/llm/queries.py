@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from urbanflow.llm.personal import personal_report
 from urbanflow.llm.quality import quality_report
 from urbanflow.llm.texts import table
 
@@ -21,3 +22,8 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 @query
 def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_weak_personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_report(table(spark, sf_dir, "documents"))
