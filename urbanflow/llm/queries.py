@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from urbanflow.llm.fixity import archive, audit
+from urbanflow.llm.licenses import license_lines, license_sql
 from urbanflow.llm.personal import personal_report
 from urbanflow.llm.quality import quality_report
 from urbanflow.llm.texts import table
@@ -27,3 +30,45 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_weak_personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_lines(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_license_dice"] = license_sql()
+
+
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica of the pages in which fixed ids lost a record, gained a byte, or got another address."""
+    rest = F.col("page_id") % 101
+    url = F.when(rest == 17, F.concat("url", F.lit("?"))).otherwise(F.col("url"))
+    html = F.when(rest == 29, F.overlay("html", F.lit("*"), 1, 1)).otherwise(F.col("html"))
+    return pages.where((rest != 53) | rest.isNull()).select("page_id", url.alias("url"), html.alias("html"))
+
+
+@query
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages against a damaged replica; SQL states the damage directly, without trees."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return audit(archive(pages), archive(damaged(pages)))
+
+
+_RECORD = """concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Target-URI: ', {u},
+    chr(13), chr(10), 'WARC-Payload-Digest: sha256:', sha256({h}), chr(13), chr(10), 'Content-Type: text/html', chr(13), chr(10),
+    'Content-Length: ', strlen({h}), chr(13), chr(10), chr(13), chr(10), {h}, chr(13), chr(10), chr(13), chr(10))"""
+ORACLES["op2_merkle_fixity"] = f"""
+    WITH records AS (
+      SELECT page_id, page_id % 101 AS rest, {_RECORD.format(u="url", h="html")} AS good,
+             CASE WHEN page_id % 101 = 17 THEN {_RECORD.format(u="concat(url, '?')", h="html")}
+                  WHEN page_id % 101 = 29 THEN {_RECORD.format(u="url", h="concat('*', html[2:])")} END AS bad
+      FROM pages),
+    placed AS (
+      SELECT *, CAST(floor(page_id / 1024) AS BIGINT) AS file,
+             CAST(coalesce(sum(strlen(good)) OVER (PARTITION BY page_id // 1024 ORDER BY page_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+      FROM records)
+    SELECT page_id, 1 AS "copy", file, start, strlen(good) AS length, sha256(good) AS expected, sha256(bad) AS actual,
+           CASE rest WHEN 53 THEN 'missing' ELSE 'changed' END AS kind
+    FROM placed WHERE rest IN (17, 29, 53)"""
