@@ -108,7 +108,7 @@ def license_lines(docs: DataFrame, templates: dict[str, str] | None = None, thre
 def license_sql(templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> str:
     """The same rows without any pruning."""
     quoted = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in (templates or TEMPLATES).items())
-    words = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), x -> x <> '')"
+    words = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
     grams = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
     return f"""
     WITH forms AS (SELECT license, {grams} AS f FROM (SELECT license, {words.format('t')} AS w FROM (VALUES {quoted}) v(license, t))),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanflow.llm import bpe, decontaminate, transducer
 from urbanflow.llm.fixity import archive, audit
 from urbanflow.llm.licenses import license_lines, license_sql
 from urbanflow.llm.personal import personal_report
@@ -72,3 +74,22 @@ ORACLES["op2_merkle_fixity"] = f"""
     SELECT page_id, 1 AS "copy", file, start, strlen(good) AS length, sha256(good) AS expected, sha256(bad) AS actual,
            CASE rest WHEN 53 THEN 'missing' ELSE 'changed' END AS kind
     FROM placed WHERE rest IN (17, 29, 53)"""
+
+
+@query
+def op3_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op3_wu_manber"] = decontaminate.ORACLE
+
+
+@query
+def op6_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.count_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.token_report(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
