@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from urbanflow.llm import bpe, decontaminate, transducer
 from urbanflow.llm.fixity import archive, audit
 from urbanflow.llm.licenses import license_lines, license_sql
+from urbanflow.llm.neardup import component_report
 from urbanflow.llm.personal import personal_report
 from urbanflow.llm.quality import quality_report
 from urbanflow.llm.texts import table
@@ -93,3 +94,21 @@ def op6_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.token_report(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op4_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return component_report(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+ORACLES["op4_min_max_hash"] = """
+    WITH RECURSIVE lowered AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 1 THEN w ELSE list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) END AS s FROM lowered),
+    items AS (SELECT doc_id, unnest(s) AS i FROM sets),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.i = b.i AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id WHERE 100 * n >= 80 * (len(x.s) + len(y.s) - n)),
+    paired AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, paired.b FROM reach JOIN paired ON reach.b = paired.a),
+    parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN parts ON a = doc_id"""
