@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflow.llm import bpe, decontaminate, transducer
+from urbanflow.llm.backoff import scores
 from urbanflow.llm.fixity import archive, audit
 from urbanflow.llm.licenses import license_lines, license_sql
 from urbanflow.llm.neardup import component_report
 from urbanflow.llm.personal import personal_report
 from urbanflow.llm.quality import quality_report
+from urbanflow.llm.repeats import removal_report
 from urbanflow.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +114,13 @@ ORACLES["op4_min_max_hash"] = """
     reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, paired.b FROM reach JOIN paired ON reach.b = paired.a),
     parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
     SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN parts ON a = doc_id"""
+
+
+@query
+def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_report(table(spark, sf_dir, "documents"))
