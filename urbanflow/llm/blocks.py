@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from urbanflow.llm.texts import total_bytes
 
 # Bytes of text per block of documents, and per part of a table.
-BLOCK_BYTES, PART_BYTES = 8 << 20, 32 << 20
+BLOCK_BYTES, PART_BYTES = 4 << 20, 8 << 20
 
 
 def in_blocks(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int, int]:
