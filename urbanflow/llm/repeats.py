@@ -193,8 +193,13 @@ def prefix_borders(transform: np.ndarray, depth: int) -> np.ndarray:
     return border[1:n]
 
 
-def owners_of_strings(pieces: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
-    """For every piece the smallest owner of each string of `length` bytes in it, over all pieces."""
+def ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of every range, one range after another."""
+    return np.repeat(begins - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(int(counts.sum()))
+
+
+def owners_of_strings(pieces: list[bytes], owners: np.ndarray, length: int) -> np.ndarray:
+    """The smallest owner, over all pieces, of each string of `length` bytes in each piece, one piece after another."""
     symbols = np.frombuffer(b"\x00".join(pieces) + b"\x00", np.uint8).astype(np.int16) + 2
     sizes = np.array([len(p) for p in pieces])
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
@@ -207,7 +212,7 @@ def owners_of_strings(pieces: list[bytes], owners: np.ndarray, length: int) -> l
     least = np.minimum.reduceat(owners[piece[suffixes]], np.flatnonzero(np.concatenate([[True], border])))
     smallest = np.empty(len(symbols), np.int64)
     smallest[suffixes] = least[group]
-    return [smallest[b : b + s - length + 1] for b, s in zip(begins, sizes)]
+    return smallest[ranges(begins, sizes - length + 1)]
 
 
 def fragments_answered(rows: pa.Table, length: int) -> pa.Table:
@@ -230,12 +235,14 @@ def fragments_answered(rows: pa.Table, length: int) -> pa.Table:
     for at, (content, place) in enumerate(number):
         by_anchor.setdefault(content[place : place + GRAM], []).append(at)
     pieces, owners = [c for c, _ in number], np.array(least, np.int64)
+    counts = np.array([len(p) for p in pieces], np.int64) - (length - 1)
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    found = np.repeat(owners, counts)
     # A content alone with its anchor shares no string; the others are searched together.
     mixed = [at for group in by_anchor.values() if len(group) > 1 for at in group]
-    found = [np.full(len(p) - length + 1, o) for p, o in zip(pieces, least)]
-    for at, strings in zip(mixed, owners_of_strings([pieces[i] for i in mixed], owners[mixed], length) if mixed else ()):
-        found[at] = strings
-    out = [np.concatenate([found[at] for at in own]).tobytes() for own in asked]
+    if mixed:
+        found[ranges(begins[mixed], counts[mixed])] = owners_of_strings([pieces[i] for i in mixed], owners[mixed], length)
+    out = [found[ranges(begins[own], counts[own])].tobytes() for own in asked]
     return pa.table([rows["part"], rows["block"], pa.array(out, pa.binary())], ["part", "block", "owners"])
 
 
@@ -244,24 +251,33 @@ def removed_bytes(rows: pa.Table, answers: pa.Table, length: int, parts: int) ->
     block = Block(rows, length)
     anchors = answers.filter(pa.compute.is_valid(answers["totals"]))
     given = {p: o for p, o in zip(answers["part"].to_pylist(), answers["owners"].to_pylist()) if o is not None}
-    marks = [np.zeros(len(d) + 1, np.int32) if len(d) >= length else None for d in block.data]
+    ends_of = np.cumsum([len(d) + 1 for d in block.data])
+    begins_of = np.concatenate([[0], ends_of[:-1]])
+    offset, owner = begins_of.tolist(), block.owner.tolist()
+    up, down = [], []
     for part, found in contents(block, anchors, length, parts).items():
-        owners, at = np.frombuffer(given[part], np.int64), 0
-        for where in found.values():
-            count = where[0][2]
-            own = owners[at : at + count]
-            low, at = int(own.min()), at + count
+        owners = np.frombuffer(given[part], np.int64)
+        counts = np.array([where[0][2] for where in found.values()])
+        begins = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        low, high = np.minimum.reduceat(owners, begins).tolist(), np.maximum.reduceat(owners, begins).tolist()
+        for where, least, most, begin, count in zip(found.values(), low, high, begins.tolist(), counts.tolist()):
             for doc, first, _ in where:
-                if low < block.owner[doc]:
-                    starts = first + np.flatnonzero(own < block.owner[doc])
-                    marks[doc][starts] += 1
-                    marks[doc][starts + length] -= 1
+                own, at = owner[doc], offset[doc] + first
+                if most < own:
+                    up.append(at)
+                    down.append(at + count - 1 + length)
+                elif least < own:
+                    starts = (at + np.flatnonzero(owners[begin : begin + count] < own)).tolist()
+                    up += starts
+                    down += [s + length for s in starts]
+    size = int(ends_of[-1])
+    depth = np.cumsum(np.bincount(up, minlength=size) - np.bincount(down, minlength=size)) if up else np.zeros(size, np.int64)
+    edge = np.diff(np.concatenate([[0], (depth > 0).astype(np.int8)]))
     starts, ends = [], []
-    for mark in marks:
-        covered = np.concatenate([[0], np.cumsum(mark) > 0]).astype(np.int8) if mark is not None else np.zeros(1, np.int8)
-        edge = np.diff(covered)
-        starts.append(np.flatnonzero(edge == 1))
-        ends.append(np.flatnonzero(edge == -1))
+    for mark, out in ((1, starts), (-1, ends)):
+        places = np.flatnonzero(edge == mark)
+        cuts = np.searchsorted(places, begins_of[1:])
+        out += [p - b for p, b in zip(np.split(places, cuts), begins_of)]
     longs = pa.list_(pa.int64())
     return pa.table(
         [pa.array(block.ids, rows["doc_id"].type), pa.array(block.data, pa.binary()), pa.array(starts, longs), pa.array(ends, longs)],
