@@ -25,8 +25,9 @@ from urbanflow.session import drop_table, join_lookup, materialize
 # unconnected: fewer dissimilar documents agree in 8 values, and 80 bands miss (1 - 0.8 ** 8) ** 80 = 4e-7.
 SCHEMES = ((48, 4), (320, 8))
 WIDE = 512
-# Of 96 values of which 4 bits are compared, those that may differ; 18 are expected to at similarity 0.8, 4 sigma each.
-DIGITS, DIFFER = 96, 40
+# Before sets are compared, 4 bits of each of the second scheme's values are: so many of the first 96 and of all 640 may
+# differ. At similarity 0.8 on average 18 and 120 do; the bounds are 5.8 and 4.5 standard deviations above.
+DIFFER = ((96, 40), (640, 165))
 SHINGLE, SIMILAR = 5, 80
 # Words and columns that a task holds at once; only speed depends on them.
 REMEMBERED, COLUMNS = 1 << 19, 4096
@@ -85,14 +86,16 @@ def band_hashes(signature: np.ndarray, rows: int) -> np.ndarray:
 
 
 def packed_digits(signature: np.ndarray) -> np.ndarray:
-    """Four bits of each of the first `DIGITS` values, sixteen values to an integer."""
-    digits = (signature[:DIGITS] & np.uint64(15)).reshape(-1, 16)
+    """Four bits of each value, sixteen values to an integer."""
+    digits = (signature & np.uint64(15)).reshape(-1, 16)
     return np.bitwise_or.reduce(digits << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1).view(np.int64)
 
 
 def sketches(docs: DataFrame, size: int, scheme: tuple[int, int] = SCHEMES[0]) -> DataFrame:
-    """(doc_id, n, set_hash, bands, digits) per row of `docs` (doc_id, text); an empty set has only its size."""
+    """(doc_id, n, set_hash, bands, digits) per row of `docs` (doc_id, text); an empty set has only its size, and the first
+    scheme no digits."""
     permutations, per_band = scheme
+    digits = scheme == SCHEMES[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -103,7 +106,7 @@ def sketches(docs: DataFrame, size: int, scheme: tuple[int, int] = SCHEMES[0]) -
                 row = [len(s), None, None, None]
                 if len(s):
                     signature = min_max_signature(s, permutations)
-                    row = [len(s), xxhash.xxh128_digest(s.tobytes()), band_hashes(signature, per_band), packed_digits(signature)]
+                    row = [len(s), xxhash.xxh128_digest(s.tobytes()), band_hashes(signature, per_band), packed_digits(signature) if digits else None]
                 for column, value in zip(out, row):
                     column.append(value)
             types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -133,43 +136,76 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, compared whole."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    linked = both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared))
-    return linked.select("a", "b")
+    return both.where(similar(F.col("x"), F.col("y"), percent)).select("a", "b")
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
-    """(band, value, node, n, digits, center, size) of the classes that share a band's value with another."""
-    banded = materialize(classes.select("node", "n", "digits", F.posexplode("bands").alias("band", "value")))
-    buckets = banded.groupBy("band", "value").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
+    """(band, value, node, n, first, size, and digits if given) of the classes that share a band's value with another."""
+    banded = materialize(classes.select(*[c for c in classes.columns if c in ("node", "n", "digits")], F.posexplode("bands").alias("band", "value")))
+    buckets = banded.groupBy("band", "value").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size"))
     members = materialize(join_lookup(banded, buckets.where("size > 1"), ["band", "value"], "inner"))
     drop_table(banded)
     return members
 
 
+def star_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every member of a bucket with its first member and with its hub, where their sizes allow a link.
+
+    The hub shares the most places in buckets with others. The text that a group of copies was made from is closer to
+    each copy than these are to each other, so it is their hub, and its star connects them.
+    """
+    degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))
+    ranked = members.join(degrees, "node").select("band", "value", F.struct("degree", F.col("node").alias("hub")).alias("r"))
+    hubs = ranked.groupBy("band", "value").agg(F.max("r").alias("r")).select("band", "value", "r.hub")
+    both = join_lookup(members, hubs, ["band", "value"], "inner").select("node", "n", F.explode(F.array("first", "hub")).alias("b"))
+    pairs = both.where("node <> b").select(F.col("node").alias("a"), "n", "b").distinct()
+    sizes = members.select(F.col("node").alias("b"), F.col("n").alias("m")).distinct()
+    pairs = pairs.join(sizes, "b").where(_similar_size(percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _similar_size(percent: int) -> Column:
     return (100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n"))
 
 
+def _differing(digits: Column, others: Column) -> Column:
+    """How many of sixteen four-bit digits differ."""
+    x = digits.bitwiseXOR(others)
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+
+
 def _few_differ() -> Column:
-    """Whether at most `DIFFER` of the digits differ between two rows (digits, others)."""
-    count = F.lit(0)
-    for i in range(DIGITS // 16):
-        x = F.col("digits")[i].bitwiseXOR(F.col("others")[i])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        count = count + F.bit_count(x)
-    return count <= DIFFER
-
-
-def unconnected_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of a bucket that are not connected yet and not ruled out by their sizes or digits."""
+    """Whether few enough digits differ between two rows (digits, others); the first ones rule out most."""
+    (some, few), (_, most) = DIFFER
+    first = sum((_differing(F.col("digits")[i], F.col("others")[i]) for i in range(1, some // 16)), _differing(F.col("digits")[0], F.col("others")[0]))
+    total = F.aggregate(F.zip_with("digits", "others", _differing), F.lit(0), lambda a, x: a + x)
+    return (first <= few) & (total <= most)
+
+
+def mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their labels, of the buckets that are not connected."""
     labeled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = labeled.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    left = labeled.join(mixed.select("band", "value"), ["band", "value"], "left_semi").select("band", "value", "node", "n", "digits", "label")
-    right = left.select("band", "value", F.col("node").alias("b"), F.col("n").alias("m"), F.col("digits").alias("others"), F.col("label").alias("other"))
-    differ = (left.band == right.band) & (left.value == right.value) & (F.col("node") < F.col("b")) & (F.col("label") != F.col("other"))
-    return left.join(right, differ & _similar_size(percent) & _few_differ()).select(F.col("node").alias("a"), "b").distinct()
+    return labeled.join(mixed.select("band", "value"), ["band", "value"], "left_semi")
+
+
+def similar(x: Column, y: Column, percent: int) -> Column:
+    """Whether two sets, compared whole, reach the similarity."""
+    shared = F.size(F.array_intersect(x, y))
+    return 100 * shared >= percent * (F.size(x) + F.size(y) - shared)
+
+
+def unconnected_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): labeled members of a bucket that are not connected and not ruled out by their sizes or digits."""
+    left = members.select("band", "value", "node", "n", "digits", "label")
+    right = left.select(
+        F.col("band").alias("band2"), F.col("value").alias("value2"), F.col("node").alias("b"), F.col("n").alias("m"),
+        F.col("digits").alias("others"), F.col("label").alias("other"),
+    )
+    same = (F.col("band") == F.col("band2")) & (F.col("value") == F.col("value2"))
+    differ = (F.col("node") < F.col("b")) & (F.col("label") != F.col("other"))
+    return left.join(right, same & differ & _similar_size(percent) & _few_differ()).select(F.col("node").alias("a"), "b").distinct()
 
 
 def near_components(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR) -> DataFrame:
@@ -178,33 +214,30 @@ def near_components(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     Rows that share an id are one document. Rows without words are linked with nothing, and a class of rows that all
     have a NULL id has a NULL component. An empty table gives no rows.
 
-    In every bucket of a band, members are first compared with the smallest one; that connects groups of copies. Then
+    In every bucket of a band, members are first compared with two of them; that connects groups of copies. Then
     members of a bucket that are still unconnected are compared with each other. Buckets that are too wide for that are
     replaced by those of the second scheme over their members. No bucket is cut or left out.
     """
     ids = docs.select("doc_id", "text")
     rows = materialize(sketches(ids, size))
     classes = rows.where("set_hash IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_hash").agg(
-        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("digits").alias("digits")
+        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
     members = bucket_members(classes)
     nodes = members.select(F.col("node").alias("doc_id")).distinct()
     texts = join_lookup(ids.where("doc_id IS NOT NULL"), nodes, ["doc_id"], "left_semi")
     sets = materialize(full_sets(texts, size))
-    sizes = members.select(F.col("node").alias("b"), F.col("n").alias("m")).distinct()
-    stars = members.where("node <> center").select(F.col("node").alias("a"), "n", F.col("center").alias("b")).distinct()
-    stars = stars.join(sizes, "b").where(_similar_size(percent)).select("a", "b")
+    stars = star_pairs(members, percent)
     edges = materialize(confirmed(stars, sets, percent))
     labels = components(edges)
 
-    wide = members.where(F.col("size") > WIDE).join(labels, "node", "left")
-    label = F.coalesce("label", "node")
-    open_buckets = wide.groupBy("band", "value").agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low < high")
-    again = wide.join(open_buckets, ["band", "value"], "left_semi").select(F.col("node").alias("doc_id")).distinct()
-    finer = sketches(join_lookup(ids.where("doc_id IS NOT NULL"), again, ["doc_id"], "left_semi"), size, SCHEMES[1])
-    finer = bucket_members(finer.where("set_hash IS NOT NULL").withColumnRenamed("doc_id", "node"))
-    rest = unconnected_pairs(members.where(F.col("size") <= WIDE), labels, percent)
-    rest = rest.unionByName(unconnected_pairs(finer, labels, percent)).distinct()
+    mixed = materialize(mixed_buckets(members, labels))
+    again = mixed.select(F.col("node").alias("doc_id")).distinct()
+    finer = materialize(sketches(join_lookup(ids.where("doc_id IS NOT NULL"), again, ["doc_id"], "left_semi"), size, SCHEMES[1]).withColumnRenamed("doc_id", "node"))
+    narrow = mixed.where(F.col("size") <= WIDE).join(finer.select("node", "digits"), "node")
+    wide = finer.join(mixed.where(F.col("size") > WIDE).select("node").distinct(), "node", "left_semi")
+    wide = mixed_buckets(bucket_members(wide), labels)
+    rest = unconnected_pairs(narrow, percent).unionByName(unconnected_pairs(wide, percent)).distinct()
     more = confirmed(rest, sets, percent)
     final = components(materialize(edges.unionByName(more)), labels)
 
