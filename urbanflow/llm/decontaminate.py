@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanflow.llm.texts import as_row
+
 WINDOW, BLOCK = 10, 3
 # Bytes of item text per search. A benchmark beyond it is searched in as many passes within the same tasks, so what
 # is broadcast at once stays bounded.
@@ -139,7 +141,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` without any window of the benchmark, with their columns."""
-    return find_items(docs, benchmark).where(F.size("_spans") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return find_items(as_row(docs, "text"), benchmark).where(F.size("_spans") == 0).select("row.*")
 
 
 _SQL_WORDS = """regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"""

@@ -16,7 +16,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.texts import running_sums, whole
+from urbanflow.llm.texts import as_row, running_sums, whole
 from urbanflow.session import materialize
 
 # Kinds of the fixed rules, in the order in which they are listed, then the kinds that the classifier adds.
@@ -279,7 +279,7 @@ def masked(text: Column, spans: Column) -> Column:
 
 def mask_personal(docs: DataFrame) -> DataFrame:
     """The rows and columns of `docs` with the personal spans of `text` replaced; NULL stays NULL."""
-    found = materialize(candidate_spans(docs))
+    found = materialize(candidate_spans(as_row(docs, "text")).drop("text"))
     detected = detected_spans(found, fit_weak_labels(found))
-    text = masked(F.col("text"), F.col("_spans"))
-    return detected.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    text = masked(F.col("row.text"), F.col("_spans"))
+    return detected.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -13,7 +13,7 @@ from math import exp
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.texts import whole, words_of
+from urbanflow.llm.texts import as_row, whole, words_of
 from urbanflow.session import drop_table, join_lookup, materialize
 
 WINDOW = 5
@@ -219,5 +219,5 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that pass, with the columns of `docs` unchanged."""
-    counted = materialize(text_statistics(docs, out="_stats"))
-    return quality_verdicts(counted, "_stats").where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    counted = materialize(text_statistics(as_row(docs, "text", "lang", "source")).drop("text"))
+    return quality_verdicts(counted).where("_kept").select("row.*")

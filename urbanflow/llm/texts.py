@@ -23,6 +23,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
 
 
+def as_row(docs: DataFrame, *columns: str) -> DataFrame:
+    """All columns of `docs` as one struct `row`, and the named ones besides: what an operator adds clashes with none."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
 def running_sums(values: Column, block: int = 128) -> Column:
     """Sums of the values before each position, as an array one longer than `values`; linear in its length.
 
