@@ -43,7 +43,7 @@ def leaves(records: DataFrame) -> DataFrame:
         F.coalesce(F.col("page_id").cast("bigint"), F.lit(-1).cast("bigint")).alias("page_id"),
         F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("sha256"),
     )
-    shard = F.floor(F.col("page_id") / SHARD)
+    shard = F.expr(f"page_id div {SHARD}")
     order = Window.partitionBy(shard).orderBy("page_id", "sha256", "length")
     before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
     copy = F.row_number().over(Window.partitionBy(shard, "page_id").orderBy("sha256", "length"))
@@ -53,12 +53,13 @@ def leaves(records: DataFrame) -> DataFrame:
 def hash_tree(leaf_rows: DataFrame) -> list[DataFrame]:
     """Levels of the tree as written tables (node, start, end, hash), leaves' parents first, the root last.
 
-    A node of level k covers `FANOUT`^k consecutive ids. No leaves give one empty level.
+    A node of level k covers `FANOUT`^k consecutive ids; division cuts towards zero, so that negative ids end at the
+    same root. No leaves give one empty level.
     """
     levels, width = [], 1
     leaf = F.sha2(F.concat_ws("|", "sha256", F.col("start").cast("string"), F.col("length").cast("string")), 256)
     below = leaf_rows.select(
-        F.struct("page_id", "copy").alias("at"), F.floor(F.col("page_id") / FANOUT).alias("node"),
+        F.struct("page_id", "copy").alias("at"), F.expr(f"page_id div {FANOUT}").alias("node"),
         F.col("start"), (F.col("start") + F.col("length")).alias("end"), leaf.alias("hash"),
     )
     while True:
@@ -69,7 +70,7 @@ def hash_tree(leaf_rows: DataFrame) -> list[DataFrame]:
         width = level.count()
         if width <= 1:
             return levels
-        below = level.select(F.col("node").alias("at"), F.floor(F.col("node") / FANOUT).alias("node"), "start", "end", "hash")
+        below = level.select(F.col("node").alias("at"), F.expr(f"node div {FANOUT}").alias("node"), "start", "end", "hash")
 
 
 def _differing(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -93,12 +94,12 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     trees = [hash_tree(s) for s in sides]
     while len(trees[0]) != len(trees[1]):
         shorter = min(trees, key=len)
-        root = shorter[-1].select(F.floor(F.col("node") / FANOUT).alias("node"), "start", "end", F.sha2(F.concat(F.lit("up"), "hash"), 256).alias("hash"))
+        root = shorter[-1].select(F.expr(f"node div {FANOUT}").alias("node"), "start", "end", F.sha2(F.concat(F.lit("up"), "hash"), 256).alias("hash"))
         shorter.append(materialize(root))
     suspects = None
     for a, b in zip(reversed(trees[0]), reversed(trees[1])):
         if suspects is not None:
-            parent = F.floor(F.col("node") / FANOUT).alias("node")
+            parent = F.expr(f"node div {FANOUT}").alias("node")
             a, b = (t.withColumn("up", parent).join(suspects.withColumnRenamed("node", "up"), "up", "left_semi") for t in (a, b))
         found = materialize(_differing(a, b, ["node"], "hash"))
         if suspects is not None:
@@ -106,7 +107,7 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
         suspects = found
     keep = ["page_id", "copy", "start", "length", "sha256"]
     a, b = (
-        s.withColumn("node", F.floor(F.col("page_id") / FANOUT)).join(suspects, "node", "left_semi").select(*keep) for s in sides
+        s.withColumn("node", F.expr(f"page_id div {FANOUT}")).join(suspects, "node", "left_semi").select(*keep) for s in sides
     )
     right = b.select(*[F.col(c).alias(f"_{c}") for c in keep])
     joined = a.join(right, (F.col("page_id") == F.col("_page_id")) & (F.col("copy") == F.col("_copy")), "full_outer")
