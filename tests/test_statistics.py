@@ -159,3 +159,16 @@ def test_standardize_and_components(spark):
         axis = vectors[:, j] * np.sign(vectors[np.abs(vectors[:, j]).argmax(), j])
         np.testing.assert_allclose(scores[name], z @ axis, atol=1e-8)
     assert scores["pc1"].var() > scores["pc2"].var()
+
+
+@pytest.mark.parametrize("extra", [0, 12])
+def test_far_off_and_infinite_values(spark, extra):
+    """Rows of a pair alone decide its correlation, in narrow and wide tables alike."""
+    rows = [(1e8 + i, float(i * i % 7), float("inf") if i == 3 else float(i)) for i in range(10)] + [(0.0, None, 1.0)] * 1000
+    data = pd.DataFrame([(*r, *[float(k)] * extra) for k, r in enumerate(rows)], columns=["a", "b", "c", *[f"e{i}" for i in range(extra)]])
+    schema = ", ".join(f"{c} double" for c in data.columns)
+    values = [tuple(None if v is None or v != v else float(v) for v in r) for r in data.itertuples(index=False)]
+    got = {(r.x, r.y): r.r for r in X.corr_matrix(spark.createDataFrame(values, schema), ["a", "b", "c", *data.columns[3:]]).collect()}
+    present = data.iloc[:10]
+    assert got["a", "b"] == pytest.approx(np.corrcoef(present["a"] - 1e8, present["b"].astype(float))[0, 1], abs=1e-6)
+    assert got["a", "c"] is None and got["c", "c"] is None and got["a", "a"] == 1.0

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +13,6 @@ from urbanflow.operators.quantiles import approx_quantiles, exact_quantiles
 from urbanflow.session import materialize
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-# Up to this many pairs are plain aggregates, as much as one generated function takes before it is too long to be
-# compiled; wider matrices use block products.
-AGGREGATE_PAIRS = 10
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -80,19 +73,9 @@ def _positions(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("position"))
 
 
-def _pearson(x: Column, y: Column) -> Column:
-    """Pearson's r over the rows where both are present; NULL when either is constant there or nothing is left."""
-    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-    return _clamped(F.try_divide(F.regr_sxy(y, x), spread))
-
-
-def _itself(x: Column) -> Column:
-    """The correlation of a column with itself: 1, or NULL when it is constant or empty."""
-    return F.when(F.max(x) > F.min(x), F.lit(1.0))
-
-
 def _clamped(r: Column) -> Column:
-    """Within [-1, 1]; a missing r stays missing (least and greatest skip NULLs)."""
+    """Within [-1, 1]; a missing or undefined r is missing (least and greatest skip NULLs)."""
+    r = F.nanvl(r, F.lit(None).cast("double"))
     return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
@@ -101,62 +84,29 @@ def _clean(c: str) -> Column:
 
 
 def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(x, y, r) for the listed pairs, from one scan and one aggregate row. Missing values are deleted pairwise."""
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    if sum(x != y for x, y in pairs) <= AGGREGATE_PAIRS:
-        found = df.agg(*[(_itself(_clean(x)) if x == y else _pearson(_clean(x), _clean(y))).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-        cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r")) for i, (x, y) in enumerate(pairs)]
-        return found.select(F.explode(F.array(*cells)).alias("p")).select("p.*")
-    return _block_correlations(df, pairs)
-
+    """(x, y, r) for the listed pairs from one scan; missing values are deleted pairwise.
 
-def _block_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Pairwise moments as matrix products per Arrow batch, summed by Spark.
-
-    A task sends one row per pair, whatever the number of rows. Values are shifted by the column means first, which
-    keeps the sums of products accurate.
+    A row gives one cell per pair, and a task sends one partial aggregate per pair, whose moments are centred on the
+    rows of that pair and merge without cancellation. The work is linear in the number of pairs. A pair of which one
+    side is constant, empty or infinite has no r.
     """
-    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    means = df.agg(*[F.avg(_clean(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    shift = np.array([0.0 if m is None else m for m in means])
-    left = np.array([columns.index(x) for x, _ in pairs])
-    right = np.array([columns.index(y) for _, y in pairs])
-
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((6, len(left)))
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
-            here = ~np.isnan(x)
-            d = np.where(here, x - shift, 0.0)
-            m = here.astype(float)
-            products = (m.T @ m, d.T @ m, m.T @ d, (d * d).T @ m, m.T @ (d * d), d.T @ d)
-            for k, product in enumerate(products):
-                sums[k] += product[left, right]
-        arrays = [pa.array(np.arange(len(left)), pa.int32())] + [pa.array(s) for s in sums]
-        yield pa.RecordBatch.from_arrays(arrays, ["pair", "n", "sx", "sy", "sxx", "syy", "sxy"])
-
-    schema = "pair int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    cells = df.select([_clean(c).alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(moments, schema)
-    total = cells.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    vx = F.col("sxx") - F.try_divide(sx * sx, n)
-    vy = F.col("syy") - F.try_divide(sy * sy, n)
-    # Below this share of the raw sum a variance is rounding noise of a constant column.
-    noise = F.lit(1e-13)
-    vx = F.when(vx > noise * F.col("sxx"), vx)
-    vy = F.when(vy > noise * F.col("syy"), vy)
-    r = F.try_divide(F.col("sxy") - F.try_divide(sx * sy, n), F.sqrt(vx) * F.sqrt(vy))
-    named = df.sparkSession.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "pair int, x string, y string")
-    return named.join(total, "pair", "left").select("x", "y", _clamped(r).alias("r"))
+    spark = df.sparkSession
+    if not pairs:
+        return spark.createDataFrame([], "x string, y string, r double")
+    cells = [F.struct(F.lit(i).alias("pair"), _clean(x).alias("x"), _clean(y).alias("y")) for i, (x, y) in enumerate(pairs)]
+    both = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("x IS NOT NULL AND y IS NOT NULL")
+    spread = F.sqrt(F.regr_sxx("y", "x")) * F.sqrt(F.regr_syy("y", "x"))
+    varied = (F.max("x") > F.min("x")) & (F.max("y") > F.min("y"))
+    total = both.groupBy("pair").agg(F.when(varied, _clamped(F.try_divide(F.regr_sxy("y", "x"), spread))).alias("r"))
+    named = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "pair int, x string, y string")
+    itself = F.when((F.col("x") == F.col("y")) & F.col("r").isNotNull(), F.lit(1.0)).otherwise(F.col("r"))
+    return named.join(total, "pair", "left").select("x", "y", itself.alias("r"))
 
 
 def corr_matrix(df: DataFrame, columns: list[str] | None = None, digits: int | None = None) -> DataFrame:
     """Symmetric Pearson matrix in long form (x, y, r), diagonal included; only half of it is computed."""
     columns = columns or numeric_columns(df)
     half = pair_correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
-    one = F.when((F.col("x") == F.col("y")) & F.col("r").isNotNull(), F.lit(1.0)).otherwise(F.col("r"))
-    half = half.withColumn("r", one)
     cell = F.struct("x", "y", "r")
     mirrored = F.when(F.col("x") != F.col("y"), F.array(cell, F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "r")))
     full = half.select(F.explode(F.coalesce(mirrored, F.array(cell))).alias("p")).select("p.*")
