@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from urbanflow.functions.names import col_q, quoted
 
-# A pivot or one-hot turns values into columns; more than this many is an error that points to the long form.
-MAX_LEVELS = 10_000
 
 
 def with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,19 +93,22 @@ def mixed_profile(
     return partial.groupBy(*map(col_q, keys)).agg(*final).orderBy(*map(col_q, keys))
 
 
-def level_values(df: DataFrame, columns: list[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
-    """Sorted distinct values of each column, from one job. More than `max_levels` in a column is an error."""
+def level_values(df: DataFrame, columns: list[str], max_levels: int | None = None) -> dict[str, list]:
+    """Sorted distinct values of each column, from one job: they become columns of a plan, so the driver has them.
+
+    More than `max_levels` in a column is an error; there is no limit unless one is given.
+    """
     kinds = dict(df.dtypes)
     if len({kinds[c] for c in columns}) > 1:
         return {c: level_values(df, [c], max_levels)[c] for c in columns}
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), col_q(c).alias("v")) for c in columns])).alias("p"))
-    rows = pairs.select("p.c", "p.v").where("v IS NOT NULL").distinct().limit(max_levels * len(columns) + 1).collect()
+    rows = pairs.select("p.c", "p.v").where("v IS NOT NULL").distinct().collect()
     levels: dict[str, list] = {c: [] for c in columns}
     for row in rows:
         levels[row["c"]].append(row["v"])
     for c, values in levels.items():
-        if len(values) > max_levels or len(rows) > max_levels * len(columns):
-            raise ValueError(f"{c} has too many distinct values to become columns: keep it in long form (group_sum)")
+        if max_levels is not None and len(values) > max_levels:
+            raise ValueError(f"{c} has {len(values)} distinct values, too many to become columns: keep it in long form (group_sum)")
     return {c: sorted(values) for c, values in levels.items()}
 
 

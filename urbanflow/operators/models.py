@@ -41,8 +41,10 @@ def _tree_settings(params: dict) -> dict:
     that size imply it. No depth limit becomes the deepest tree possible."""
     leaf = max(params.get("min_samples_leaf", 1), ceil(params.get("min_samples_split", 2) / 2))
     depth = params.get("max_depth")
+    if depth is not None and int(depth) > DEEPEST:
+        raise ValueError(f"max_depth {depth} is above {DEEPEST}, the deepest tree possible")
     return {
-        "maxDepth": DEEPEST if depth is None else min(int(depth), DEEPEST),
+        "maxDepth": DEEPEST if depth is None else int(depth),
         "minInstancesPerNode": leaf,
         "featureSubsetStrategy": _subset(params.get("max_features")),
     }

@@ -16,7 +16,8 @@ def vector_of(columns: list[str]) -> Column:
     cells = []
     for c in columns:
         failure = F.raise_error(F.lit(f"missing value in feature {c}")).cast("double")
-        cells.append(F.coalesce(col_q(c).cast("double"), failure))
+        value = F.nanvl(col_q(c).cast("double"), F.lit(None).cast("double"))
+        cells.append(F.coalesce(value, failure))
     return array_to_vector(F.array(*cells))
 
 

@@ -141,7 +141,7 @@ def _(spark, sf):
 
 @query("kmeans_elbow")
 def _(spark, sf):
-    return K.kmeans_elbow(score_table(materialize(T.traffic(spark, sf))), SCORES, range(1, 11), max_iter=20, parallelism=4)
+    return K.kmeans_elbow(score_table(materialize(T.traffic(spark, sf))), SCORES, range(1, 11), parallelism=4)
 
 
 @query("kmeans_assign")
