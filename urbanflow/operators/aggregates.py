@@ -108,7 +108,7 @@ def level_values(df: DataFrame, columns: list[str], max_levels: int | None = Non
         levels[row["c"]].append(row["v"])
     for c, values in levels.items():
         if max_levels is not None and len(values) > max_levels:
-            raise ValueError(f"{c} has {len(values)} distinct values, too many to become columns: keep it in long form (group_sum)")
+            raise ValueError(f"{c} has too many distinct values ({len(values)}) to become columns: keep it in long form (group_sum)")
     return {c: sorted(values) for c, values in levels.items()}
 
 
