@@ -128,10 +128,9 @@ def pivot_sum(
 
 
 def share_of_total(df: DataFrame, key: str, value: str, digits: int = 1, out: str = "share") -> DataFrame:
-    """Sum per group and its percentage of the grand total (a scalar subquery, not a one-task window)."""
-    kept = with_keys(df, [key])
-    total = kept.agg(F.sum(col_q(value)).alias("t")).scalar()
-    sums = kept.groupBy(col_q(key)).agg(sum_or_zero(col_q(value)).alias("total"))
+    """Sum per group and its percentage of the grand total (a scalar subquery over the sums, not a one-task window)."""
+    sums = with_keys(df, [key]).groupBy(col_q(key)).agg(sum_or_zero(col_q(value)).alias("total"))
+    total = sums.agg(F.sum("total")).scalar()
     percent = F.try_divide(F.lit(100.0) * F.col("total"), total)
     return sums.select(col_q(key), "total", F.round(percent, digits).alias(out)).orderBy(col_q(key))
 

@@ -12,7 +12,7 @@ from urbanflow.functions.numbers import present
 from urbanflow.operators.aggregates import with_keys
 from urbanflow.operators.quantiles import exact_quantiles
 from urbanflow.operators.statistics import column_name, long_form
-from urbanflow.session import join_lookup
+from urbanflow.session import join_lookup, materialize
 
 # Fixed value: a box whisker reaches at most this many interquartile ranges.
 WHISKER = 1.5
@@ -111,9 +111,14 @@ def _fences() -> tuple[Column, Column]:
 
 
 def box_stats(df: DataFrame, groups: list[str], value: str, **options: int) -> DataFrame:
-    """Per group: n, quartiles, whiskers (the furthest values inside the fences) and the number of outliers."""
-    quartiles = exact_quantiles(df, groups, value, BOX_QUANTILES, **options)
-    joined = _with_quartiles(df, groups, value, quartiles)
+    """Per group: n, quartiles, whiskers (the furthest values inside the fences) and the number of outliers.
+
+    Keys and values are written once; ordering, bracketing and the fences read that table, so the input is computed once.
+    """
+    values = with_keys(df, groups).select(*map(col_q, groups), col_q(value).cast("double").alias("__v"))
+    cells = materialize(values.where(present(F.col("__v"))))
+    quartiles = exact_quantiles(cells, groups, "__v", BOX_QUANTILES, **options)
+    joined = _with_quartiles(cells, groups, "__v", quartiles)
     low, high = _fences()
     v = F.col("__v")
     spans = joined.groupBy(*map(col_q, groups), "n", "q1", "median", "q3").agg(

@@ -39,11 +39,14 @@ def offending_values(df: DataFrame, column: str, mapped: Column) -> DataFrame:
 
 
 def check_values(df: DataFrame, column: str, mapped: Column) -> DataFrame:
-    """The input, or an error listing values of `column` that `mapped` does not know. Runs one job."""
+    """The input, or an error listing values of `column` that `mapped` does not know; `offending_values` has them all.
+
+    Runs one job, and another to count them when there are more than the message shows.
+    """
     bad = offending_values(df, column, mapped)
     shown = bad.orderBy(F.col("value").asc_nulls_first()).limit(SHOWN + 1).collect()
     if shown:
-        more = " and more" if len(shown) > SHOWN else ""
+        more = f" and others, {bad.count()} in all" if len(shown) > SHOWN else ""
         raise ValueError(f"unexpected values in {column}: {[r['value'] for r in shown[:SHOWN]]}{more}")
     return df
 

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,16 +17,6 @@ from urbanflow.session import materialize
 SEED = 42
 
 
-@contextmanager
-def kept(df: DataFrame):
-    """Hold `df` in executor memory, spilling to disk, while several fits read it."""
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield held
-    finally:
-        held.unpersist()
-
-
 def _points(df: DataFrame, columns: list[str]) -> DataFrame:
     """The score columns alone, written once, as vectors: every iteration of every fit reads them again."""
     return materialize(df.select(*map(col_q, columns))).select(vector_of(columns).alias("features"))
@@ -45,6 +34,7 @@ def kmeans_elbow(
     k = 1 needs no fit: it is the number of rows times the total variance.
     """
     table = materialize(df.select(*map(col_q, columns)))
+    points = table.select(vector_of(columns).alias("features"))
 
     def inertia(k: int) -> float:
         if k == 1:
@@ -52,7 +42,7 @@ def kmeans_elbow(
             return float(table.agg(sum(parts[1:], parts[0]).alias("i")).first()["i"])
         return float(_fit(points, k, seed, max_iter).summary.trainingCost)
 
-    with kept(table.select(vector_of(columns).alias("features"))) as points, ThreadPoolExecutor(parallelism) as pool:
+    with ThreadPoolExecutor(parallelism) as pool:
         costs = list(pool.map(inheritable_thread_target(df.sparkSession)(inertia), ks))
     return df.sparkSession.createDataFrame(list(zip(ks, costs)), "k int, inertia double")
 
@@ -62,14 +52,26 @@ def kmeans_fit(df: DataFrame, columns: list[str], k: int = 2, seed: int = SEED,
 
 
 def kmeans_assign(df: DataFrame, columns: list[str], model: KMeansModel, out: str = "Cluster") -> DataFrame:
-    """Append the cluster of each row. The label is computed on the row itself, so nothing is matched by position."""
+    """Append the cluster of each row, numbered by ascending centre, so that runs are comparable.
+
+    The label is computed on the row itself, so nothing is matched by position.
+    """
     scored = model.transform(df.withColumn("features", vector_of(columns)))
-    return scored.withColumnRenamed("cluster", out).drop("features")
+    order = _by_center(model)
+    numbers = F.array(*[F.lit(order.index(i)) for i in range(len(order))])
+    return scored.withColumn("cluster", numbers[F.col("cluster")]).withColumnRenamed("cluster", out).drop("features")
+
+
+def _by_center(model: KMeansModel) -> list[int]:
+    """The model's clusters in the ascending order of their centres."""
+    centers = [tuple(map(float, c)) for c in model.clusterCenters()]
+    return sorted(range(len(centers)), key=lambda i: centers[i])
 
 
 def cluster_centers(df: DataFrame, columns: list[str], model: KMeansModel) -> DataFrame:
-    """(Cluster, one column per score): the centres in the space that was clustered."""
-    rows = [(i, *map(float, center)) for i, center in enumerate(model.clusterCenters())]
+    """(Cluster, one column per score): the centres, ascending, in the space that was clustered."""
+    centers = model.clusterCenters()
+    rows = [(number, *map(float, centers[i])) for number, i in enumerate(_by_center(model))]
     return df.sparkSession.createDataFrame(rows, ", ".join(["Cluster int", *[f"`{c}` double" for c in columns]]))
 
 

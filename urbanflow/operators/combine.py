@@ -14,13 +14,13 @@ from urbanflow.session import join_lookup
 def enrich_left_join(facts: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
     """Left-join facts to a dimension that is unique on `on`: the row count is preserved.
 
-    Missing keys match nothing. Columns of the dimension that the facts also have are an error, because a silent
-    suffix would hide one of them.
+    Missing keys match nothing. A key that the dimension repeats is an error, and so are columns of the dimension that
+    the facts also have, because a silent suffix would hide one of them.
     """
     clash = [c for c in dimension.columns if c != on and c in facts.columns]
     if clash:
         raise ValueError(f"both sides have columns {clash}: rename them first")
-    return join_lookup(facts, dimension, [on], "left")
+    return join_lookup(facts, dimension, [on], "left", unique=True)
 
 
 def holiday_flag(df: DataFrame, column: str, dates: DataFrame, out: str = "listed") -> DataFrame:

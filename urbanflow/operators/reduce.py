@@ -22,19 +22,20 @@ def vector_of(columns: list[str]) -> Column:
 
 
 def standardize(df: DataFrame, columns: list[str], suffix: str = "") -> DataFrame:
-    """(x - mean) / population deviation per column; a constant column becomes 0.
+    """(x - mean) / population deviation per column; a constant column becomes 0, a missing value (NULL, NaN) NULL.
 
     Means and deviations are one row of aggregates (a scalar subquery), so the data is not shuffled. With a suffix
     the originals stay and the new columns are appended.
     """
+    values = [F.nanvl(col_q(c).cast("double"), F.lit(None).cast("double")) for c in columns]
     moments = []
-    for i, c in enumerate(columns):
-        moments += [F.avg(col_q(c)).alias(f"m{i}"), F.stddev_pop(col_q(c)).alias(f"s{i}")]
+    for i, v in enumerate(values):
+        moments += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}")]
     stats = df.agg(F.struct(*moments).alias("s")).scalar()
     scaled = {}
-    for i, c in enumerate(columns):
+    for i, (c, v) in enumerate(zip(columns, values)):
         spread = F.when(stats[f"s{i}"] == 0, F.lit(1.0)).otherwise(stats[f"s{i}"])
-        scaled[c] = ((col_q(c) - stats[f"m{i}"]) / spread).alias(c + suffix)
+        scaled[c] = ((v - stats[f"m{i}"]) / spread).alias(c + suffix)
     if suffix:
         return df.select("*", *scaled.values())
     return df.select([scaled.get(c, col_q(c)) for c in df.columns])

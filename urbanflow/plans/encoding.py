@@ -9,17 +9,17 @@ from urbanflow.operators.projection import select_allowlist_ordered, select_allo
 from urbanflow.sources.tables import read_table, write_table
 
 
-def run_encoding(spark: SparkSession, enriched: str, out: str, drop: tuple[str, ...] = ("sunrise", "sunset"), **options) -> tuple[int, int]:
+def run_encoding(spark: SparkSession, enriched: str, out: str, drop: tuple[str, ...] = ("sunrise", "sunset"), schema=None, **options) -> tuple[int, int]:
     """Write the all-numeric table and return (rows, columns)."""
-    table = read_table(spark, enriched)
+    table = read_table(spark, enriched, schema)
     return write_table(encode_dataset(table, drop=tuple(c for c in drop if c in table.columns), **options), out)
 
 
-def run_subset_ordered(spark: SparkSession, encoded: str, out: str) -> tuple[int, int]:
-    return write_table(select_allowlist_ordered(read_table(spark, encoded)), out)
+def run_subset_ordered(spark: SparkSession, encoded: str, out: str, schema=None) -> tuple[int, int]:
+    return write_table(select_allowlist_ordered(read_table(spark, encoded, schema)), out)
 
 
-def run_subset_stable(spark: SparkSession, encoded: str, out: str) -> tuple[int, int, list[str]]:
+def run_subset_stable(spark: SparkSession, encoded: str, out: str, schema=None) -> tuple[int, int, list[str]]:
     """(rows, columns, direct columns that are missing)."""
-    table, missing = select_allowlist_stable(read_table(spark, encoded))
+    table, missing = select_allowlist_stable(read_table(spark, encoded, schema))
     return (*write_table(table, out), missing)

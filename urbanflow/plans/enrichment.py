@@ -33,9 +33,12 @@ def load_weather(spark: SparkSession, path: str, order: list[str], schema=None)
     return daily_weather(read_table(spark, path, schema), order)
 
 
-def stitch_weather(spark: SparkSession, earlier: str, later: str, out: str, cutoff: str = S.STITCH_CUTOFF) -> tuple[int, int]:
+def stitch_weather(
+    spark: SparkSession, earlier: str, later: str, out: str, cutoff: str = S.STITCH_CUTOFF, *, earlier_schema=None, later_schema=None
+) -> tuple[int, int]:
     """Join two overlapping exports at the cutoff and write the result."""
-    return write_table(stitch_at_cutoff(read_table(spark, earlier), read_table(spark, later), S.WEATHER_DATE, cutoff), out)
+    first, second = read_table(spark, earlier, earlier_schema), read_table(spark, later, later_schema)
+    return write_table(stitch_at_cutoff(first, second, S.WEATHER_DATE, cutoff), out)
 
 
 def enrich_rows(df: DataFrame, date: str = S.DATE) -> DataFrame:
@@ -59,9 +62,12 @@ def enrich_dataset(traffic: DataFrame, weather: DataFrame, holidays: DataFrame)
 
 
 def run_enrichment(
-    spark: SparkSession, traffic: str, weather: str, holidays: str, out: str, weather_order: list[str]
+    spark: SparkSession, traffic: str, weather: str, holidays: str, out: str, weather_order: list[str],
+    *, traffic_schema=None, weather_schema=None,
 ) -> tuple[int, int]:
+    """Write the enriched rows and return (rows, columns). With the schemas given, no CSV is read just to infer them."""
     enriched = enrich_dataset(
-        load_traffic(spark, traffic), load_weather(spark, weather, weather_order), holiday_calendar(spark, holidays)
-    )
+        load_traffic(spark, traffic, traffic_schema), load_weather(spark, weather, weather_order, weather_schema),
+        holiday_calendar(spark, holidays),
+    )
     return write_table(enriched, out)

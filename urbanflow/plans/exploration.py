@@ -6,8 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from urbanflow import schema as S
+from urbanflow.functions.names import col_q
+from urbanflow.functions.numbers import present
 from urbanflow.operators.aggregates import (
     group_sum_labelled,
     level_values,
@@ -58,8 +61,12 @@ def chart_tables(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def score_table(df: DataFrame, columns: list[str] = S.MEASURES) -> DataFrame:
-    """The rows with their scores on the first two principal axes of the standardised columns."""
-    scaled = standardize(df, columns, SCALED)
+    """The rows with their scores on the first two principal axes of the standardised columns.
+
+    A row that misses one of the columns (NULL or NaN) has no place on the axes and is left out.
+    """
+    complete = df.where(F.forall(F.array(*[present(col_q(c).cast("double")) for c in columns]), lambda known: known))
+    scaled = standardize(complete, columns, SCALED)
     return pca_scores(scaled, [c + SCALED for c in columns]).drop(*[c + SCALED for c in columns])
 
 

@@ -104,14 +104,18 @@ def release_tables(spark: SparkSession) -> None:
 
 
 def join_lookup(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_bytes: int = BROADCAST_BYTES
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", max_bytes: int = BROADCAST_BYTES, *, unique: bool = False
 ) -> DataFrame:
     """Equi-join a large table with a lookup table.
 
     The lookup is computed once and measured as it is written. Within `max_bytes` it is broadcast, so the large side
     is neither shuffled nor sorted; beyond it, or when its size is unknown, the join is a shuffled one, in which
-    adaptive execution splits hot keys.
+    adaptive execution splits hot keys. With `unique`, keys that the written lookup repeats are an error.
     """
     table, size = _written(right)
+    if unique:
+        repeated = table.dropna(subset=keys).groupBy(*map(col_q, keys)).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").head(1)
+        if repeated:
+            raise ValueError(f"the lookup repeats the key {repeated[0].asDict()}")
     small = size is not None and size <= max_bytes
     return left.join(F.broadcast(table) if small else table, keys, how)

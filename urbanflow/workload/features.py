@@ -11,7 +11,7 @@ from urbanflow.functions import text as X
 from urbanflow.operators import encode as E
 from urbanflow.operators import projection as P
 from urbanflow.operators.reduce import standardize
-from urbanflow.operators.rules import ADVISORY_RULES, advisory_rules
+from urbanflow.operators.rules import advisory_rules
 from urbanflow.plans.enrichment import daily_weather, enrich_dataset
 from urbanflow.plans.exploration import area_road_advisories, area_road_profile
 from urbanflow.session import materialize
@@ -269,14 +269,6 @@ def _(spark, sf):
     return rounded(kept, 9)
 
 
-def _ladder_sql(ladder, column: str) -> str:
-    whens = " ".join(
-        "WHEN " + " AND ".join(f"{column} {sign} {repr(constant)}" for sign, constant in step.when) + f" THEN '{step.text}'"
-        for step in ladder.steps
-    )
-    return f"CASE {whens}" + (f" ELSE '{ladder.otherwise}'" if ladder.otherwise else "") + " END"
-
-
 PROFILE_MEANS = [c for c in S.MEASURES if c != "Incident Reports"]
 PROFILE_CTES = f"""{T.TRAFFIC},
   t AS (SELECT "Area Name" AS area, "Road/Intersection Name" AS road, "Weather Conditions" AS weather,
@@ -288,7 +280,20 @@ PROFILE_CTES = f"""{T.TRAFFIC},
           w.weather AS "Weather Conditions", r.roadwork AS "Roadwork and Construction Activity" FROM g
           JOIN {mode_sql("t", "area, road", "weather", "weather")} w USING (area, road)
           JOIN {mode_sql("t", "area, road", "roadwork", "roadwork")} r USING (area, road))"""
-ADVISED_SQL = f"""concat_ws(' | ', {", ".join(_ladder_sql(ladder, f'"{ladder.column}"') for ladder in ADVISORY_RULES)})"""
+# Written out, not derived from the rule table that they check.
+ADVISED_SQL = """concat_ws(' | ',
+  CASE WHEN "Congestion Level" > 75 THEN 'Congestion high: avoid at peak hours'
+       WHEN "Congestion Level" > 50 AND "Congestion Level" < 75 THEN 'Congestion moderate: allow extra time'
+       ELSE 'Congestion low: free flow' END,
+  CASE WHEN "Incident Reports" > 10 THEN 'Incidents frequent: delays are likely'
+       WHEN "Incident Reports" > 5 THEN 'Incidents occasional: short delays possible' ELSE 'Incidents rare' END,
+  CASE WHEN "Environmental Impact" > 150 THEN 'Emissions high: travel less if possible'
+       WHEN "Environmental Impact" > 100 THEN 'Emissions moderate: watch air quality' ELSE 'Emissions low' END,
+  CASE WHEN "Average Speed" < 20 THEN 'Speed low: slow traffic' WHEN "Average Speed" < 40 THEN 'Speed moderate'
+       ELSE 'Speed high' END,
+  CASE WHEN "Travel Time Index" > 1.3 THEN 'Trips take longer than usual' ELSE 'Trips take the usual time' END,
+  CASE "Weather Conditions" WHEN 'Rain' THEN 'Wet roads: drive with care' WHEN 'Fog' THEN 'Poor sight: keep a distance'
+       WHEN 'Clear' THEN 'Weather clear' END)"""
 
 
 @query(

@@ -139,6 +139,45 @@ def _(spark, sf):
     return rounded(K.kmeans_elbow(T.table(spark, sf, "lineitem"), ["l_quantity", "l_discount"], range(1, 2)), 2)
 
 
+# Two far-apart groups, so that SQL can state what the clustering finds.
+GROUP_CASE = "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END"
+GROUPED = f"SELECT *, {GROUP_CASE} AS g, l_quantity + 1000 * {GROUP_CASE} AS x FROM lineitem"
+
+
+def _two_groups(spark, sf) -> DataFrame:
+    lines = T.table(spark, sf, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", F.expr(f"l_quantity + 1000 * {GROUP_CASE}").alias("x"), "l_discount")
+
+
+@query("kmeans_two_groups", f'SELECT l_orderkey, l_linenumber, l_partkey, CAST(g AS INTEGER) AS "Cluster" FROM ({GROUPED})')
+def _(spark, sf):
+    lines = _two_groups(spark, sf)
+    found = K.kmeans_assign(lines, ["x", "l_discount"], K.kmeans_fit(lines, ["x", "l_discount"]))
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "Cluster")
+
+
+@query(
+    "centers_of_two_groups",
+    f'SELECT CAST(g AS INTEGER) AS "Cluster", round(avg(x), 4) AS x, round(avg(l_discount), 4) AS l_discount FROM ({GROUPED}) GROUP BY g',
+)
+def _(spark, sf):
+    lines = _two_groups(spark, sf)
+    columns = ["x", "l_discount"]
+    return rounded(K.cluster_centers(lines, columns, K.kmeans_fit(lines, columns)), 4)
+
+
+# Distances are computed to six digits or better, so the curve is compared by its logarithm.
+@query(
+    "elbow_of_two_groups",
+    f"""WITH l AS ({GROUPED}), parts AS (SELECT count(*) * (var_pop(x) + var_pop(l_discount)) AS i FROM l GROUP BY g)
+        SELECT 1 AS k, round(log10(count(*) * (var_pop(x) + var_pop(l_discount))), 4) AS inertia FROM l
+        UNION ALL SELECT 2, round(log10(sum(i)), 4) FROM parts""",
+)
+def _(spark, sf):
+    curve = K.kmeans_elbow(_two_groups(spark, sf), ["x", "l_discount"], range(1, 3))
+    return curve.select("k", F.round(F.log10("inertia"), 4).alias("inertia"))
+
+
 @query("kmeans_elbow")
 def _(spark, sf):
     return K.kmeans_elbow(score_table(materialize(T.traffic(spark, sf))), SCORES, range(1, 11), parallelism=4)

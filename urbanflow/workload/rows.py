@@ -55,7 +55,7 @@ def _(spark, sf):
           FROM (DESCRIBE SELECT * FROM lineitem))""",
 )
 def _(spark, sf):
-    return IO.schema_probe(T.table(spark, sf, "lineitem"))
+    return IO.schema_probe(IO.read_table(spark, f"{sf}/lineitem.parquet"))
 
 
 @query("row_count", "SELECT count(*) AS rows FROM lineitem")
@@ -63,9 +63,9 @@ def _(spark, sf):
     return row_count(T.table(spark, sf, "lineitem"))
 
 
-@query("shape", "SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns FROM lineitem")
+@query("shape", "SELECT count(*) AS rows, (SELECT count(*) FROM (DESCRIBE SELECT * FROM lineitem)) AS columns FROM lineitem")
 def _(spark, sf):
-    return shape(T.table(spark, sf, "lineitem"))
+    return shape(IO.read_table(spark, f"{sf}/lineitem.parquet"))
 
 
 @query("preview", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5")
@@ -142,8 +142,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     lines = T.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
-    names = P.feature_names(lines, "l_extendedprice", ["l_orderkey"])
-    return lines.select(*map(col_q, names), F.col("l_extendedprice").alias("label"))
+    features, label = P.feature_target_split(lines, "l_extendedprice", ["l_orderkey"])
+    return lines.select(*map(col_q, features.columns), *[col_q(c).alias("label") for c in label.columns])
 
 
 @query(
@@ -183,8 +183,16 @@ def _(spark, sf):
     return K.check_numeric(T.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_tax", "l_linenumber"))
 
 
+@query("check_values", "SELECT o_orderkey, o_orderstatus FROM orders")
+def _(spark, sf):
+    from urbanflow.functions.text import trim_lower_map
+
+    orders = T.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return K.check_values(orders, "o_orderstatus", trim_lower_map(F.col("o_orderstatus"), {"f": 0, "o": 1, "p": 2}))
+
+
 @query(
-    "check_values",
+    "offending_values",
     "SELECT lang AS value, count(*) AS rows FROM documents WHERE lang NOT IN ('en', 'fr') GROUP BY lang",
 )
 def _(spark, sf):

@@ -78,21 +78,25 @@ ORDER_MEASURES = [
     ("Parking Usage", "round(100 * sum(l_discount), 9)"),
     ("Pedestrian and Cyclist Count", "count(*)"),
 ]
+COUNTS = ("Incident Reports", "Pedestrian and Cyclist Count")
 WEATHER_CASE = """CASE o_orderpriority WHEN '1-URGENT' THEN 'Rain' WHEN '2-HIGH' THEN 'Fog' WHEN '3-MEDIUM' THEN 'Clear'
        WHEN '4-NOT SPECIFIED' THEN 'Windy' ELSE 'Overcast' END"""
 ROADWORK_CASE = "CASE o_orderstatus WHEN 'F' THEN ' Yes ' WHEN 'O' THEN 'no' ELSE 'NO' END"
 
 
 def traffic(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders that have lineitems, as traffic rows with the column names of the data files and the key `k`."""
+    """All orders, as traffic rows with the column names of the data files and the key `k`.
+
+    An order without lineitems has the counts 0 and no other measurements.
+    """
     lines = table(spark, sf, "lineitem")
     measures = lines.groupBy("l_orderkey").agg(*[F.expr(e).alias(c) for c, e in ORDER_MEASURES])
-    orders = table(spark, sf, "orders").join(measures, F.col("o_orderkey") == F.col("l_orderkey"))
+    orders = table(spark, sf, "orders").join(measures, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     joined = orders.join(places(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
     return joined.select(
         F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias(S.DATE), F.col("area").alias(S.AREA),
         F.col("road").alias(S.ROAD), F.col("o_totalprice").alias(S.VOLUME),
-        *[F.col(c) for c, _ in ORDER_MEASURES],
+        *[F.coalesce(c, F.lit(0)).alias(c) if c in COUNTS else F.col(c) for c, _ in ORDER_MEASURES],
         F.expr(WEATHER_CASE).alias(S.WEATHER), F.expr(ROADWORK_CASE).alias(S.ROADWORK),
     )
 
@@ -100,9 +104,9 @@ def traffic(spark: SparkSession, sf: str) -> DataFrame:
 TRAFFIC = f"""traffic AS (
   SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS "Date", r_name AS "Area Name",
          n_name AS "Road/Intersection Name", o_totalprice AS "Traffic Volume",
-         {", ".join(f'm."{c}"' for c, _ in ORDER_MEASURES)},
+         {", ".join(f'coalesce(m."{c}", 0) AS "{c}"' if c in COUNTS else f'm."{c}"' for c, _ in ORDER_MEASURES)},
          {WEATHER_CASE} AS "Weather Conditions", {ROADWORK_CASE} AS "Roadwork and Construction Activity"
-  FROM orders JOIN (SELECT l_orderkey, {", ".join(f'{e} AS "{c}"' for c, e in ORDER_MEASURES)}
+  FROM orders LEFT JOIN (SELECT l_orderkey,{", ".join(f'{e} AS "{c}"' for c, e in ORDER_MEASURES)}
                     FROM lineitem GROUP BY l_orderkey) m ON o_orderkey = l_orderkey
        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey)"""
