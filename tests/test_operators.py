@@ -243,3 +243,26 @@ def test_advisory_boundaries(spark, congestion, word):
     assert parts[4] == "Trips take the usual time"
     with_rain = R.advisory_rules(df.withColumn("Weather Conditions", F.lit("Rain"))).first()["Overall Advisory"]
     assert with_rain.endswith(" | Wet roads: drive with care")
+
+
+def test_enrich_left_join_refuses_repeated_keys(spark):
+    facts = spark.createDataFrame([(1, "a")], "k int, d string")
+    with pytest.raises(ValueError, match="repeats the key"):
+        C.enrich_left_join(facts, spark.createDataFrame([("a", 1), ("a", 2)], "d string, t int"), "d")
+    missing = spark.createDataFrame([(None, 1), (None, 2)], "d string, t int")
+    assert C.enrich_left_join(facts, missing, "d").count() == 1
+
+
+def test_standardize_ignores_nan(spark):
+    from urbanflow.operators.reduce import standardize
+
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "v double")
+    assert sorted(r.v for r in standardize(df, ["v"]).where("v IS NOT NULL").collect()) == [-1.0, 1.0]
+
+
+def test_check_values_counts_all_bad_values(spark):
+    from urbanflow.operators.checks import check_values
+
+    df = spark.range(25).select(F.col("id").cast("string").alias("v"))
+    with pytest.raises(ValueError, match="25 in all"):
+        check_values(df, "v", F.lit(None).cast("int"))
