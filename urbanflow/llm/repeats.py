@@ -12,6 +12,7 @@ document loses every byte of a string whose owner is a smaller document.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ LENGTH, GRAM = 50, 24
 # Documents of an anchor from which its fragments are cut into single strings, which are dealt by their own hashes: the
 # strings inside a passage that very many documents share collapse, and those with their different surroundings spread.
 CROWD = 4096
+# Bytes of texts whose anchors are chosen at once, a longer text by itself; only speed depends on it.
+RUN_BYTES = 1 << 17
 _LAST = np.int64(2**63 - 1)
 
 
@@ -47,12 +50,18 @@ def gram_hashes(data: bytes) -> np.ndarray:
     return _mixed(total)
 
 
-def fragments(data: bytes, hashes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first string, last string, anchor) of the fragments of one text; the leftmost of equal hashes is the anchor."""
-    strings, window = len(data) - length + 1, length - GRAM + 1
-    if strings <= 0:
+def fragments(data: bytes, sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first string, last string, anchor, hash) of the fragments of texts of `sizes` bytes, one after another in
+    `data`; the leftmost of equal hashes is the anchor."""
+    strings, window = max(len(data) - length + 1, 0), length - GRAM + 1
+    ends = np.cumsum(sizes)
+    text = np.repeat(np.arange(len(sizes)), sizes)[:strings]
+    # No string crosses into the next text, so neither do the places among which its anchor is chosen.
+    inside = np.flatnonzero(np.arange(strings) + length <= ends[text])
+    if not len(inside):
         none = np.empty(0, np.int64)
-        return none, none, none
+        return none, none, none, none, np.empty(0, np.uint64)
+    hashes = gram_hashes(data)
     least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     width = 1
     while 2 * width <= window:
@@ -60,10 +69,12 @@ def fragments(data: bytes, hashes: np.ndarray, length: int = LENGTH) -> tuple[np
         width *= 2
     if width < window:
         least = np.minimum(least[:strings], least[window - width : window - width + strings])
-    anchor = (least[:strings] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    last = np.concatenate([first[1:], [strings]]) - 1
-    return first, last, anchor[first]
+    anchor = (least[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    change = np.flatnonzero(anchor[1:] != anchor[:-1])
+    first, last = inside[np.append(0, change + 1)], inside[np.append(change, len(inside) - 1)]
+    anchor, text = anchor[np.append(0, change + 1)], text[first]
+    begin = (ends - sizes)[text]
+    return text, first - begin, last - begin, anchor - begin, hashes[anchor]
 
 
 class Block:
@@ -76,11 +87,13 @@ class Block:
         self.ids = [ids[i] for i in order]
         self.owner = np.array([_LAST if ids[i] is None else ids[i] for i in order], np.int64)
         self.data = [(texts[i] or "").encode() for i in order]
+        sizes = np.array([len(d) for d in self.data], np.int64)
+        run = np.cumsum(sizes) // RUN_BYTES
+        cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(self.data)]
         parts = []
-        for number, data in enumerate(self.data):
-            hashes = gram_hashes(data)
-            first, last, anchor = fragments(data, hashes, length)
-            parts.append((np.full(len(first), number), first, last, anchor, hashes[anchor]))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            text, *rest = fragments(b"".join(self.data[a:b]), sizes[a:b], length)
+            parts.append((text + a, *rest))
         self.doc, self.first, self.last, self.anchor, self.hash = (np.concatenate(x) for x in zip(*parts))
         self.keys, self.key = np.unique(self.hash, return_inverse=True)
 
@@ -117,19 +130,28 @@ def contents(block: Block, answers: pa.Table, length: int, parts: int) -> dict[i
         totals[places] = unpacked(given[part], len(places))
     found: dict[int, dict[tuple[bytes, int], list[tuple[int, int, int]]]] = {}
     shared = np.flatnonzero(totals[block.key] > 1)
-    crowd = (totals[block.key[shared]] > CROWD).tolist()
-    target = ((block.hash[shared] >> np.uint64(24)) % np.uint64(parts)).tolist()
-    columns = (block.doc[shared].tolist(), block.first[shared].tolist(), block.last[shared].tolist(), block.anchor[shared].tolist())
-    for doc, first, last, anchor, part, many in zip(*columns, target, crowd):
+    many = totals[block.key[shared]] > CROWD
+
+    def listed(at: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, first string, last string, anchor) of some fragments, by ascending document."""
+        return zip(block.doc[at].tolist(), block.first[at].tolist(), block.last[at].tolist(), block.anchor[at].tolist())
+
+    few = shared[~many]
+    for part, places in by_part(block.hash[few], parts):
+        own: dict[tuple[bytes, int], list[tuple[int, int, int]]] = {}
+        for doc, first, last, anchor in listed(few[places]):
+            key = block.data[doc][first : last + length], anchor - first
+            if key in own:
+                own[key].append((doc, first, last - first + 1))
+            else:
+                own[key] = [(doc, first, last - first + 1)]
+        found[part] = own
+    for doc, first, last, anchor in listed(shared[many]):
         data = block.data[doc]
-        if not many:
-            key = data[first : last + length], anchor - first
-            found.setdefault(part, {}).setdefault(key, []).append((doc, first, last - first + 1))
-            continue
         for at in range(first, last + 1):
             string = data[at : at + length]
-            own = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little") % parts
-            found.setdefault(own, {}).setdefault((string, anchor - at), []).append((doc, at, 1))
+            part = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little") % parts
+            found.setdefault(part, {}).setdefault((string, anchor - at), []).append((doc, at, 1))
     return found
 
 
@@ -148,15 +170,22 @@ def fragments_asked(rows: pa.Table, answers: pa.Table, length: int, parts: int)
 
 
 def sorted_suffixes(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of the next `depth` symbols at least."""
-    rank, width = symbols.astype(np.int64), 1
+    """Positions in the order of the next `depth` symbols at least; symbols are below 512."""
+    n, width = len(symbols), 7
+    key = np.zeros(n, np.int64)  # seven symbols of nine bits, zeros beyond the end
+    for at in range(width):
+        key <<= 9
+        key[: n - at] |= symbols[at:]
     while True:
-        ahead = np.zeros(len(rank), np.int64)
-        ahead[:-width] = rank[width:] + 1
-        _, rank = np.unique(rank * (int(ahead.max()) + 1) + ahead, return_inverse=True)
+        order = np.argsort(key)
+        if width >= depth or width >= n:
+            return order
+        ahead = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.append(0, ahead[1:] != ahead[:-1]))
+        key = rank * (n + 1)
+        key[:-width] += rank[width:] + 1
         width *= 2
-        if width >= depth or width >= len(rank):
-            return np.argsort(rank, kind="stable")
 
 
 def prefix_borders(transform: np.ndarray, depth: int) -> np.ndarray:
@@ -169,18 +198,20 @@ def prefix_borders(transform: np.ndarray, depth: int) -> np.ndarray:
     n = len(transform)
     border = np.zeros(n + 1, bool)
     order = np.argsort(transform, kind="stable")
-    follow = np.empty(n, np.int64)  # where the suffix that starts one symbol earlier stands
+    follow = np.empty(n, np.int32 if n < 1 << 31 else np.int64)  # where the suffix that starts one symbol earlier stands
     follow[order] = np.arange(n)
+    symbols = transform[order]
     left, right = np.array([0]), np.array([n])
     for _ in range(depth):
         sizes = right - left
         places = np.repeat(left - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(int(sizes.sum()))
-        to = np.sort(follow[places])
+        at = follow[places]
+        to = np.sort(at)
         # In one interval the suffixes of one symbol are a run; runs of different intervals may touch, so the interval
         # and the symbol are compared, not the gap.
-        from_interval = np.empty(n, np.int64)
-        from_interval[follow[places]] = np.repeat(np.arange(len(left)), sizes)
-        symbol = transform[order[to]]
+        from_interval = np.empty(n, follow.dtype)
+        from_interval[at] = np.repeat(np.arange(len(left)), sizes)
+        symbol = symbols[to]
         own = from_interval[to]
         new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (symbol[1:] != symbol[:-1]) | (to[1:] != to[:-1] + 1)]))
         begin = to[new]
