@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.texts import as_row
+from urbanflow.llm.texts import as_row, sliced
 
 WINDOW, BLOCK = 10, 3
 # Bytes of item text per search. A benchmark beyond it is searched in as many passes within the same tasks, so what
@@ -109,7 +109,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", window
 def _scan(items, text: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searches = searches_of(items.value, window)
-        for batch in batches:
+        for batch in sliced(batches):
             names = batch.schema.names
             counts, spans, ids = [], [], []
             before = zip(batch["_spans"].to_pylist(), batch["_items"].to_pylist())

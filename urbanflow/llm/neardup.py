@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanflow.llm.components import components
+from urbanflow.llm.texts import sliced
 from urbanflow.session import drop_table, join_lookup, materialize
 
 # Permutations, and values per band: two documents of similarity 0.8 agree in none of the 24 bands with a chance of
@@ -99,7 +100,7 @@ def sketches(docs: DataFrame, size: int, scheme: tuple[int, int] = SCHEMES[0]) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             out: list[list] = [[], [], [], []]
             for text in batch["text"].to_pylist():
                 s = shingle_set(text, size, hashes)
@@ -124,7 +125,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingle_set(t, size, hashes).view(np.int64) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.list_(pa.int64()))], ["node", "items"])
 
