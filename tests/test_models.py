@@ -5,11 +5,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from urbanflow.operators import cluster as K
 from urbanflow.operators import models as M
 from urbanflow.operators import search as R
 from urbanflow.plans.exploration import cluster_rows
 from urbanflow.plans.modelling import baseline_tree, model_table, tuned
+from urbanflow.workload import learning
 
 
 @pytest.fixture(scope="module")
@@ -134,3 +136,33 @@ def test_clusters_of_rows(blobs):
     np.testing.assert_allclose(centers.to_numpy(), means.to_numpy(), atol=1e-6)
     profile = K.cluster_profile(found.rows, ["x", "y"]).toPandas()
     assert len(profile) == 4 and profile["n"].sum() == 200
+
+
+SEARCHES = {
+    "random_search": (R.FOREST_GRID, R.FOREST_DRAWS), "tree_search": (R.TREE_GRID, R.TREE_DRAWS),
+    "refit_best": (R.ENSEMBLE_GRID, R.ENSEMBLE_DRAWS), "feature_set_comparison": (R.FOREST_GRID, R.FOREST_DRAWS),
+}
+
+
+@pytest.mark.parametrize("name", SEARCHES)
+def test_registered_searches_draw_from_the_reference_grids(spark, monkeypatch, name):
+    """With families that fit nothing, so that only the points are seen."""
+    grid, draws = SEARCHES[name]
+    tried = []
+
+    def family(params, train):
+        tried.append(params)
+        return lambda t: t.withColumns({c: F.lit(0.0) for c in ("pred_rf", "pred_xgb", "prediction")})
+
+    for kind in ("tree_family", "forest_family", "ensemble_family"):
+        monkeypatch.setattr(R, kind, family)
+    entry.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    sets, refits = (2, 2) if name == "feature_set_comparison" else (1, int(name == "refit_best"))
+    assert len(tried) == sets * draws + refits
+    assert all(params[key] in values for params in tried for key, values in grid.items())
+
+
+def test_registered_models_have_reference_sizes():
+    points = (learning.FOREST, R.FOREST_GRID), ({f"xgb_{k}": v for k, v in learning.BOOSTED.items()}, R.ENSEMBLE_GRID)
+    for point, grid in (*points, (learning.ENSEMBLE, R.ENSEMBLE_GRID)):
+        assert all(value in grid[key] for key, value in point.items())

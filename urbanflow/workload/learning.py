@@ -254,14 +254,10 @@ def _(spark, sf):
     return rounded(M.fit(boosted, table.where("split = 'train'")).transform(table).select("k", "split", "prediction"), 4)
 
 
-# Grids for the check: small, so that a search takes seconds. The full ones are the defaults of `plans.modelling`.
-SMALL_TREES = {"max_depth": [2, 3], "min_samples_split": [2, 10], "min_samples_leaf": [1, 4], "max_features": ["sqrt", None, 0.8]}
-SMALL_FORESTS = {"n_estimators": [4, 6], "max_depth": [3, 4], "min_samples_split": [2], "min_samples_leaf": [1, 4], "max_features": ["sqrt", 0.8]}
-SMALL_ENSEMBLES = {
-    "rf_n_estimators": [4, 6], "rf_max_depth": [3], "rf_min_samples_split": [2], "rf_min_samples_leaf": [1, 4],
-    "rf_max_features": ["sqrt", 0.8], "xgb_n_estimators": [4, 6], "xgb_learning_rate": [0.1, 0.2], "xgb_max_depth": [3],
-    "xgb_subsample": [0.8, 1.0], "xgb_colsample_bytree": [0.8, 1.0], "xgb_reg_lambda": [1.0],
-}
+# A point from the middle of the reference grids for the queries that fit one model.
+FOREST = {"n_estimators": 400, "max_depth": 15, "min_samples_split": 5, "min_samples_leaf": 2, "max_features": "sqrt"}
+BOOSTED = {"n_estimators": 400, "learning_rate": 0.1, "max_depth": 8, "subsample": 0.9, "colsample_bytree": 0.9}
+ENSEMBLE = {f"rf_{k}": v for k, v in FOREST.items()} | {f"xgb_{k}": v for k, v in BOOSTED.items()}
 
 
 @query("decision_tree")
@@ -276,39 +272,36 @@ def _scored(model, table: DataFrame) -> DataFrame:
 @query("random_forest")
 def _(spark, sf):
     table = _modelled(spark, sf)
-    forest = M.random_forest({"n_estimators": 8, "max_depth": 4, "max_features": "sqrt"})
-    return _scored(M.fit(forest, table.where("split = 'train'")), table)
+    return _scored(M.fit(M.random_forest(FOREST), table.where("split = 'train'")), table)
 
 
 @query("boosted_trees")
 def _(spark, sf):
     table = _modelled(spark, sf)
-    boosted = M.boosted_trees({"n_estimators": 5, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8})
-    return _scored(M.fit(boosted, table.where("split = 'train'")), table)
+    return _scored(M.fit(M.boosted_trees(BOOSTED), table.where("split = 'train'")), table)
 
 
 @query("average_ensemble")
 def _(spark, sf):
     table = _modelled(spark, sf)
-    params = {"rf_n_estimators": 4, "rf_max_depth": 3, "xgb_n_estimators": 4, "xgb_learning_rate": 0.1, "xgb_max_depth": 3}
-    predict = R.ensemble_family(params, table.where("split = 'train'"))
+    predict = R.ensemble_family(ENSEMBLE, table.where("split = 'train'"))
     return M.rmse_by_split(predict(table), predictions=R.MEMBERS)
 
 
 @query("random_search")
 def _(spark, sf):
-    return R.random_search(_modelled(spark, sf), R.param_sampler(spark, SMALL_FORESTS, 3), R.forest_family, parallelism=2)
+    return R.random_search(_modelled(spark, sf), R.param_sampler(spark, R.FOREST_GRID, R.FOREST_DRAWS), R.forest_family, parallelism=2)
 
 
 @query("tree_search")
 def _(spark, sf):
-    return R.trial_leaderboard(R.random_search(_modelled(spark, sf), R.param_sampler(spark, SMALL_TREES, 3), R.tree_family))
+    return R.trial_leaderboard(R.random_search(_modelled(spark, sf), R.param_sampler(spark, R.TREE_GRID, R.TREE_DRAWS), R.tree_family))
 
 
 @query("refit_best")
 def _(spark, sf):
     table = _modelled(spark, sf)
-    trials = R.random_search(table, R.param_sampler(spark, SMALL_ENSEMBLES, 2), R.ensemble_family, R.MEMBERS)
+    trials = R.random_search(table, R.param_sampler(spark, R.ENSEMBLE_GRID, R.ENSEMBLE_DRAWS), R.ensemble_family, R.MEMBERS)
     return R.refit_best(table, trials, R.ensemble_family, R.MEMBERS, "val_rmse_ensemble")
 
 
@@ -318,4 +311,4 @@ def _(spark, sf):
     names = [c for c in encoded.columns if c not in ("k", "d", "volume")]
     sets = {"all": names, "filtered": [c for c in names if not c.startswith("roadwork_")]}
     tables = {name: model_table(encoded, "volume", "d", T.YEARS, ["k"], cols) for name, cols in sets.items()}
-    return R.feature_set_comparison(tables, R.param_sampler(spark, SMALL_FORESTS, 2), R.forest_family)
+    return R.feature_set_comparison(tables, R.param_sampler(spark, R.FOREST_GRID, R.FOREST_DRAWS), R.forest_family)
