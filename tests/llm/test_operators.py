@@ -8,6 +8,7 @@ import math
 import random
 import re
 import struct
+import textwrap
 import zlib
 
 import public_tokenizers
@@ -262,6 +263,48 @@ def test_license_pruning_loses_nothing():
         assert len([b for b in form if not set(b.split()) & set(words)]) < licenses.least_overlap(len(form), licenses.THRESHOLD)
 
 
+def brute_licenses(text):
+    """Every window of every size that a template admits, and every whole line, without pruning; best ones first."""
+    lines = [re.findall("[a-z0-9]+", x) for x in text.lower().split("\n")]
+    words, at = [w for x in lines for w in x], [i for i, x in enumerate(lines) for _ in x]
+    grams = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    found = set()
+    for name, notice in licenses.TEMPLATES.items():
+        form = set(licenses.bigrams_of(notice))
+        spans = {(i, j) for i in range(len(grams)) for j in range(i, min(len(grams), i + licenses.longest_window(notice, 0.8)))}
+        spans |= {(at.index(k), at.index(k) + len(x) - 2) for k, x in enumerate(lines) if len(x) >= 2}
+        for i, j in spans:
+            seen = set(grams[i : j + 1])
+            dice = 2 * len(seen & form) / (len(seen) + len(form))
+            if dice >= 0.8:
+                found.add((len(seen) + len(form) - 3 * len(seen & form), -dice, name, j - i, i))
+    chosen = []
+    for x in sorted(found):
+        if all(x[4] + x[3] + 1 < c[4] or c[4] + c[3] + 1 < x[4] for c in chosen):
+            chosen.append(x)
+    return {(at[i], name, -loss) for _, loss, name, _, i in chosen}
+
+
+def test_wrapped_and_embedded_notices(spark):
+    rng, t = random.Random(7), licenses.TEMPLATES
+    texts = ["\n".join(["intro words", *textwrap.wrap(x, 40, initial_indent="# ", subsequent_indent="# "), "end"]) for x in t.values()]
+    texts += [f"Some words of mine come first, then this: {x} And a good many other words follow on the same line." for x in t.values()]
+    texts += [f"{t['MIT']} And {t['Apache-2.0']} {t['MIT']}", "the mit license " * 30 + "released under the", "Released under the MIT License. " * 6]
+    for _ in range(40):
+        words = " ".join(rng.choices(list(t.values()), k=2)).split()
+        for _ in range(rng.randint(0, 8)):
+            words[rng.randrange(len(words))] = rng.choice(["", "the", "other", "License,\nthe"])
+        texts.append("\n".join(textwrap.wrap(" ".join(words), rng.choice([30, 78, 500]))))
+    docs = spark.createDataFrame([*enumerate(texts), (900, None), (901, "license")], "doc_id long, text string")
+    got = collections.defaultdict(set)
+    for r in licenses.license_lines(docs).collect():
+        got[r.doc_id].add((r.line, r.license, r.dice))
+    for i, text in enumerate(texts):
+        assert got[i] == brute_licenses(text), text
+    assert all(name in {x[1] for x in got[i]} for i, name in enumerate([*t, *t]))
+    assert not got[900] and not got[901]
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

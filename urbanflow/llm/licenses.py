@@ -1,8 +1,10 @@
-"""License scans: lines of normalised text compared with license templates by the Dice coefficient of word bigrams.
+"""License scans: windows of normalised text compared with license templates by the Dice coefficient of word bigrams.
 
-A line and a template can only reach the threshold when neither has too many bigrams for the other (size bounds), and
-when the line has one of the template's telling words. Both prune without losing a match. The templates are a fixed
-table of the code, so they are literals of the plan and nothing is joined or shuffled.
+Newlines count as blanks, so a notice may be wrapped or stand inside a longer line. A window and a template can only
+reach the threshold when the text shares enough of the template's bigrams, hence has one of its telling bigrams and
+words; and a best window begins and ends with a bigram of the template, since any other at its ends only lowers the
+coefficient. All three prune without losing a match. The templates are a fixed table of the code, so they are literals
+of the plan and nothing is joined or shuffled.
 """
 
 from __future__ import annotations
@@ -65,48 +67,107 @@ def telling_words(bigrams: list[str], threshold: float) -> list[str]:
     return words
 
 
-def line_bigrams(line: Column) -> Column:
-    """Distinct word bigrams of a line, lower case, words of ASCII letters and digits."""
-    return F.when(F.size(line) >= 2, F.array_distinct(F.transform(
-        F.sequence(F.lit(0), F.size(line) - 2), lambda i: F.concat_ws(" ", F.get(line, i), F.get(line, i + 1))
-    )))
+def telling_bigrams(bigrams: list[str], threshold: float) -> list[str]:
+    """The longest bigrams such that fewer than `least_overlap` are left without them."""
+    return sorted(bigrams, key=lambda b: (-len(b), b))[: len(bigrams) - least_overlap(len(bigrams), threshold) + 1]
+
+
+def longest_window(text: str, threshold: float) -> int:
+    """Most bigrams, repeated ones counted, of a window: the size bound, and what the template itself repeats."""
+    size, words = len(bigrams_of(text)), re.findall("[a-z0-9]+", text.lower())
+    return int((2 - threshold) * size / threshold) + len(words) - 1 - size
+
+
+def _contains_any(text: Column, parts: list[str]) -> Column:
+    told = F.lit(False)
+    for part in parts:
+        told = told | text.contains(part)
+    return told
+
+
+def _computed(df: DataFrame, out: str, value: Column) -> DataFrame:
+    """`df` with `value` besides, computed once a row: Spark copies no expression across an explode."""
+    return df.select("*", F.explode(F.array(value)).alias(out))
+
+
+def _windows(grams: Column, lines: Column, form: Column, threshold: float) -> Column:
+    """Windows of `grams` that reach the threshold against one template; the best has the smallest fields."""
+
+    def measured(first: Column, last: Column) -> Column:
+        window = F.slice(grams, first + 1, last - first + 1)
+        shared, size = F.size(F.array_intersect(window, form["grams"])), F.size(F.array_distinct(window))
+        return F.struct(shared.alias("shared"), (size + F.size(form["grams"])).alias("sizes"), first.alias("first"), last.alias("last"))
+
+    def reaching(spans: Column) -> Column:
+        scored = F.transform(spans, lambda x: F.struct(
+            (x["sizes"] - 3 * x["shared"]).alias("misfit"), (-2 * x["shared"] / x["sizes"]).alias("loss"), form["at"].alias("at"),
+            (x["last"] - x["first"]).alias("more"), x["first"].alias("first"),
+        ))
+        return F.filter(scored, lambda x: x["loss"] <= -threshold)
+
+    def of_start(hits: Column, first: Column) -> Column:
+        ends = F.filter(hits, lambda p: p.between(first + form["least"] - 1, first + form["longest"] - 1))
+        return reaching(F.transform(ends, lambda last: measured(first, last)))
+
+    hits = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda p: F.array_contains(form["grams"], F.get(grams, p)))
+    # The hits are bound to a variable once, as the only item of an array.
+    starts = F.flatten(F.flatten(F.transform(F.array(hits), lambda found: F.transform(found, lambda first: of_start(found, first)))))
+    # A whole line may repeat itself beyond the longest window.
+    return F.concat(starts, reaching(F.transform(lines, lambda x: measured(x["first"], x["last"]))))
 
 
 def license_lines(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, line, license, dice) for every line of `docs` (doc_id, text) whose best template reaches the threshold.
+    """(doc_id, line, license, dice) for the windows of words of `docs` (doc_id, text) that reach the threshold.
 
-    Lines are counted from 0; the alphabetically first of equally good templates is named. NULL, empty and clean texts
-    give no rows; repeated rows give repeated rows.
+    Of overlapping windows one is named: that with most shared bigrams after those of window and template that are not
+    shared are taken off, so that a notice is not named after a shorter one inside it; then the greatest coefficient, the
+    alphabetically first license, the shortest and the earliest. `line` is the one in which the window begins, counted
+    from 0. NULL, empty and clean texts give no rows; repeated rows give repeated rows.
     """
     templates = TEMPLATES if templates is None else templates
-    forms = {name: bigrams_of(text) for name, text in sorted(templates.items())}
-    forms = {name: grams for name, grams in forms.items() if grams}
-    telling = sorted({w for grams in forms.values() for w in telling_words(grams, threshold)})
-    lowered = docs.select("doc_id", F.lower(whole()).alias("t"))
-    told = F.lit(False)
-    for word in telling:
-        told = told | F.col("t").contains(word)
-    lines = lowered.where(told).select("doc_id", F.posexplode(F.split("t", "\n")).alias("line", "t"))
-    told = F.lit(False)
-    for word in telling:
-        told = told | F.col("t").contains(word)
-    words = F.filter(F.split("t", "[^a-z0-9]+"), lambda w: w != "")
-    # A line of more words than the largest template allows may still have few distinct bigrams, so only those count.
-    cut = lines.where(told).select("doc_id", "line", words.alias("w"))
-    grams = cut.select("doc_id", "line", line_bigrams(F.col("w")).alias("b")).where("b IS NOT NULL")
-    scores = []
-    for at, form in enumerate(forms.values()):
-        low, high = threshold * len(form) / (2 - threshold), (2 - threshold) * len(form) / threshold
-        shared = F.size(F.array_intersect("b", F.array(*map(F.lit, form))))
-        dice = F.when(F.size("b").between(low, high), 2 * shared / (F.size("b") + len(form)))
-        scores.append(F.struct(dice.alias("dice"), F.lit(-at).alias("at")))
-    best = grams.select("doc_id", "line", F.explode(F.filter(F.array(F.array_max(F.array(*scores))), lambda s: s["dice"] >= threshold)).alias("s"))
-    name = F.element_at(F.array(*map(F.lit, forms)), 1 - F.col("s.at"))
-    return best.select("doc_id", F.col("line").cast("bigint").alias("line"), name.alias("license"), F.col("s.dice").alias("dice"))
+    forms = {name: grams for name, text in sorted(templates.items()) if (grams := bigrams_of(text))}
+    words = sorted({w for grams in forms.values() for w in telling_words(grams, threshold)})
+    pairs = sorted({b for grams in forms.values() for b in telling_bigrams(grams, threshold)})
+    table = F.array(*[
+        F.struct(
+            F.lit(at).alias("at"), F.lit(least_overlap(len(grams), threshold)).alias("least"),
+            F.lit(longest_window(templates[name], threshold)).alias("longest"), F.array(*map(F.lit, grams)).alias("grams"),
+        )
+        for at, (name, grams) in enumerate(forms.items())
+    ])
+    lowered = _computed(docs.select("doc_id", "text"), "t", F.lower(whole())).where(_contains_any(F.col("t"), words))
+    spaced = _computed(lowered, "n", F.regexp_replace("t", "[^a-z0-9]+", " ")).where(_contains_any(F.col("n"), pairs))
+    split = F.transform(F.split("t", "\n"), lambda x: F.filter(F.split(x, "[^a-z0-9]+"), lambda w: w != ""))
+    worded = _computed(_computed(spaced, "l", split), "w", F.flatten("l")).where("size(w) >= 2")
+    pair = F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1)))
+    likely = F.filter(table, lambda f: F.size(F.array_intersect("g", f["grams"])) >= f["least"])
+    found = _computed(_computed(worded, "g", pair), "forms", likely).where("size(forms) > 0")
+    placed = _computed(found, "at_line", F.flatten(F.transform("l", lambda x, i: F.array_repeat(i, F.size(x)))))
+    # The bigrams inside each line of two words or more.
+    places = F.sequence(F.lit(0), F.size("g"))
+    first = F.filter(places, lambda p: (p == 0) | (F.get("at_line", p) != F.get("at_line", p - 1)))
+    last = F.filter(places, lambda p: (p == F.size("g")) | (F.get("at_line", p) != F.get("at_line", p + 1)))
+    lines = F.transform(
+        F.arrays_zip(first.alias("first"), last.alias("last")),
+        lambda x: F.struct(x["first"].alias("first"), (x["last"] - 1).alias("last")),
+    )
+    ready = _computed(placed, "lines", F.filter(lines, lambda x: x["last"] >= x["first"]))
+    windows = F.array_sort(F.flatten(F.transform("forms", lambda f: _windows(F.col("g"), F.col("lines"), f, threshold))))
+    none = F.array().cast("array<struct<misfit:int,loss:double,at:int,more:int,first:int>>")
+
+    def add(chosen: Column, x: Column) -> Column:
+        # Two windows overlap when they share a word; a window has one word more than bigrams.
+        taken = F.exists(chosen, lambda c: (c["first"] <= x["first"] + x["more"] + 1) & (x["first"] <= c["first"] + c["more"] + 1))
+        return F.when(taken, chosen).otherwise(F.array_append(chosen, x))
+
+    best = ready.select("doc_id", "at_line", F.explode(F.aggregate(windows, none, add)).alias("s"))
+    name = F.element_at(F.array(*map(F.lit, forms)), F.col("s.at") + 1)
+    line = F.get("at_line", F.col("s.first")).cast("bigint")
+    return best.select("doc_id", line.alias("line"), name.alias("license"), (-F.col("s.loss")).alias("dice"))
 
 
 def license_sql(templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> str:
-    """The same rows without any pruning."""
+    """The rows of notices that fill a line each; wrapped and embedded ones are checked by the tests."""
     quoted = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in (templates or TEMPLATES).items())
     words = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
     grams = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
