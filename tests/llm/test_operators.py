@@ -195,6 +195,12 @@ def test_backoff_beats_unigrams_on_held_out_documents(spark):
     assert sums[0] > sums[1]
 
 
+def test_backoff_query_has_histories_of_two_words(spark):
+    got = {tuple(r) for r in queries.op5_backoff_scores(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert got == {tuple(r) for r in backoff.scores(docs, 3).collect()} != {tuple(r) for r in backoff.scores(docs, 2).collect()}
+
+
 def test_transducer_counts_equal_the_library(corpus, texts, monkeypatch):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)

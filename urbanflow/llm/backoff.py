@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from urbanflow.llm.blocks import by_part, in_blocks, packed, unpacked
 
-ORDER, PRIOR = 2, 64.0
+ORDER, PRIOR = 3, 64.0
 END, BEGIN = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
