@@ -114,6 +114,21 @@ def test_wu_manber_equals_plain_search(spark, corpus, texts):
     assert decontaminate.drop_contaminated(corpus, bench.limit(0)).columns == corpus.columns
 
 
+def test_wu_manber_holds_one_chunk_at_a_time(spark, corpus, monkeypatch):
+    rng = random.Random(8)
+    docs = corpus.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(7000 + i, " ".join(rng.choices("abc", k=60))) for i in range(40)], "doc_id long, text string"))
+    bench = spark.createDataFrame([(i, " ".join(rng.choices("abc", k=4 + i))) for i in range(9)], "item_id long, text string")
+    want = rows_of(decontaminate.contamination_report(docs, bench))
+    monkeypatch.setattr(decontaminate, "CHUNK_BYTES", 40)
+    chunks = list(decontaminate._chunks(bench))
+    assert len(chunks) >= 3 and sum(map(len, chunks)) == 9
+    report = decontaminate.contamination_report(docs, bench)
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert rows_of(report) == want and any(r[-1] for r in want)
+    assert decontaminate.drop_contaminated(docs, bench).count() == sum(not r[-1] for r in want)
+
+
 def brute_components(texts, size, percent):
     sets = {}
     for i, t in texts:

@@ -3,7 +3,7 @@
 The patterns are the windows of `WINDOW` consecutive words of every item; an item of fewer words is one pattern of its
 own length. Patterns of one length form one search: a table maps every block of words to the distance by which a
 position may be skipped, the last block of a window selects the bucket of patterns that end with it, and comparing
-whole windows confirms an occurrence. Documents never leave their task.
+whole windows confirms an occurrence. Documents are not shuffled.
 """
 
 from __future__ import annotations
@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanflow.llm.texts import as_row, sliced
+from urbanflow.session import drop_table, materialize
 
 WINDOW, BLOCK = 10, 3
-# Bytes of item text per search. A benchmark beyond it is searched in as many passes within the same tasks, so what
-# is broadcast at once stays bounded.
+# Bytes of item text per search. A benchmark beyond it is searched in as many passes, each written
+# before the next, so what is broadcast at once stays bounded.
 CHUNK_BYTES = 16 * 1024 * 1024
 
 # Words are runs of ASCII letters and digits, lower case, and of all bytes of other characters.
@@ -100,7 +101,14 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", window
     spark = docs.sparkSession
     none = "cast(array() as array<struct<a:int,b:int>>)"
     df = docs.select("*", F.lit(0).cast("bigint").alias("_n_words"), F.expr(none).alias("_spans"), F.expr("cast(array() as array<string>)").alias("_items"))
+    items = table = None
     for chunk in _chunks(benchmark):
+        if items is not None:  # a pass is written before the next, so that tasks hold one chunk at a time
+            df = materialize(df)
+            items.destroy()
+            if table is not None:
+                drop_table(table)
+            table = df
         items = spark.sparkContext.broadcast(chunk)
         df = df.mapInArrow(_scan(items, text, window), df.schema)
     return df
