@@ -79,6 +79,27 @@ def test_quality_rejects_planted_outliers_only(spark):
     assert kept.columns == [*docs.columns, "_g"] and kept.count() == 200
 
 
+@pytest.mark.parametrize("n", [quality.LEAST_GROUP - 1, quality.LEAST_GROUP])
+def test_quality_of_small_groups_is_judged_by_their_language(spark, n):
+    """One document less than `LEAST_GROUP` borrows the estimate of all documents of the language; from then on it is the group's own."""
+    rng = random.Random(9)
+
+    def text(words):
+        return " ".join(rng.choice(words) + str(rng.randint(0, 999)) for _ in range(rng.randint(60, 300)))
+
+    small = [(i, text(["internationalisation", "responsibilities"]), "en", "small") for i in range(n)]
+    large = [(1000 + i, text(["house", "tree", "of"]), "en", "large") for i in range(150)]
+
+    def distances(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        return [r.distance for r in quality.quality_report(docs).where(f"doc_id < {n}").orderBy("doc_id").collect()]
+
+    got = distances(small + large)
+    pooled, alone = distances([(*r[:3], "one") for r in small + large]), distances(small)
+    near, far = (pooled, alone) if n < quality.LEAST_GROUP else (alone, pooled)
+    assert got == pytest.approx(near, rel=0.01) and got != pytest.approx(far, rel=0.5)
+
+
 def test_fixity_equal_replicas_and_empty(spark):
     pages = spark.createDataFrame([(1, "u", "a"), (1, "u", "a"), (None, None, None), (5000, "v", "")], "page_id long, url string, html string")
     assert fixity.audit(fixity.archive(pages), fixity.archive(pages)).count() == 0
