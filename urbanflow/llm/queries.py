@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflow.llm import bpe, decontaminate, transducer
+from urbanflow.llm import bpe, conversations, decontaminate, lexical, transducer
 from urbanflow.llm.backoff import scores
 from urbanflow.llm.fixity import archive, audit
 from urbanflow.llm.licenses import license_lines, license_sql
@@ -17,6 +17,7 @@ from urbanflow.llm.personal import personal_report
 from urbanflow.llm.quality import quality_report
 from urbanflow.llm.repeats import removal_report
 from urbanflow.llm.texts import table
+from urbanflow.llm.toxicity import toxicity_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +125,24 @@ def op5_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_path_ranking"] = conversations.ORACLE
+
+
+@query
+def op12_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_norm_buckets"] = lexical.ORACLE
