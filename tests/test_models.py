@@ -37,18 +37,20 @@ def test_missing_feature_is_an_error(spark):
         M.assemble(df, ["x"], "y").collect()
 
 
-def test_tree_settings():
+def test_growths_of_parameters():
     tree = M.decision_tree()
-    got = {p: tree.getOrDefault(p) for p in ("maxDepth", "minInstancesPerNode", "featureSubsetStrategy", "numTrees", "bootstrap", "seed")}
-    assert got == {"maxDepth": 5, "minInstancesPerNode": 10, "featureSubsetStrategy": "0.8", "numTrees": 1, "bootstrap": False, "seed": 42}
-    forest = M.random_forest({"n_estimators": 3, "max_depth": None, "max_features": None})
-    assert (forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (30, "all")
+    assert (tree.trees, tree.depth, tree.least_split, tree.least_leaf, tree.columns, tree.bootstrap, tree.seed) == (1, 5, 20, 8, 0.8, False, 42)
+    forest = M.random_forest({"n_estimators": 3, "max_depth": None, "max_features": "sqrt"})
+    assert (forest.trees, forest.depth, forest.columns, forest.bootstrap, forest.rate) == (3, None, "sqrt", True, None)
+    boosted = M.boosted_trees({"reg_lambda": 0.8, "colsample_bytree": 0.9, "subsample": 0.7, "learning_rate": 0.1})
+    assert (boosted.penalty, boosted.tree_columns, boosted.share, boosted.rate, boosted.depth, boosted.trees) == (0.8, 0.9, 0.7, 0.1, 6, 100)
 
 
 def test_baseline_learns_the_step(table):
     row = baseline_tree(table).first()
     assert list(row.asDict()) == ["train_rmse", "val_rmse", "test_rmse"]
-    assert all(0.5 < v < 5 for v in row)
+    assert row["train_rmse"] < 45  # the error without splits; of two columns one is drawn per node
+    assert all(0.5 < v < 60 for v in row)
 
 
 def test_rmse_by_split(spark):
@@ -59,7 +61,8 @@ def test_rmse_by_split(spark):
 
 def test_ensemble_is_the_mean_of_its_members(table):
     params = {"rf_n_estimators": 2, "rf_max_depth": 3, "xgb_n_estimators": 3, "xgb_max_depth": 2, "xgb_learning_rate": 0.1, "xgb_reg_lambda": 1.0}
-    scored = R.ensemble_family(params, table.where("split = 'train'"))(table)
+    fitted = [M.fit(growth, table.where("split = 'train'"), name) for name, growth in R.ensemble_family(params).items()]
+    scored = M.average_ensemble(*fitted, table)
     gap = scored.agg(F.max(F.abs(F.col("prediction") - (F.col("pred_rf") + F.col("pred_xgb")) / 2))).first()[0]
     assert gap == 0 and scored.count() == table.count()
 
@@ -146,13 +149,14 @@ SEARCHES = {
 
 @pytest.mark.parametrize("name", SEARCHES)
 def test_registered_searches_draw_from_the_reference_grids(spark, monkeypatch, name):
-    """With families that fit nothing, so that only the points are seen."""
+    """With families that grow a stump, so that only the points are seen."""
     grid, draws = SEARCHES[name]
     tried = []
 
-    def family(params, train):
+    def family(params):
         tried.append(params)
-        return lambda t: t.withColumns({c: F.lit(0.0) for c in ("pred_rf", "pred_xgb", "prediction")})
+        members = ("pred_rf", "pred_xgb") if name == "refit_best" else ("prediction",)
+        return {member: M.decision_tree({"max_depth": 1}) for member in members}
 
     for kind in ("tree_family", "forest_family", "ensemble_family"):
         monkeypatch.setattr(R, kind, family)

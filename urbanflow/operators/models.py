@@ -1,25 +1,23 @@
 """Regressors on encoded tables, and their error per split.
 
-Spark ML trains every model by exchanging statistics per tree node, not rows, so a fit scales with the data. Knobs
-that it lacks are mapped as stated at `_tree_settings` and `boosted_trees`.
+Models are described by a `Growth` and grown by `urbanflow.operators.trees`, in which every knob has its usual meaning.
 """
 
 from __future__ import annotations
 
-from math import ceil
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanflow.functions.names import col_q
 from urbanflow.functions.numbers import mean_of_two
+from urbanflow.operators import trees as G
 from urbanflow.operators.reduce import vector_of
-from urbanflow.session import ensure_checkpoint_dir
+from urbanflow.session import drop_table, ensure_checkpoint_dir
 
 SEED = 42
-# The deepest tree that Spark ML grows; stands for "no limit".
-DEEPEST = 30
 
 # The settings of the first decision tree.
 BASELINE_TREE = {"max_depth": 5, "min_samples_split": 20, "min_samples_leaf": 8, "max_features": 0.8}
@@ -31,64 +29,51 @@ def assemble(df: DataFrame, features: list[str], target: str, keep: list[str] =
     return df.select(*kept, vector_of(features).alias("features"), col_q(target).cast("double").alias("label"))
 
 
-def _subset(max_features: object) -> str:
-    """All columns, sqrt, log2, or a share of them."""
-    return "all" if max_features in (None, 1.0) else str(max_features)
+def _depth(params: dict, default: int | None = None) -> int | None:
+    depth = params.get("max_depth", default)
+    return None if depth is None else int(depth)
 
 
-def _tree_settings(params: dict) -> dict:
-    """A node needs `min_samples_split` rows to be split, which Spark ML cannot say; children of at least half of
-    that size imply it. No depth limit becomes the deepest tree possible."""
-    leaf = max(params.get("min_samples_leaf", 1), ceil(params.get("min_samples_split", 2) / 2))
-    depth = params.get("max_depth")
-    if depth is not None and int(depth) > DEEPEST:
-        raise ValueError(f"max_depth {depth} is above {DEEPEST}, the deepest tree possible")
-    return {
-        "maxDepth": DEEPEST if depth is None else int(depth),
-        "minInstancesPerNode": leaf,
-        "featureSubsetStrategy": _subset(params.get("max_features")),
-    }
-
-
-def decision_tree(params: dict = BASELINE_TREE, seed: int = SEED, prediction: str = "prediction") -> RandomForestRegressor:
-    """A single tree: a forest of one without resampling, because that form can draw a feature subset per split."""
-    return RandomForestRegressor(
-        numTrees=1, bootstrap=False, seed=seed, maxMemoryInMB=512, predictionCol=prediction, **_tree_settings(params)
-    )
+def decision_tree(params: dict = BASELINE_TREE, seed: int = SEED) -> G.Growth:
+    """A single tree on all rows."""
+    return G.Growth(
+        depth=_depth(params), least_split=int(params.get("min_samples_split", 2)), least_leaf=int(params.get("min_samples_leaf", 1)),
+        columns=params.get("max_features"), max_bins=int(params.get("max_bins", G.MAX_BINS)), seed=seed,
+    )
 
 
-def random_forest(params: dict, seed: int = SEED, prediction: str = "prediction") -> RandomForestRegressor:
-    return RandomForestRegressor(
-        numTrees=int(params.get("n_estimators", 100)), seed=seed, maxMemoryInMB=512, predictionCol=prediction,
-        **_tree_settings(params),
+def random_forest(params: dict, seed: int = SEED) -> G.Growth:
+    """The mean of trees on bootstraps: a row's count in each is a Poisson draw."""
+    return G.Growth(
+        trees=int(params.get("n_estimators", 100)), depth=_depth(params), least_split=int(params.get("min_samples_split", 2)),
+        least_leaf=int(params.get("min_samples_leaf", 1)), columns=params.get("max_features", 1.0),
+        max_bins=int(params.get("max_bins", G.MAX_BINS)), bootstrap=True, seed=seed,
     )
 
 
-def boosted_trees(params: dict, seed: int = SEED, prediction: str = "prediction") -> GBTRegressor:
-    """Gradient boosting on squared error.
+def boosted_trees(params: dict, seed: int = SEED) -> G.Growth:
+    """Gradient boosting on squared error, from the mean label: a tree adds `learning_rate` times its fit of what is left.
 
-    Spark ML fits each tree to twice the residual, so the step is half the learning rate: every tree then adds the
-    learning rate times its fit of the residual. Its first tree is fitted to the label itself, at full weight. Column
-    sampling is drawn per node. L2 regularisation has no counterpart: `reg_lambda` is accepted without effect.
+    A leaf is worth sum / (rows + `reg_lambda`), and splits are chosen by the same measure; `colsample_bytree` draws the
+    columns of a tree, `subsample` its rows.
     """
-    return GBTRegressor(
-        maxIter=int(params.get("n_estimators", 100)), stepSize=float(params.get("learning_rate", 0.3)) / 2,
-        maxDepth=int(params.get("max_depth", 6)), subsamplingRate=float(params.get("subsample", 1.0)),
-        featureSubsetStrategy=_subset(params.get("colsample_bytree")), lossType="squared", seed=seed,
-        maxMemoryInMB=512, checkpointInterval=10, predictionCol=prediction,
+    return G.Growth(
+        trees=int(params.get("n_estimators", 100)), depth=_depth(params, 6), tree_columns=float(params.get("colsample_bytree", 1.0)),
+        penalty=float(params.get("reg_lambda", 1.0)), share=float(params.get("subsample", 1.0)), rate=float(params.get("learning_rate", 0.3)),
+        max_bins=int(params.get("max_bins", G.MAX_BINS)), seed=seed,
     )
 
 
-def fit(estimator, table: DataFrame):
-    """Fit on an assembled table. Boosting cuts its lineage in the checkpoint folder every ten rounds."""
-    ensure_checkpoint_dir(table.sparkSession)
-    return estimator.fit(table)
+def fit(growth: G.Growth, train: DataFrame, prediction: str = "prediction") -> G.Trees:
+    """Grow a model on an assembled table."""
+    ensure_checkpoint_dir(train.sparkSession)
+    return G.fit_trees(growth, train, prediction)
 
 
-def average_ensemble(forest, boosted, table: DataFrame) -> DataFrame:
+def average_ensemble(forest: G.Trees, boosted: G.Trees, table: DataFrame) -> DataFrame:
     """Both members' predictions and their mean on the same rows: chained transforms, no join."""
     both = boosted.transform(forest.transform(table))
-    members = F.col(forest.getPredictionCol()), F.col(boosted.getPredictionCol())
+    members = F.col(forest.prediction), F.col(boosted.prediction)
     return both.withColumn("prediction", mean_of_two(*members))
 
 
@@ -102,3 +87,39 @@ def rmse_by_split(
         gap = col_q(label) - col_q(column)
         errors.append(F.sqrt(F.avg(gap * gap)).alias(out))
     return df.groupBy(col_q(split)).agg(F.count(F.lit(1)).alias("rows"), *errors)
+
+
+def errors_of_models(
+    table: DataFrame, trials: dict[int, dict[str, G.Growth]], splits: list[str], outputs: dict[str, list[str]], parallelism: int = 1
+) -> dict[int, dict[str, float]]:
+    """{trial: {split_output: error}}: every trial's members are grown on the first split and scored on all of `splits`.
+
+    `outputs` maps an error to the members whose mean it judges. A table that fits a task is scored for all trials in
+    one job; a larger one is fitted trial by trial, `parallelism` of them at a time, each fit spread over the cluster.
+    """
+    ensure_checkpoint_dir(table.sparkSession)
+    rows = table.where(F.col("split").isin(splits))
+    first = rows.select("features").first()
+    if first is None or not trials:
+        return {trial: {} for trial in trials}
+    blocks = G.packed_rows(rows, splits)
+    small = G.small_enough(blocks, first["features"].size)
+    found: dict[int, dict[str, float]] = {trial: {} for trial in trials}
+    if small:
+        for r in G.errors_in_tasks(blocks, trials, splits, outputs).collect():
+            found[r["trial"]][f"{r['part']}_{r['output']}"] = (r["squares"] / r["rows"]) ** 0.5
+    drop_table(blocks)
+    if small:
+        return found
+
+    def run(trial: int) -> dict[str, float]:
+        said = rows
+        for member, growth in trials[trial].items():
+            said = fit(growth, rows.where(F.col("split") == splits[0]), member).transform(said)
+        means = {output: sum(map(col_q, members[1:]), col_q(members[0])) / len(members) for output, members in outputs.items()}
+        said = said.withColumns({f"__{output}": mean for output, mean in means.items()})
+        errors = rmse_by_split(said, predictions={output: f"__{output}" for output in outputs}).collect()
+        return {f"{r['split']}_{output}": r[output] for r in errors for output in outputs}
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return dict(zip(trials, pool.map(inheritable_thread_target(table.sparkSession)(run), trials)))

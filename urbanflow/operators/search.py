@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from math import prod
 
-from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from urbanflow.operators import models as M
 from urbanflow.operators.combine import train_val_union
+from urbanflow.operators.trees import Growth
 
 # The grids and the number of draws.
 TREE_GRID = {
@@ -86,60 +86,77 @@ def best_trial(trials: DataFrame, metric: str = "val_rmse", tie: str = "trial_id
     return trials.orderBy(F.col(metric).asc_nulls_last(), F.col(tie)).limit(1)
 
 
-# A family turns one parameter record into a fitted predictor: table -> table with the prediction columns, and names
-# the columns to be scored as {suffix: column}.
-Family = Callable[[dict, DataFrame], Callable[[DataFrame], DataFrame]]
+# A family turns one parameter record into the members of a model, by name.
+Family = Callable[[dict], dict[str, Growth]]
 
 
-def tree_family(params: dict, train: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    return M.fit(M.decision_tree(params), train).transform
+def tree_family(params: dict) -> dict[str, Growth]:
+    return {"prediction": M.decision_tree(params)}
 
 
-def forest_family(params: dict, train: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    return M.fit(M.random_forest(params), train).transform
+def forest_family(params: dict) -> dict[str, Growth]:
+    return {"prediction": M.random_forest(params)}
 
 
-def ensemble_family(params: dict, train: DataFrame) -> Callable[[DataFrame], DataFrame]:
+def ensemble_family(params: dict) -> dict[str, Growth]:
     """Forest and boosting side by side; parameters carry the prefixes rf_ and xgb_."""
     rf = {k.removeprefix("rf_"): v for k, v in params.items() if k.startswith("rf_")}
     xgb = {k.removeprefix("xgb_"): v for k, v in params.items() if k.startswith("xgb_")}
-    forest = M.fit(M.random_forest(rf, prediction="pred_rf"), train)
-    boosted = M.fit(M.boosted_trees(xgb, prediction="pred_xgb"), train)
-    return lambda table: M.average_ensemble(forest, boosted, table)
+    return {"pred_rf": M.random_forest(rf), "pred_xgb": M.boosted_trees(xgb)}
 
 
-SINGLE = {"rmse": "prediction"}
-MEMBERS = {"rmse_rf": "pred_rf", "rmse_xgb": "pred_xgb", "rmse_ensemble": "prediction"}
-
-
-def _errors(predict: Callable[[DataFrame], DataFrame], table: DataFrame, scored: dict[str, str]) -> dict[str, float]:
-    """Errors of every split from one job, as {split_metric: value}."""
-    rows = M.rmse_by_split(predict(table), predictions=scored).collect()
-    return {f"{row['split']}_{name}": row[name] for row in rows for name in scored}
+# The errors of a trial, each with the members whose mean it judges; the last one is that of the whole model.
+SINGLE = {"rmse": ["prediction"]}
+MEMBERS = {"rmse_rf": ["pred_rf"], "rmse_xgb": ["pred_xgb"], "rmse_ensemble": ["pred_rf", "pred_xgb"]}
 
 
 def random_search(
-    table: DataFrame, points: DataFrame, family: Family, scored: dict[str, str] = SINGLE, parallelism: int = 1
-) -> DataFrame:
+    table: DataFrame, points: DataFrame, family: Family, scored: dict[str, list[str]] = SINGLE, parallelism: int = 1,
+    folder: str | None = None, at_once: int | None = None,
+) -> DataFrame:
     """One row per trial: its parameters and the errors on the train and val splits.
 
-    `table` is assembled and has a `split` column. It is read by every trial: pass a written table (`materialize`).
-    Fits are distributed; `parallelism` overlaps several of them.
+    `table` is assembled and has a `split` column; pass a written table (`materialize`). `at_once` trials are grown in one
+    job, all by default. With a `folder`, finished trials are appended to a table there and a search that was ended goes
+    on with the others; points that differ from those written under their trial number are an error.
     """
+    spark = table.sparkSession
     records = [row.asDict() for row in points.orderBy("trial_id").collect()]
     names = [f"{s}_{name}" for s in ("train", "val") for name in scored]
-    data = train_val_union(table)
-    train = data.where("split = 'train'")
-
-    def run(record: dict) -> tuple:
-        params = {k: _untyped(v) for k, v in record.items() if k != "trial_id"}
-        errors = _errors(family(params, train), data, scored)
-        return (*record.values(), *[errors.get(n) for n in names])
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(inheritable_thread_target(table.sparkSession)(run), records))
     kinds = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields] + [f"{n} double" for n in names])
-    return table.sparkSession.createDataFrame(rows, kinds)
+    data, done = train_val_union(table), {}
+    if folder:
+        for row in _finished(spark, folder, kinds):
+            done[row["trial_id"]] = row
+        for record in records:
+            row = done.get(record["trial_id"])
+            if row and any(row[k] != v for k, v in record.items()):
+                raise ValueError(f"{folder} holds another trial {record['trial_id']}")
+    rest = [r for r in records if r["trial_id"] not in done]
+    rows = [tuple(done[r["trial_id"]].values()) for r in records if r["trial_id"] in done]
+    step = at_once or max(len(rest), 1)
+    for i in range(0, len(rest), step):
+        wave = rest[i : i + step]
+        trials = {r["trial_id"]: family(_params(r)) for r in wave}
+        errors = M.errors_of_models(data, trials, ["train", "val"], scored, parallelism)
+        new = [(*r.values(), *[errors[r["trial_id"]].get(n) for n in names]) for r in wave]
+        if folder:
+            spark.createDataFrame(new, kinds).write.mode("append").parquet(folder)
+        rows += new
+    return spark.createDataFrame(sorted(rows, key=lambda r: r[0]), kinds)
+
+
+def _params(record: dict) -> dict:
+    return {k: _untyped(v) for k, v in record.items() if k != "trial_id"}
+
+
+def _finished(spark: SparkSession, folder: str, kinds: str) -> list[dict]:
+    try:
+        return [r.asDict() for r in spark.read.schema(kinds).parquet(folder).collect()]
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def _untyped(value: object) -> object:
@@ -153,20 +170,18 @@ def _untyped(value: object) -> object:
 
 
 def refit_best(
-    table: DataFrame, trials: DataFrame, family: Family, scored: dict[str, str] = SINGLE, metric: str = "val_rmse"
+    table: DataFrame, trials: DataFrame, family: Family, scored: dict[str, list[str]] = SINGLE, metric: str = "val_rmse"
 ) -> DataFrame:
     """Summary of the best trial by validation error, refitted on train and val and scored on them and on test.
 
-    One row: the parameters, `train_val_<metric>` and `test_<metric>` of the prediction. The test split selects nothing.
+    One row: the parameters, `train_val_<metric>` and `test_<metric>` of the whole model. The test split selects nothing.
     """
     best = best_trial(trials, metric).first().asDict()
     errors = {f"{s}_{name}" for s in ("train", "val") for name in scored}
     record = {k: v for k, v in best.items() if k not in errors}
-    params = {k: _untyped(v) for k, v in record.items() if k != "trial_id"}
-    predict = family(params, train_val_union(table))
     renamed = table.withColumn("split", F.when(F.col("split") == "test", "test").otherwise("train_val"))
-    found = _errors(predict, renamed, {k: v for k, v in scored.items() if v == "prediction"})
-    name = next(k for k, v in scored.items() if v == "prediction")
+    name = list(scored)[-1]
+    found = M.errors_of_models(renamed, {0: family(_params(record))}, ["train_val", "test"], {name: scored[name]})[0]
     outs = [f"train_val_{name}", f"test_{name}"]
     fields = [f for f in trials.schema.fields if f.name in record]
     kinds = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields] + [f"{o} double" for o in outs])
@@ -175,7 +190,7 @@ def refit_best(
 
 
 def feature_set_comparison(
-    tables: dict[str, DataFrame], points: DataFrame, family: Family, scored: dict[str, str] = SINGLE, metric: str = "val_rmse"
+    tables: dict[str, DataFrame], points: DataFrame, family: Family, scored: dict[str, list[str]] = SINGLE, metric: str = "val_rmse"
 ) -> DataFrame:
     """The same search on several feature sets; one summary row per set."""
     summaries = None

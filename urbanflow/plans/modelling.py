@@ -25,14 +25,12 @@ def model_table(
 
 def baseline_tree(table: DataFrame) -> DataFrame:
     """One row: the errors of the baseline tree on train, val and test."""
-    model = M.fit(M.decision_tree(M.BASELINE_TREE), table.where("split = 'train'"))
-    errors = M.rmse_by_split(model.transform(table))
-    return errors.groupBy().pivot("split", ["train", "val", "test"]).max("rmse").selectExpr(
-        "train AS train_rmse", "val AS val_rmse", "test AS test_rmse"
-    )
+    splits = ["train", "val", "test"]
+    found = M.errors_of_models(table, {0: R.tree_family(M.BASELINE_TREE)}, splits, R.SINGLE)[0]
+    return table.sparkSession.createDataFrame([tuple(found.get(f"{s}_rmse") for s in splits)], "train_rmse double, val_rmse double, test_rmse double")
 
 
-def tuned(table: DataFrame, family: R.Family, grid: dict[str, list], draws: int, scored: dict[str, str] = R.SINGLE,
+def tuned(table: DataFrame, family: R.Family, grid: dict[str, list], draws: int, scored: dict[str, list[str]] = R.SINGLE,
           metric: str = "val_rmse", parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
     """(leaderboard, summary) of a random search and the refit of its winner."""
     points = R.param_sampler(table.sparkSession, grid, draws)

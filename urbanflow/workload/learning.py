@@ -218,45 +218,85 @@ TESTS = [f"{c} = '{v}'" for c, values in ONE_HOT.items() for v in values]
 ONE_HOT_NAMES = [f"{c}_{v}" for c, values in ONE_HOT.items() for v in values]
 
 
-def _stump_sql(i: int, source: str, y: str) -> str:
-    """The split of the training rows on one 0/1 column that explains most of `y`, and the two means: tables c, b, s."""
-    sides = ", ".join(
-        f"{agg} FILTER (WHERE {sign}(t)) AS {out}"
-        for agg, sign, out in ((f"avg({y})", "", "m1"), (f"avg({y})", "NOT ", "m0"), ("count(*)", "", "n1"), ("count(*)", "NOT ", "n0"))
-    )
-    candidates = " UNION ALL ".join(
-        f"SELECT {j} AS f, {sides.replace('(t)', f'({t})')} FROM {source} WHERE split = 'train'" for j, t in enumerate(TESTS)
-    )
+def tree_sql(name: str, source: str, y: str, depth: int, least_split: int = 2, least_leaf: int = 1, penalty: float = 0) -> str:
+    """Tables that grow a tree of `TESTS` on the training rows of `source`; `name` has its rows and the value `p` of their leaf."""
+    tables = [f"{name}_0 AS (SELECT *, 1 AS node FROM {source})"]
     chosen = " ".join(f"WHEN {j} THEN {t}" for j, t in enumerate(TESTS))
-    return f"""c{i} AS ({candidates}),
-      b{i} AS (SELECT * FROM c{i} WHERE n1 > 0 AND n0 > 0 ORDER BY n1 * n0 / (n1 + n0) * power(m1 - m0, 2) DESC LIMIT 1),
-      s{i} AS (SELECT r.*, CASE WHEN (CASE f {chosen} END) THEN m1 ELSE m0 END AS p{i} FROM {source} r, b{i})"""
+    for d in range(depth):
+        candidates = " UNION ALL ".join(
+            f"""SELECT node, {j} AS f, count(*) AS n, count(*) FILTER ({t}) AS n1, sum({y}) AS s, sum({y}) FILTER ({t}) AS s1, sum({y}) FILTER (NOT ({t})) AS s0,
+                max({y}) > min({y}) AS differ FROM {name}_{d} WHERE split = 'train' GROUP BY node"""
+            for j, t in enumerate(TESTS)
+        )
+        gain = f"s1 * s1 / (n1 + {penalty}) + s0 * s0 / (n - n1 + {penalty}) - s * s / (n + {penalty})"
+        tables += [
+            f"{name}_c{d} AS ({candidates})",
+            f"""{name}_b{d} AS (SELECT node, f FROM {name}_c{d} WHERE n >= {least_split} AND n1 >= {least_leaf} AND n - n1 >= {least_leaf} AND differ
+                AND {f"{gain} > 0" if penalty else "true"} QUALIFY row_number() OVER (PARTITION BY node ORDER BY {gain} DESC) = 1)""",
+            f"""{name}_{d + 1} AS (SELECT r.* REPLACE (2 * r.node + CASE WHEN (CASE f {chosen} END) THEN 1 ELSE 0 END AS node)
+                FROM {name}_{d} r LEFT JOIN {name}_b{d} b ON r.node = b.node)""",
+        ]
+    value = f"SELECT node, sum({y}) / (count(*) + {penalty}) AS p FROM {name}_{depth} WHERE split = 'train' GROUP BY node"
+    return ", ".join([*tables, f"{name} AS (SELECT r.* EXCLUDE (node), v.p FROM {name}_{depth} r JOIN ({value}) v ON r.node = v.node)"])
 
 
-@query(
-    "tree_stump",
-    f"WITH {LABELLED}, {_stump_sql(1, 'rows', 'volume')} SELECT k, split, round(p1, 4) AS prediction FROM s1",
-)
-def _(spark, sf):
-    table = _modelled(spark, sf, ONE_HOT_NAMES)
-    stump = M.fit(M.decision_tree({"max_depth": 1}), table.where("split = 'train'"))
-    return rounded(stump.transform(table).select("k", "split", "prediction"), 4)
+def boosted_sql(rounds: int, depth: int, rate: float, penalty: float) -> str:
+    """Tables of so many rounds of boosting; the last one has the prediction as `said`."""
+    tables = [f"{LABELLED}, g0 AS (SELECT *, (SELECT avg(volume) FROM rows WHERE split = 'train') AS said FROM rows), h0 AS (SELECT *, volume - said AS gap FROM g0)"]
+    for i in range(rounds):
+        tables.append(tree_sql(f"t{i}", f"h{i}", "gap", depth, penalty=penalty))
+        tables.append(f"g{i + 1} AS (SELECT * EXCLUDE (p, gap) REPLACE (said + {rate} * p AS said) FROM t{i})")
+        tables.append(f"h{i + 1} AS (SELECT *, volume - said AS gap FROM g{i + 1})")
+    return ", ".join(tables)
 
 
-@query(
-    "boosted_stumps",
-    f"""WITH {LABELLED}, {_stump_sql(1, 'rows', 'volume')}, r1 AS (SELECT *, volume - p1 AS gap FROM s1),
-        {_stump_sql(2, 'r1', 'gap')} SELECT k, split, round(p1 + 0.2 * p2, 4) AS prediction FROM s2""",
-)
+# Seven digits first: they drop what the order of a sum does, so that four digits round alike.
+LEAF = "round(round({0}, 7), 4) AS prediction"
+
+
+def _leaves(scored: DataFrame) -> DataFrame:
+    return rounded(rounded(scored.select("k", "split", "prediction"), 7), 4)
+
+
+def _tree_query(name: str, params: dict) -> None:
+    sql = tree_sql("grown", "rows", "volume", params["max_depth"], params.get("min_samples_split", 2), params.get("min_samples_leaf", 1))
+
+    @query(name, f"WITH {LABELLED}, {sql} SELECT k, split, {LEAF.format('p')} FROM grown")
+    def _(spark, sf):
+        table = _modelled(spark, sf, ONE_HOT_NAMES)
+        return _leaves(M.fit(M.decision_tree(params), table.where("split = 'train'")).transform(table))
+
+
+_tree_query("tree_stump", {"max_depth": 1})
+_tree_query("tree_of_depth_three", {"max_depth": 3})
+# Limits that bind on the driver tables: a leaf minimum alone would allow more splits.
+_tree_query("tree_with_split_minimum", {"max_depth": 4, "min_samples_split": 200, "min_samples_leaf": 20})
+
+
+def _boosted_query(name: str, rounds: int, depth: int, rate: float, penalty: float) -> None:
+    @query(name, f"WITH {boosted_sql(rounds, depth, rate, penalty)} SELECT k, split, {LEAF.format('said')} FROM g{rounds}")
+    def _(spark, sf):
+        table = _modelled(spark, sf, ONE_HOT_NAMES)
+        growth = M.boosted_trees({"n_estimators": rounds, "max_depth": depth, "learning_rate": rate, "reg_lambda": penalty})
+        return _leaves(M.fit(growth, table.where("split = 'train'")).transform(table))
+
+
+_boosted_query("boosted_stumps", 2, 1, 0.2, 1.0)
+_boosted_query("boosted_trees_of_depth_two", 2, 2, 0.1, 1.5)
+
+
+@query("tree_nodes", f"""WITH {LABELLED}, {tree_sql("grown", "rows", "volume", 2)}
+    SELECT round(round(p, 7), 4) AS value, count(*) AS rows FROM grown WHERE split = 'train' GROUP BY p""")
 def _(spark, sf):
+    """The leaves of a tree from its node table."""
     table = _modelled(spark, sf, ONE_HOT_NAMES)
-    boosted = M.boosted_trees({"n_estimators": 2, "max_depth": 1, "learning_rate": 0.2})
-    return rounded(M.fit(boosted, table.where("split = 'train'")).transform(table).select("k", "split", "prediction"), 4)
+    nodes = M.fit(M.decision_tree({"max_depth": 2}), table.where("split = 'train'")).nodes()
+    return rounded(rounded(nodes.where("feature IS NULL").select("value", "rows"), 7), 4)
 
 
 # A point from the middle of the reference grids for the queries that fit one model.
 FOREST = {"n_estimators": 400, "max_depth": 15, "min_samples_split": 5, "min_samples_leaf": 2, "max_features": "sqrt"}
-BOOSTED = {"n_estimators": 400, "learning_rate": 0.1, "max_depth": 8, "subsample": 0.9, "colsample_bytree": 0.9}
+BOOSTED = {"n_estimators": 400, "learning_rate": 0.1, "max_depth": 8, "subsample": 0.9, "colsample_bytree": 0.9, "reg_lambda": 1.0}
 ENSEMBLE = {f"rf_{k}": v for k, v in FOREST.items()} | {f"xgb_{k}": v for k, v in BOOSTED.items()}
 
 
@@ -284,13 +324,15 @@ def _(spark, sf):
 @query("average_ensemble")
 def _(spark, sf):
     table = _modelled(spark, sf)
-    predict = R.ensemble_family(ENSEMBLE, table.where("split = 'train'"))
-    return M.rmse_by_split(predict(table), predictions=R.MEMBERS)
+    train = table.where("split = 'train'")
+    members = R.ensemble_family(ENSEMBLE)
+    both = M.average_ensemble(*[M.fit(growth, train, name) for name, growth in members.items()], table)
+    return M.rmse_by_split(both, predictions={"rmse_rf": "pred_rf", "rmse_xgb": "pred_xgb", "rmse_ensemble": "prediction"})
 
 
 @query("random_search")
 def _(spark, sf):
-    return R.random_search(_modelled(spark, sf), R.param_sampler(spark, R.FOREST_GRID, R.FOREST_DRAWS), R.forest_family, parallelism=2)
+    return R.random_search(_modelled(spark, sf), R.param_sampler(spark, R.FOREST_GRID, R.FOREST_DRAWS), R.forest_family)
 
 
 @query("tree_search")
