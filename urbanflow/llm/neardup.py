@@ -23,12 +23,14 @@ from urbanflow.session import drop_table, join_lookup, materialize
 
 # Permutations, and values per band: two documents of similarity 0.8 agree in none of the 24 bands with a chance of
 # (1 - 0.8 ** 4) ** 24 = 3e-6. The second scheme goes through buckets of more than `WIDE` classes that the first leaves
-# unconnected: fewer dissimilar documents agree in 8 values, and 80 bands miss (1 - 0.8 ** 8) ** 80 = 4e-7.
-SCHEMES = ((48, 4), (320, 8))
+# unconnected: fewer dissimilar documents agree in 6 values, and 42 bands miss (1 - 0.8 ** 6) ** 42 = 3e-6. Its bands are
+# read off 4 bits of each value, so that two rows tell by themselves in which bands they agree.
+SCHEMES = ((48, 4), (640, 6))
+DIGIT_BANDS = 42
 WIDE = 512
-# Before sets are compared, 4 bits of each of the second scheme's values are: so many of the first 96 and of all 640 may
-# differ. At similarity 0.8 on average 18 and 120 do; the bounds are 5.8 and 4.5 standard deviations above.
-DIFFER = ((96, 40), (640, 165))
+# Before sets are compared, 4 bits of each of the second scheme's values are: so many of the first 96 and of all 1,280 may
+# differ. At similarity 0.8 on average 18 and 240 do; the bounds are 5.8 and 4.5 standard deviations above.
+DIFFER = ((96, 40), (1280, 303))
 SHINGLE, SIMILAR = 5, 80
 # Words and columns that a task holds at once; only speed depends on them.
 REMEMBERED, COLUMNS = 1 << 19, 4096
@@ -93,8 +95,8 @@ def packed_digits(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int, scheme: tuple[int, int] = SCHEMES[0]) -> DataFrame:
-    """(doc_id, n, set_hash, bands, digits) per row of `docs` (doc_id, text); an empty set has only its size, and the first
-    scheme no digits."""
+    """(doc_id, n, set_hash, bands, digits) per row of `docs` (doc_id, text); an empty set has only its size, the first
+    scheme no digits, and the second no bands but its digits."""
     permutations, per_band = scheme
     digits = scheme == SCHEMES[1]
 
@@ -107,7 +109,8 @@ def sketches(docs: DataFrame, size: int, scheme: tuple[int, int] = SCHEMES[0]) -
                 row = [len(s), None, None, None]
                 if len(s):
                     signature = min_max_signature(s, permutations)
-                    row = [len(s), xxhash.xxh128_digest(s.tobytes()), band_hashes(signature, per_band), packed_digits(signature) if digits else None]
+                    values = [None, packed_digits(signature)] if digits else [band_hashes(signature, per_band), None]
+                    row = [len(s), xxhash.xxh128_digest(s.tobytes()), *values]
                 for column, value in zip(out, row):
                     column.append(value)
             types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -141,8 +144,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
-    """(band, value, node, n, first, size, and digits if given) of the classes that share a band's value with another."""
-    banded = materialize(classes.select(*[c for c in classes.columns if c in ("node", "n", "digits")], F.posexplode("bands").alias("band", "value")))
+    """(band, value, node, n, first, size) of the classes that share a band's value with another."""
+    banded = materialize(classes.select("node", "n", F.posexplode("bands").alias("band", "value")))
     buckets = banded.groupBy("band", "value").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size"))
     members = materialize(join_lookup(banded, buckets.where("size > 1"), ["band", "value"], "inner"))
     drop_table(banded)
@@ -197,16 +200,42 @@ def similar(x: Column, y: Column, percent: int) -> Column:
     return 100 * shared >= percent * (F.size(x) + F.size(y) - shared)
 
 
-def unconnected_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): labeled members of a bucket that are not connected and not ruled out by their sizes or digits."""
-    left = members.select("band", "value", "node", "n", "digits", "label")
-    right = left.select(
-        F.col("band").alias("band2"), F.col("value").alias("value2"), F.col("node").alias("b"), F.col("n").alias("m"),
-        F.col("digits").alias("others"), F.col("label").alias("other"),
-    )
+def with_lowest(rows: DataFrame) -> DataFrame:
+    """(node, mine) from (node, band, value): all of a node's buckets, so that two nodes tell which is the lowest of both."""
+    return rows.groupBy("node").agg(F.collect_list(F.struct("band", "value")).alias("mine"))
+
+
+def _halves(word: Column) -> tuple[Column, Column]:
+    """The digits of two bands."""
+    return word.bitwiseAND(F.lit(0xFFFFFF)), F.shiftrightunsigned(word, 32).bitwiseAND(F.lit(0xFFFFFF))
+
+
+def digit_buckets(digits: Column) -> Column:
+    """The buckets of the second scheme: the digits of the 6 values of each band, which begin at every eighth value."""
+    halves = F.flatten(F.transform(F.slice(digits, 1, DIGIT_BANDS // 2), lambda w: F.array(*_halves(w))))
+    return F.transform(halves, lambda value, band: F.struct(band.alias("band"), value.alias("value")))
+
+
+def _lowest_digit_band() -> Column:
+    """The lowest band whose digits are those of another row (others)."""
+    first = F.slice("digits", 1, DIGIT_BANDS // 2), F.slice("others", 1, DIGIT_BANDS // 2)
+    differing = F.zip_with(*first, lambda x, y: x.bitwiseXOR(y))
+    agree = F.transform(differing, lambda w, i: F.when(_halves(w)[0] == 0, 2 * i).when(_halves(w)[1] == 0, 2 * i + 1))
+    return F.array_min(agree)
+
+
+def unconnected_pairs(nodes: DataFrame, buckets: Column, lowest: Column, percent: int) -> DataFrame:
+    """(a, b): nodes (node, n, digits, label, ...) of a bucket that are not connected and not ruled out by sizes or digits.
+
+    A pair is made only in the lowest bucket that both share, which `lowest` tells from the columns of both rows; those of
+    the second row are called b, m, others, other and theirs.
+    """
+    names = {"node": "b", "n": "m", "digits": "others", "label": "other", "mine": "theirs"}
+    left = nodes.select("*", F.explode(buckets).alias("bucket")).select(*nodes.columns, "bucket.band", "bucket.value")
+    right = left.select(F.col("band").alias("band2"), F.col("value").alias("value2"), *[F.col(c).alias(names[c]) for c in nodes.columns])
     same = (F.col("band") == F.col("band2")) & (F.col("value") == F.col("value2"))
     differ = (F.col("node") < F.col("b")) & (F.col("label") != F.col("other"))
-    return left.join(right, same & differ & _similar_size(percent) & _few_differ()).select(F.col("node").alias("a"), "b").distinct()
+    return left.join(right, same & differ & _similar_size(percent) & _few_differ() & (F.col("band") == lowest)).select(F.col("node").alias("a"), "b")
 
 
 def near_components(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR) -> DataFrame:
@@ -216,8 +245,8 @@ def near_components(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     have a NULL id has a NULL component. An empty table gives no rows.
 
     In every bucket of a band, members are first compared with two of them; that connects groups of copies. Then
-    members of a bucket that are still unconnected are compared with each other. Buckets that are too wide for that are
-    replaced by those of the second scheme over their members. No bucket is cut or left out.
+    members of a bucket that are still unconnected are compared with each other, each pair in one bucket. Buckets that
+    are too wide for that are replaced by those of the second scheme over their members. No bucket is cut or left out.
     """
     ids = docs.select("doc_id", "text")
     rows = materialize(sketches(ids, size))
@@ -233,14 +262,22 @@ def near_components(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     labels = components(edges)
 
     mixed = materialize(mixed_buckets(members, labels))
+    drop_table(members)
     again = mixed.select(F.col("node").alias("doc_id")).distinct()
-    finer = materialize(sketches(join_lookup(ids.where("doc_id IS NOT NULL"), again, ["doc_id"], "left_semi"), size, SCHEMES[1]).withColumnRenamed("doc_id", "node"))
-    narrow = mixed.where(F.col("size") <= WIDE).join(finer.select("node", "digits"), "node")
-    wide = finer.join(mixed.where(F.col("size") > WIDE).select("node").distinct(), "node", "left_semi")
-    wide = mixed_buckets(bucket_members(wide), labels)
-    rest = unconnected_pairs(narrow, percent).unionByName(unconnected_pairs(wide, percent)).distinct()
-    more = confirmed(rest, sets, percent)
-    final = components(materialize(edges.unionByName(more)), labels)
+    finer = sketches(join_lookup(ids.where("doc_id IS NOT NULL"), again, ["doc_id"], "left_semi"), size, SCHEMES[1])
+    finer = materialize(finer.select(F.col("doc_id").alias("node"), "n", "digits").dropDuplicates(["node"]))
+    known = finer.join(mixed.select("node", "label").distinct(), "node")
+    narrow = known.join(with_lowest(mixed.where(F.col("size") <= WIDE)), "node")
+    shared = F.array_min(F.array_intersect("mine", "theirs"))["band"]
+    wide = known.join(mixed.where(F.col("size") > WIDE).select("node").distinct(), "node", "left_semi")
+    rest = unconnected_pairs(narrow, F.col("mine"), shared, percent)
+    rest = rest.unionByName(unconnected_pairs(wide, digit_buckets(F.col("digits")), _lowest_digit_band(), percent)).distinct()
+    links = materialize(edges.unionByName(confirmed(rest, sets, percent)))
+    for table in (mixed, finer, sets, edges):
+        drop_table(table)
+    final = components(links, labels)
+    drop_table(links)
+    drop_table(labels)
 
     named = rows.where("set_hash IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("node"))
     named = named.join(final, "node", "left").select("set_hash", F.coalesce("label", "node").alias("component"))
