@@ -7,11 +7,11 @@ from math import prod
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from urbanflow.operators import models as M
 from urbanflow.operators.combine import train_val_union
+from urbanflow.operators.positions import row_numbers
 from urbanflow.operators.trees import Growth
 
 # The grids and the number of draws.
@@ -76,9 +76,8 @@ def _typed(value: object, values: list) -> object:
 
 
 def trial_leaderboard(trials: DataFrame, metric: str = "val_rmse", tie: str = "trial_id") -> DataFrame:
-    """All trials with their rank from 0, best first; equal errors are ranked by the tie column."""
-    order = W.orderBy(F.col(metric).asc_nulls_last(), F.col(tie))
-    return trials.withColumn("rank", (F.row_number().over(order) - 1).cast("long")).orderBy("rank")
+    """All trials with their rank from 0, best first; equal errors are ranked by the tie column. No task ranks them all."""
+    return row_numbers(trials, [F.col(metric).asc_nulls_last(), F.col(tie)], "rank").orderBy("rank")
 
 
 def best_trial(trials: DataFrame, metric: str = "val_rmse", tie: str = "trial_id") -> DataFrame:

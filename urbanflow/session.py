@@ -58,6 +58,16 @@ def _row_bytes(schema: T.StructType) -> Column | None:
     return total
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path under the checkpoint folder; what is written there is removed when the process ends."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/tables"
+    if not _FOLDERS:
+        atexit.register(release_tables, spark)
+    _FOLDERS.add(folder)
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute `df` once into a table under the checkpoint folder and read it back.
 
@@ -69,12 +79,7 @@ def materialize(df: DataFrame) -> DataFrame:
 def _written(df: DataFrame) -> tuple[DataFrame, int | None]:
     """The written table and its size in memory, measured by the write job itself."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/tables"
-    if not _FOLDERS:
-        atexit.register(release_tables, spark)
-    _FOLDERS.add(folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     row_bytes, seen = _row_bytes(df.schema), None
     if row_bytes is not None:
         seen = Observation()

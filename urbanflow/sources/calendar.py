@@ -106,6 +106,6 @@ def explode_lines(df: DataFrame, doc: str, text: str) -> DataFrame:
     )
 
 
-def holiday_calendar(spark: SparkSession, path: str) -> DataFrame:
+def holiday_calendar(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
     """Distinct holiday dates of all calendar files under `path`."""
-    return sectioned_dates(read_lines(spark, path), "doc", "block", "pos", "line")
+    return sectioned_dates(read_lines(spark, path), "doc", "block", "pos", "line", lenient)

@@ -10,12 +10,12 @@ from urbanflow.functions import numbers as N
 from urbanflow.functions import text as X
 from urbanflow.operators import encode as E
 from urbanflow.operators import projection as P
+from urbanflow.operators.aggregates import level_values
 from urbanflow.operators.reduce import standardize
 from urbanflow.operators.rules import advisory_rules
 from urbanflow.plans.enrichment import daily_weather, enrich_dataset
 from urbanflow.plans.exploration import area_road_advisories, area_road_profile
-from urbanflow.session import materialize
-from urbanflow.sources.calendar import explode_lines, sectioned_dates
+from urbanflow.sources.calendar import sectioned_dates
 from urbanflow.sources.tables import report_lines
 from urbanflow.workload import tables as T
 from urbanflow.workload.registry import query
@@ -186,27 +186,6 @@ def _(spark, sf):
     return sectioned_dates(T.calendar_lines(spark, sf), "doc", "block", "pos", "line")
 
 
-# Document texts carry no year heading, so one line per document is put in front of them: the year comes from the
-# document number, and every line with a dash is offered as a calendar line of May.
-@query(
-    "holiday_calendar",
-    r"""WITH l AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents),
-      e AS (SELECT doc_id, length(trim(line)) % 40 AS day FROM l WHERE length(trim(line)) > 0)
-      SELECT DISTINCT make_date(1990 + doc_id % 30, 5, day) AS holiday_date FROM e WHERE day BETWEEN 1 AND 31""",
-)
-def _(spark, sf):
-    lines = explode_lines(T.table(spark, sf, "documents"), "doc_id", "text")
-    size = F.length(F.trim(F.col("line")))
-    day = size % 40
-    entry = F.concat(F.lit("May - "), F.when(day.between(1, 31), day.cast("string")).otherwise(F.lit("x")), F.lit(","))
-    body = lines.select("doc", "block", (F.col("pos") + 1).alias("pos"), F.when(size > 0, entry).otherwise("").alias("line"))
-    heads = T.table(spark, sf, "documents").select(
-        F.col("doc_id").alias("doc"), F.lit(0).cast("long").alias("block"), F.lit(0).alias("pos"),
-        F.concat(F.lit("# "), (F.lit(1990) + F.col("doc_id") % 30).cast("string")).alias("line"),
-    )
-    return sectioned_dates(body.unionByName(heads), "doc", "block", "pos", "line")
-
-
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -249,8 +228,9 @@ ENCODED_SQL = f"""WITH {T.ENRICHED} SELECT k, {_double_sql(ENRICHED_DOUBLES)}, "
 
 
 def encoded(spark, sf, passthrough=()):
-    """The enriched table is written first, as the jobs do: the categories then come from a scan of three columns."""
-    return E.encode_dataset(materialize(enriched(spark, sf)), drop=("sunrise", "sunset"), passthrough=passthrough)
+    """The categories come from the traffic rows, before weather and calendar are joined, so nothing is written for them."""
+    levels = level_values(T.traffic(spark, sf).select(S.WEATHER, S.AREA, S.ROAD), S.CATEGORICALS)
+    return E.encode_dataset(enriched(spark, sf), levels=levels, drop=("sunrise", "sunset"), passthrough=passthrough)
 
 
 @query("encode_dataset", ENCODED_SQL)
@@ -298,11 +278,11 @@ ADVISED_SQL = """concat_ws(' | ',
 
 @query(
     "area_road_profile",
-    f"""WITH {PROFILE_CTES} SELECT "Area Name", "Road/Intersection Name", {_double_sql(PROFILE_MEANS, 4)},
+    f"""WITH {PROFILE_CTES} SELECT "Area Name", "Road/Intersection Name", {", ".join(f'round(round("{c}", 7), 4) + 0.0 AS "{c}"' for c in PROFILE_MEANS)},
         "Incident Reports", "Weather Conditions", "Roadwork and Construction Activity" FROM profile""",
 )
 def _(spark, sf):
-    return rounded(area_road_profile(T.traffic(spark, sf)), 4)
+    return rounded(rounded(area_road_profile(T.traffic(spark, sf)), 7), 4)
 
 
 @query(

@@ -71,7 +71,7 @@ def mode_sql(source: str, keys: str, column: str, out: str) -> str:
       t AS (SELECT "Area Name" AS area, "Road/Intersection Name" AS road, "Traffic Volume" AS volume,
               "Average Speed" AS speed, "Incident Reports" AS incidents, "Weather Conditions" AS weather,
               "Roadwork and Construction Activity" AS roadwork FROM traffic),
-      g AS (SELECT area, road, round(avg(volume), 4) AS volume, round(avg(speed), 4) AS speed,
+      g AS (SELECT area, road, round(round(avg(volume), 7), 4) AS volume, round(round(avg(speed), 7), 4) AS speed,
               CAST(sum(incidents) AS BIGINT) AS incidents FROM t GROUP BY area, road)
       SELECT g.*, w.weather, r.roadwork FROM g
         JOIN {mode_sql("t", "area, road", "weather", "weather")} w USING (area, road)
@@ -84,7 +84,8 @@ def _(spark, sf):
         F.col("Incident Reports").alias("incidents"), F.col("Weather Conditions").alias("weather"),
         F.col("Roadwork and Construction Activity").alias("roadwork"),
     )
-    return rounded(A.mixed_profile(t, ["area", "road"], ["volume", "speed"], ["incidents"], ["weather", "roadwork"]), 4)
+    # Seven digits first: they drop what the order of a sum does, so that a tie at four digits goes the same way.
+    return rounded(rounded(A.mixed_profile(t, ["area", "road"], ["volume", "speed"], ["incidents"], ["weather", "roadwork"]), 7), 4)
 
 
 NATIONS = sorted(f"NATION_{i}" for i in range(25))
