@@ -263,6 +263,40 @@ def test_standardize_ignores_nan(spark):
 def test_check_values_counts_all_bad_values(spark):
     from urbanflow.operators.checks import check_values
 
-    df = spark.range(25).select(F.col("id").cast("string").alias("v"))
-    with pytest.raises(ValueError, match="25 in all"):
+    df = spark.range(1025).select(F.col("id").cast("string").alias("v"))
+    with pytest.raises(ValueError, match="1025 in all"):
         check_values(df, "v", F.lit(None).cast("int"))
+
+
+def test_watched_values_are_counted_by_the_job_itself(spark):
+    from urbanflow.functions.text import boolean_to_int
+    from urbanflow.operators.checks import Watch
+
+    df = spark.createDataFrame([(i, f"bad {i % 30}" if i % 2 else "yes", None if i == 8 else "1") for i in range(200)], "k int, a string, b string")
+    watch = Watch(df, {c: boolean_to_int(F.col(c)) for c in ("a", "b")})
+    assert watch.table.where("k >= 0").count() == 200
+    assert watch.counts() == {"a": 100, "b": 1}
+    with pytest.raises(ValueError) as error:
+        watch.verify()
+    assert all(f"'bad {i}'" in str(error.value) for i in range(1, 30, 2)) and "b: [None] in 1 rows" in str(error.value)
+    fine = Watch(df.where("k % 2 = 0 AND k <> 8"), {"a": boolean_to_int(F.col("a"))})
+    fine.table.collect()
+    fine.verify()
+
+
+def test_encoding_job_lists_all_bad_values_and_keeps_the_old_table(spark, tmp_path):
+    from urbanflow.plans.encoding import run_encoding
+    from urbanflow.sources.tables import read_table
+
+    good = ("2024-12-31", 5, "Tuesday", "Rain", "A", "R", "yes", "no", "06:00")
+    schema = ENCODE_SCHEMA.replace("boolean", "string")
+    out, source = str(tmp_path / "encoded"), str(tmp_path / "enriched")
+    spark.createDataFrame([good] * 3, schema).write.parquet(source)
+    assert run_encoding(spark, source, out) == (3, 10)
+    bad = [good, ("nonsense", *good[1:]), (None, *good[1:]), (*good[:2], "Funday", *good[3:]), (*good[:2], "Moonday", *good[3:]), (*good[:6], "perhaps", *good[7:])]
+    spark.createDataFrame(bad, schema).write.mode("overwrite").parquet(source)
+    with pytest.raises(ValueError) as error:
+        run_encoding(spark, source, out)
+    for word in ("Date: [None, 'nonsense'] in 2 rows", "day_of_week: ['Funday', 'Moonday'] in 2 rows", "is_holiday: ['perhaps'] in 1 rows"):
+        assert word in str(error.value)
+    assert read_table(spark, out).count() == 3 and [p.name for p in tmp_path.iterdir() if "encoded." in p.name] == []

@@ -8,26 +8,27 @@ from pyspark.sql import functions as F
 from urbanflow import schema as S
 from urbanflow.functions import dates as D
 from urbanflow.functions.names import col_q
-from urbanflow.functions.text import boolean_to_int_strict
+from urbanflow.functions.text import boolean_to_int, boolean_to_int_strict
 from urbanflow.operators.aggregates import level_values
-from urbanflow.operators.checks import check_numeric
+from urbanflow.operators.checks import Watch, check_numeric
 
 
 def one_hot(df: DataFrame, columns: list[str], levels: dict[str, list] | None = None) -> DataFrame:
-    """Replace each column by 0/1 columns `column_value`, appended in the order of `columns`, values sorted.
+    """Replace each column by 0/1 columns `column_value` of one byte, appended in the order of `columns`, values sorted.
 
     A missing value gives zeros; no level is dropped. Without `levels` one job finds them. The result is a single
     projection, however many columns it makes.
     """
     levels = levels if levels is not None else level_values(df, columns)
     kept = [col_q(c) for c in df.columns if c not in columns]
-    flags = [F.coalesce((col_q(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}") for c in columns for v in levels[c]]
+    zero = F.lit(0).cast("tinyint")
+    flags = [F.coalesce((col_q(c) == F.lit(v)).cast("tinyint"), zero).alias(f"{c}_{v}") for c in columns for v in levels[c]]
     return df.select(*kept, *flags)
 
 
-def cyclic_columns(date: Column, day_name: Column) -> list[Column]:
-    """The four sine/cosine columns of a date and its day name."""
-    day, year_day = D.day_index_strict(day_name), F.dayofyear(date)
+def cyclic_columns(date: Column, day: Column) -> list[Column]:
+    """The four sine/cosine columns of a date and the number of its day in the week."""
+    year_day = F.dayofyear(date)
     return [
         D.cycle_sin(day, D.WEEK_PERIOD).alias("day_of_week_sin"),
         D.cycle_cos(day, D.WEEK_PERIOD).alias("day_of_week_cos"),
@@ -43,19 +44,23 @@ def _valid_date(c: Column) -> Column:
 
 
 def encode_temporal(
-    df: DataFrame, date: str = S.DATE, day_name: str = S.DAY_OF_WEEK, passthrough: tuple[str, ...] = ()
+    df: DataFrame, date: str = S.DATE, day_name: str = S.DAY_OF_WEEK, passthrough: tuple[str, ...] = (), strict: bool = True
 ) -> DataFrame:
     """Replace the date and day-name columns by their cyclic columns, appended at the end.
 
-    A missing or unreadable date and an unknown day name are errors. Columns named in `passthrough` stay.
+    A missing or unreadable date and an unknown day name are errors, or give NULLs when not `strict`. Columns named in
+    `passthrough` stay.
     """
     kept = [col_q(c) for c in df.columns if c not in (date, day_name) or c in passthrough]
-    return df.select(*kept, *cyclic_columns(_valid_date(col_q(date)), col_q(day_name)))
+    if strict:
+        return df.select(*kept, *cyclic_columns(_valid_date(col_q(date)), D.day_index_strict(col_q(day_name))))
+    return df.select(*kept, *cyclic_columns(D.to_date_lenient(col_q(date)), D.day_index(col_q(day_name))))
 
 
-def encode_booleans(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Flags as TINYINT in place; a value that is no flag is an error."""
-    return df.select([boolean_to_int_strict(col_q(c)).alias(c) if c in columns else col_q(c) for c in df.columns])
+def encode_booleans(df: DataFrame, columns: list[str], strict: bool = True) -> DataFrame:
+    """Flags as TINYINT in place; a value that is no flag is an error, or NULL when not `strict`."""
+    flag = boolean_to_int_strict if strict else boolean_to_int
+    return df.select([flag(col_q(c)).alias(c) if c in columns else col_q(c) for c in df.columns])
 
 
 def encode_dataset(
@@ -67,6 +72,7 @@ def encode_dataset(
     levels: dict[str, list] | None = None,
     passthrough: tuple[str, ...] = (),
     drop: tuple[str, ...] = (),
+    strict: bool = True,
 ) -> DataFrame:
     """All-numeric table: remaining inputs, then the cyclic columns, then one 0/1 group per categorical column.
 
@@ -74,8 +80,20 @@ def encode_dataset(
     ride along unencoded (date or key), so that later steps can split or join by them.
     """
     table = df.select([col_q(c) for c in df.columns if c not in drop])
-    table = encode_temporal(table, date, day_name, passthrough)
+    table = encode_temporal(table, date, day_name, passthrough, strict)
     table = one_hot(table, categoricals, levels)
-    table = encode_booleans(table, flags)
+    table = encode_booleans(table, flags, strict)
     check_numeric(table.select([col_q(c) for c in table.columns if c not in passthrough]))
     return table
+
+
+def encode_watched(
+    df: DataFrame, date: str = S.DATE, day_name: str = S.DAY_OF_WEEK, flags: list[str] = S.FLAGS, **options
+) -> tuple[DataFrame, Watch]:
+    """`encode_dataset` for a job that writes: every bad date, day name and flag is counted as the rows are read.
+
+    After the job, `verify` of the watch raises one error that lists all distinct bad values of all columns.
+    """
+    mapped = {date: D.to_date_lenient(col_q(date)), day_name: D.day_index(col_q(day_name))}
+    watch = Watch(df, mapped | {c: boolean_to_int(col_q(c)) for c in flags})
+    return encode_dataset(watch.table, date, day_name, flags=flags, strict=False, **options), watch

@@ -90,21 +90,30 @@ def _written(df: DataFrame) -> tuple[DataFrame, int | None]:
     return table, seen and seen.get["bytes"]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Let what was written to `new` take the place of `path`."""
+    remove_path(spark, path)
+    source = spark._jvm.org.apache.hadoop.fs.Path(new)
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        raise OSError(f"{new} cannot be moved to {path}")
+
+
 def drop_table(table: DataFrame) -> None:
     """Remove a table made by `materialize` once nothing lazy reads it any more."""
-    _delete(table.sparkSession, table.scratch_path)
+    remove_path(table.sparkSession, table.scratch_path)
 
 
 def release_tables(spark: SparkSession) -> None:
     """Remove every table that this process has materialised; runs by itself when the process ends."""
     if spark.sparkContext._jsc is not None:
         for folder in _FOLDERS:
-            _delete(spark, folder)
+            remove_path(spark, folder)
     _FOLDERS.clear()
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanflow.functions.names import col_q, quoted
+from urbanflow.session import remove_path, replace_path
 
 
 def _format_of(path: str, fmt: str | None) -> str:
@@ -81,6 +85,20 @@ def write_table(df: DataFrame, path: str, fmt: str | None = None, mode: str = "o
     return seen.get["rows"], len(df.columns)
 
 
+def write_verified(df: DataFrame, path: str, verify: Callable[[], None], fmt: str | None = None) -> tuple[int, int]:
+    """As `write_table`, but `path` is replaced only when the rows are written and `verify` found nothing; else it stays as it was."""
+    spark, fmt = df.sparkSession, _format_of(path, fmt)
+    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex[:12]}"
+    try:
+        written = write_table(df, staged, fmt)
+        verify()
+        replace_path(spark, staged, path)
+    except Exception:
+        remove_path(spark, staged)
+        raise
+    return written
+
+
 def report_lines(df: DataFrame, template: list[tuple[str, str]], out: str = "line") -> DataFrame:
     """One text per row: each (label, column) pair of the template becomes `label: value`, joined with `, `."""
     parts = [F.concat(F.lit(label + ": "), F.coalesce(col_q(c).cast("string"), F.lit("None"))) for label, c in template]

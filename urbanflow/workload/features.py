@@ -98,7 +98,7 @@ def _cycle_sql(d: str, digits: int) -> str:
 @query("cyclic_encode", f"SELECT o_orderkey, {_cycle_sql('d', 6)} FROM {DATED}")
 def _(spark, sf):
     day = F.col("d")
-    return rounded(_orders(spark, sf).select("o_orderkey", *E.cyclic_columns(day, D.day_name(day))), 6)
+    return rounded(_orders(spark, sf).select("o_orderkey", *E.cyclic_columns(day, D.day_index_strict(D.day_name(day)))), 6)
 
 
 @query("encode_temporal", f"SELECT o_orderkey, {_cycle_sql('d', 6)} FROM {DATED}")

@@ -22,7 +22,7 @@ from urbanflow.plans.modelling import baseline_tree, model_table
 from urbanflow.session import join_lookup, materialize
 from urbanflow.workload import tables as T
 from urbanflow.workload.registry import query
-from urbanflow.workload.stats import rounded
+from urbanflow.workload.stats import box_sql, rounded
 
 # Key sets of the group-mean predictors; one trial each.
 TRIAL_KEYS = [["area"], ["road"], ["weather"], ["roadwork"], ["area", "weather"], ["road", "weather", "roadwork"]]
@@ -199,6 +199,23 @@ def _(spark, sf):
     return K.cluster_profile(cluster_rows(materialize(T.traffic(spark, sf))).rows, S.MEASURES)
 
 
+PROFILED = ["x", "l_discount"]
+
+
+@query(
+    "profile_of_two_groups",
+    box_sql(
+        " UNION ALL ".join(f"SELECT CAST(g AS INTEGER) AS \"Cluster\", '{c}' AS \"column\", {c} AS value FROM ({GROUPED})" for c in PROFILED),
+        '"Cluster", "column"',
+        "value",
+    ),
+)
+def _(spark, sf):
+    lines = _two_groups(spark, sf)
+    found = K.kmeans_assign(lines, PROFILED, K.kmeans_fit(lines, PROFILED))
+    return rounded(K.cluster_profile(found, PROFILED), 6)
+
+
 def _encoded_facts(spark, sf) -> DataFrame:
     """Facts as numbers, with date and key riding along: cyclic columns and three one-hot groups."""
     facts = T.facts(spark, sf).drop("road").withColumn("day_of_week", D.day_name(F.col("d")))

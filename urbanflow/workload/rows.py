@@ -24,7 +24,7 @@ ORDER_LEVELS = {
 def dummies_sql(column: str, levels: list[str], source: str | None = None) -> str:
     """0/1 columns of a column in ANSI SQL."""
     source = source or f'"{column}"'
-    return ", ".join(f"CAST({source} = '{v}' AS INTEGER) AS \"{column}_{v}\"" for v in levels)
+    return ", ".join(f"CAST({source} = '{v}' AS TINYINT) AS \"{column}_{v}\"" for v in levels)
 
 
 def encoded_orders(spark, sf):

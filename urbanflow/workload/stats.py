@@ -229,7 +229,7 @@ def _(spark, sf):
     return rounded(B.hexbin_density(T.table(spark, sf, "events"), "value", "user_id"), 4)
 
 
-def _box_sql(source: str, keys: str, value: str) -> str:
+def box_sql(source: str, keys: str, value: str) -> str:
     return f"""WITH src AS (SELECT * FROM ({source})), q AS (
         SELECT {keys}, count({value}) AS n, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
           quantile_cont({value}, 0.75) AS q3 FROM src GROUP BY {keys})
@@ -240,7 +240,7 @@ def _box_sql(source: str, keys: str, value: str) -> str:
       FROM src JOIN q USING ({keys}) GROUP BY {keys}, n, q1, median, q3"""
 
 
-@query("box_stats", _box_sql("SELECT event_type, value FROM events", "event_type", "value"))
+@query("box_stats", box_sql("SELECT event_type, value FROM events", "event_type", "value"))
 def _(spark, sf):
     return rounded(B.box_stats(T.table(spark, sf, "events"), ["event_type"], "value"), 6)
 
@@ -274,7 +274,7 @@ BOX_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @query(
     "box_stats_unpivot",
-    _box_sql(
+    box_sql(
         " UNION ALL ".join(f"SELECT l_returnflag, '{c}' AS \"column\", {c} AS value FROM lineitem" for c in BOX_COLUMNS),
         'l_returnflag, "column"',
         "value",
