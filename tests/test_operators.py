@@ -300,3 +300,24 @@ def test_encoding_job_lists_all_bad_values_and_keeps_the_old_table(spark, tmp_pa
     for word in ("Date: [None, 'nonsense'] in 2 rows", "day_of_week: ['Funday', 'Moonday'] in 2 rows", "is_holiday: ['perhaps'] in 1 rows"):
         assert word in str(error.value)
     assert read_table(spark, out).count() == 3 and [p.name for p in tmp_path.iterdir() if "encoded." in p.name] == []
+
+
+def test_sparse_levels_are_those_of_the_columns(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (2, None, "y"), (3, "a", None), (4, "c", "x")], "k int, u string, w string")
+    index = E.level_index(df, ["u", "w"])
+    assert sorted(tuple(r) for r in index.collect()) == [("u", "a", 0, 3), ("u", "b", 1, 3), ("u", "c", 2, 3), ("w", "x", 0, 2), ("w", "y", 1, 2)]
+    wide = {r["k"]: list(r)[1:] for r in E.one_hot(df, ["u", "w"]).collect()}
+    sparse = E.one_hot_sparse(df, ["u", "w"], index)
+    assert sparse.columns == ["k", "levels"]
+    assert {r["k"]: r["levels"].toArray().tolist() for r in sparse.collect()} == wide
+    unseen = spark.createDataFrame([(9, "new", "y")], "k int, u string, w string")
+    assert E.one_hot_sparse(unseen, ["u", "w"], index).first()["levels"].toArray().tolist() == [0, 0, 0, 0, 1]
+
+
+def test_a_hundred_thousand_levels_are_one_column(spark):
+    df = spark.range(100_000).select("id", F.concat(F.lit("level "), F.col("id").cast("string")).alias("u"), (F.col("id") % 3).cast("string").alias("w"))
+    sparse = E.one_hot_sparse(df, ["u", "w"], E.level_index(df, ["u", "w"]))
+    assert sparse.columns == ["id", "levels"]
+    row = sparse.where("id = 77").first()["levels"]
+    assert row.size == 100_003 and row.numNonzeros() == 2 and len(row.indices) == 2
+    assert sparse.count() == 100_000

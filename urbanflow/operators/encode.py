@@ -1,7 +1,8 @@
-"""Turning columns into numbers: one-hot groups, cyclic dates and flags."""
+"""Turning columns into numbers: one-hot groups, as columns or as one sparse vector, cyclic dates and flags."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,8 @@ from urbanflow.functions.names import col_q
 from urbanflow.functions.text import boolean_to_int, boolean_to_int_strict
 from urbanflow.operators.aggregates import level_values
 from urbanflow.operators.checks import Watch, check_numeric
+from urbanflow.operators.positions import row_numbers
+from urbanflow.session import join_lookup, materialize
 
 
 def one_hot(df: DataFrame, columns: list[str], levels: dict[str, list] | None = None) -> DataFrame:
@@ -97,3 +100,38 @@ def encode_watched(
     mapped = {date: D.to_date_lenient(col_q(date)), day_name: D.day_index(col_q(day_name))}
     watch = Watch(df, mapped | {c: boolean_to_int(col_q(c)) for c in flags})
     return encode_dataset(watch.table, date, day_name, flags=flags, strict=False, **options), watch
+
+
+def level_index(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, index, levels): the levels of each column numbered from 0 in ascending order, as a written table.
+
+    Levels stay on the executors, however many there are; `levels` is their number in the column.
+    """
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("at"), col_q(c).cast("string").alias("value")) for i, c in enumerate(columns)])).alias("p"))
+    found = row_numbers(pairs.select("p.*").where("value IS NOT NULL").distinct(), ["at", "value"], "number")
+    sizes = found.groupBy("at").agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("levels"))
+    numbered = found.join(F.broadcast(sizes), "at")
+    name = F.element_at(F.array(*map(F.lit, columns)), F.col("at") + 1)
+    return materialize(numbered.select(name.alias("column"), "value", (F.col("number") - F.col("first")).cast("int").alias("index"), "levels"))
+
+
+def one_hot_sparse(df: DataFrame, columns: list[str], index: DataFrame, out: str = "levels") -> DataFrame:
+    """Replace the columns by one sparse vector with a 1 at the place of each row's levels, in the order of `one_hot`.
+
+    Each column is looked up in the index, which is broadcast only if it is small. A missing value, and one that the
+    index lacks, gives zeros. The result has one column however many levels there are.
+    """
+    sizes = {r["column"]: r["levels"] for r in index.groupBy("column").agg(F.max("levels").alias("levels")).collect()}
+    table, hot = df, []
+    for i, c in enumerate(columns):
+        n = sizes.get(c, 0)
+        own = index.where(F.col("column") == c).select(F.col("value").alias(f"__v{i}"), F.col("index").alias(f"__i{i}"))
+        table = join_lookup(table.withColumn(f"__v{i}", col_q(c).cast("string")), own, [f"__v{i}"], "left")
+        # The number after the last level stands for none of them; the encoder drops it.
+        known = {"ml_attr": {"type": "nominal", "num_vals": n + 1}}
+        table = table.withColumn(f"__n{i}", F.coalesce(f"__i{i}", F.lit(n)).cast("double").alias(f"__n{i}", metadata=known))
+        hot.append(f"__n{i}")
+    encoder = OneHotEncoder(inputCols=hot, outputCols=[f"__h{i}" for i in range(len(columns))], dropLast=True)
+    encoded = encoder.fit(table).transform(table)
+    joined = VectorAssembler(inputCols=encoder.getOutputCols(), outputCol=out).transform(encoded)
+    return joined.select(*[col_q(c) for c in df.columns if c not in columns], col_q(out))

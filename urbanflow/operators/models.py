@@ -8,6 +8,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,14 @@ def assemble(df: DataFrame, features: list[str], target: str, keep: list[str] =
     return df.select(*kept, vector_of(features).alias("features"), col_q(target).cast("double").alias("label"))
 
 
+def assemble_sparse(df: DataFrame, features: list[str], levels: str, target: str, keep: list[str] = ()) -> DataFrame:
+    """As `assemble`, with the sparse vector of `one_hot_sparse` after the plain features."""
+    kept = [col_q(c) for c in keep]
+    plain = df.select(*kept, vector_of(features).alias("__plain"), col_q(levels).alias("__levels"), col_q(target).cast("double").alias("label"))
+    joined = VectorAssembler(inputCols=["__plain", "__levels"], outputCol="features").transform(plain)
+    return joined.select(*kept, "features", "label")
+
+
 def _depth(params: dict, default: int | None = None) -> int | None:
     depth = params.get("max_depth", default)
     return None if depth is None else int(depth)

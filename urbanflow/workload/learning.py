@@ -15,7 +15,7 @@ from urbanflow.functions.numbers import mean_of_two
 from urbanflow.operators import cluster as K
 from urbanflow.operators import models as M
 from urbanflow.operators import search as R
-from urbanflow.operators.encode import encode_temporal, one_hot
+from urbanflow.operators.encode import encode_temporal, level_index, one_hot, one_hot_sparse
 from urbanflow.operators.projection import split_by_year
 from urbanflow.plans.exploration import SCORES, cluster_rows, score_table
 from urbanflow.plans.modelling import baseline_tree, model_table
@@ -311,6 +311,19 @@ def _(spark, sf):
     return rounded(rounded(nodes.where("feature IS NULL").select("value", "rows"), 7), 4)
 
 
+SPARSE = tree_sql("grown", "rows", "volume", 3)
+
+
+@query("one_hot_sparse", f"WITH {LABELLED}, {SPARSE} SELECT k, split, {LEAF.format('p')} FROM grown")
+def _(spark, sf):
+    """The tree of depth three again, from one sparse vector of all levels instead of a column each."""
+    facts = split_by_year(T.facts(spark, sf), "d", T.YEARS)
+    columns = list(ONE_HOT)
+    vectors = one_hot_sparse(facts, columns, level_index(facts, columns))
+    table = materialize(M.assemble_sparse(vectors, [], "levels", "volume", ["split", "k"]))
+    return _leaves(M.fit(M.decision_tree({"max_depth": 3}), table.where("split = 'train'")).transform(table))
+
+
 # A point from the middle of the reference grids for the queries that fit one model.
 FOREST = {"n_estimators": 400, "max_depth": 15, "min_samples_split": 5, "min_samples_leaf": 2, "max_features": "sqrt"}
 BOOSTED = {"n_estimators": 400, "learning_rate": 0.1, "max_depth": 8, "subsample": 0.9, "colsample_bytree": 0.9, "reg_lambda": 1.0}
