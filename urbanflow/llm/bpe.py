@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 # Parts of up to this many bytes are merged directly; windows start with this many tokens on either side.
 LEAF, RIM = 16, 2
 # Distinct pieces that a task remembers; only speed depends on it.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 # Rows whose tokens and bytes are in memory at once.
 ROWS = 256
 

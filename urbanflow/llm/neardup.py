@@ -33,7 +33,7 @@ WIDE = 512
 DIFFER = ((96, 40), (1280, 303))
 SHINGLE, SIMILAR = 5, 80
 # Words and columns that a task holds at once; only speed depends on them.
-REMEMBERED, COLUMNS = 1 << 19, 4096
+REMEMBERED, COLUMNS = 1 << 17, 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
