@@ -8,7 +8,9 @@ whole windows confirms an occurrence. Documents are not shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from array import array
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,9 +20,9 @@ from urbanflow.llm.texts import as_row, sliced
 from urbanflow.session import drop_table, materialize
 
 WINDOW, BLOCK = 10, 3
-# Bytes of item text per search. A benchmark beyond it is searched in as many passes, each written
-# before the next, so what is broadcast at once stays bounded.
-CHUNK_BYTES = 16 * 1024 * 1024
+# Bytes of item text per search. A benchmark beyond it is searched in as many passes, each written before the next, so
+# what is broadcast at once and what a process keeps stay bounded: 2 MB of items of seven-letter words take 100 MB.
+CHUNK_BYTES = 2 * 1024 * 1024
 
 # Words are runs of ASCII letters and digits, lower case, and of all bytes of other characters.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -30,66 +32,131 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_WORDS).split()
 
 
+def add(table: dict[int, int | list[int]], key: int, value: int) -> None:
+    """Most keys have one value, which then needs no list."""
+    old = table.get(key)
+    if old is None:
+        table[key] = value
+    elif isinstance(old, list):
+        old.append(value)
+    else:
+        table[key] = [old, value]
+
+
+def listed(value: int | list[int]) -> list[int]:
+    return value if isinstance(value, list) else [value]
+
+
 class Search:
-    """The tables for patterns of one length: skips by block, and patterns with their items by last block."""
+    """The tables for patterns of one length over numbered words: skips by block, and by last block the places of patterns.
 
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], list[str]]) -> None:
-        self.length = length
+    A block is one integer, and a pattern is the place at which it stands in the words of all items.
+    """
+
+    def __init__(self, length: int, base: int, text: array, owners: dict[int, int | list[int]]) -> None:
+        self.length, self.base, self.text, self.owners = length, base, text, owners
         self.block = min(BLOCK, length)
-        self.skip: dict[tuple[bytes, ...], int] = {}
-        self.bucket: dict[tuple[bytes, ...], dict[tuple[bytes, ...], list[str]]] = {}
-        for pattern, items in patterns.items():
+        self.skip: dict[int, int] = {}
+        self.bucket: dict[int, int | list[int]] = {}
+        for place in owners:
             for end in range(self.block, length + 1):
-                block = pattern[end - self.block : end]
-                self.skip[block] = min(self.skip.get(block, length), length - end)
-            self.bucket.setdefault(pattern[-self.block :], {})[pattern] = items
-
-    def starts(self, words: list[bytes]) -> Iterator[tuple[int, list[str]]]:
-        """(position, items) of every occurrence."""
-        length, block, far = self.length, self.block, self.length - self.block + 1
+                block = self.key(text, place + end)
+                far = length - end
+                if self.skip.get(block, length) > far:
+                    self.skip[block] = far
+            add(self.bucket, block, place)
+
+    def key(self, words: Sequence[int], end: int) -> int:
+        """The block that ends before `end` as one integer."""
+        key = 0
+        for word in words[end - self.block : end]:
+            key = key * self.base + word
+        return key
+
+    def starts(self, words: array) -> Iterator[tuple[int, list[int]]]:
+        """(position, numbers of the items) of every occurrence; words that no item has are -1."""
+        length, far = self.length, self.length - self.block + 1
         skip, bucket, end, n = self.skip, self.bucket, self.length, len(words)
         while end <= n:
-            last = tuple(words[end - block : end])
+            if words[end - 1] < 0:
+                end += length  # no pattern reaches over this word
+                continue
+            last = self.key(words, end) if min(words[end - self.block : end]) >= 0 else -1
             step = skip.get(last, far)
             if step == 0:
-                items = bucket[last].get(tuple(words[end - length : end]))
-                if items is not None:
-                    yield end - length, items
+                here = words[end - length : end]
+                for place in listed(bucket[last]):
+                    if self.text[place : place + length] == here:
+                        yield end - length, listed(self.owners[place])
+                        break
                 step = 1
             end += step
 
 
-def searches_of(items: list[tuple[str, str]], window: int = WINDOW) -> list[Search]:
-    """One search per pattern length for (item_id, text) rows."""
-    found: dict[int, dict[tuple[bytes, ...], list[str]]] = {}
-    for item, text in items:
-        words = words_of(text)
-        size = min(window, len(words))
-        for pattern in {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if size else ():
-            found.setdefault(size, {}).setdefault(pattern, []).append(item)
-    return [Search(size, patterns) for size, patterns in sorted(found.items())]
-
-
-def hits_in(text: str | None, searches: list[Search]) -> tuple[int, list[tuple[int, int]], set[str]]:
+class Searches:
+    """One search per pattern length, and the numbers of the items' words."""
+
+    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.items = [item for item, _ in items]
+        text = array("q")
+        # Per length: hash of a window -> the first place that has it; windows of equal hash are compared word by word.
+        found: dict[int, dict[int, int | list[int]]] = {}
+        owners: dict[int, dict[int, int | list[int]]] = {}
+        for item, (_, own) in enumerate(items):
+            words = array("q", [self.numbers.setdefault(w, len(self.numbers)) for w in words_of(own)])
+            size, begin = min(window, len(words)), len(text)
+            text += words
+            for i in range(len(words) - size + 1 if size else 0):
+                here = words[i : i + size]
+                known, own_by = found.setdefault(size, {}), owners.setdefault(size, {})
+                mark = hash(here.tobytes())
+                place = next((p for p in listed(known.get(mark, [])) if text[p : p + size] == here), None)
+                if place is None:
+                    add(known, mark, begin + i)
+                    own_by[begin + i] = item
+                elif listed(own_by[place])[-1] != item:
+                    add(own_by, place, item)
+        found.clear()
+        self.all = [Search(size, len(self.numbers) + 1, text, owners[size]) for size in sorted(owners)]
+
+    def words(self, text: str | None) -> array:
+        get = self.numbers.get
+        return array("q", [get(w, -1) for w in words_of(text)])
+
+
+def hits_in(text: str | None, searches: Searches) -> tuple[int, list[tuple[int, int]], set[str]]:
     """(number of words, occurrences as (first word, end), items) of one text."""
-    words = words_of(text)
+    words = searches.words(text)
     spans, items = [], set()
-    for search in searches:
-        for start, ids in search.starts(words):
+    for search in searches.all:
+        for start, numbers in search.starts(words):
             spans.append((start, start + search.length))
-            items.update(ids)
-    return len(words), sorted(spans), items
+            items.update(numbers)
+    return len(words), sorted(spans), {searches.items[n] for n in items}
+
+
+# The tables of the last chunk that this process searched, by the name of its pass.
+_TABLES: dict[tuple, Searches] = {}
+
+
+def _tables(key: tuple, items, window: int) -> Searches:
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = Searches(items.value, window)
+    return _TABLES[key]
 
 
 def _chunks(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
     """The items in lists of at most `CHUNK_BYTES`, one longer item alone; one partition is on the driver at a time."""
     chunk, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("i"), "text").where("text IS NOT NULL").toLocalIterator():
-        if chunk and size + len(row.text) > CHUNK_BYTES:
+        more = len(row.text.encode())
+        if chunk and size + more > CHUNK_BYTES:
             yield chunk
             chunk, size = [], 0
         chunk.append((row.i or "", row.text))
-        size += len(row.text)
+        size += more
     yield chunk
 
 
@@ -115,8 +182,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", window
 
 
 def _scan(items, text: str, window: int):
+    key = (uuid.uuid4().hex, window)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searches = searches_of(items.value, window)
+        searches = _tables(key, items, window)
         for batch in sliced(batches):
             names = batch.schema.names
             counts, spans, ids = [], [], []
