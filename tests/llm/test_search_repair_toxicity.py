@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanflow.llm import conversations as C
-from urbanflow.llm import lexical, toxicity
+from urbanflow.llm import fixity, lexical, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -207,3 +207,39 @@ def test_toxicity_of_odd_rows(spark):
     assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
     assert [r.predicted for r in rows] == [0, 0, 1, 1, 1]
     assert toxicity.toxicity_report(docs.limit(0), none).count() == 0
+
+
+def brute_archive(rows):
+    """(page_id, copy, start, length, sha256) by sorting each file's records."""
+    files = collections.defaultdict(list)
+    for i, record in rows:
+        i = -1 if i is None else i
+        files[int(i / fixity.SHARD)].append((i, hashlib.sha256(record).hexdigest(), len(record)))
+    out = []
+    for records in files.values():
+        start, seen = 0, collections.Counter()
+        for i, sha, length in sorted(records):
+            seen[i] += 1
+            out.append((i, seen[i], start, length, sha))
+            start += length
+    return sorted(out)
+
+
+def test_leaves_of_ids_with_very_many_records(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(rng.choice([None, None, 7, 7, 7, 8, 3000, -2000]), bytes(rng.choices(range(65, 70), k=rng.choice([1, 1, 2, 40])))) for _ in range(900)]
+    table = spark.createDataFrame(rows, "page_id long, record binary")
+    assert sorted(tuple(r) for r in fixity.leaves(table).collect()) == brute_archive(rows)
+    monkeypatch.setattr(fixity, "FANOUT", 4)
+    lost = list(rows)
+    at = next(i for i, (p, r) in enumerate(rows) if p == 7 and len(r) == 40)
+    lost[at] = (7, b"*" + rows[at][1][1:])
+    other = spark.createDataFrame(lost, "page_id long, record binary")
+    assert fixity.audit(table, table.repartition(5)).count() == 0
+    want, got = ({(p, c): (s, h) for p, c, s, _, h in brute_archive(x)} for x in (rows, lost))
+    found = {(r.page_id, r["copy"]): r for r in fixity.audit(table, other).collect()}
+    assert set(found) == {k for k in want if want[k][1] != got[k][1]}
+    fewer = spark.createDataFrame([r for r in rows if r[0] != 7 or len(r[1]) < 40], "page_id long, record binary")
+    assert {r.kind for r in fixity.audit(table, fewer).collect()} <= {"missing", "changed"}
+    grown = spark.createDataFrame([*rows, *[(8, b"new")] * 40], "page_id long, record binary")
+    assert {r.page_id for r in fixity.audit(table, grown).collect()} == {8}

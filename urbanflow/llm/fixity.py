@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from urbanflow.session import drop_table, materialize
 
-# Ids per archive file, and children of a node: bounds of every group that is ever formed.
-SHARD, FANOUT = 1024, 32
+# Ids per archive file, and children of a node: bounds of every group that is ever formed. The records of one id are
+# dealt by the first characters of their hashes, so an id of very many records is none.
+SHARD, FANOUT, DEALT = 1024, 32, 3
 
 
 def warc_record(url: Column, html: Column) -> Column:
@@ -36,32 +37,57 @@ def archive(pages: DataFrame) -> DataFrame:
 def leaves(records: DataFrame) -> DataFrame:
     """(page_id, copy, start, length, sha256) of (page_id, record): the last two of the record, its offset in its file.
 
-    A NULL id counts as -1. Rows that repeat an id are numbered in the order of their hashes and lengths. A file holds
-    the rows of `SHARD` ids, so its window is bounded unless ids repeat without end.
+    A NULL id counts as -1. Rows that repeat an id are numbered in the order of their hashes and lengths; equal ones are
+    counted before they are numbered. Offsets are sums inside a part of an id's records, plus the parts and ids before.
     """
     hashed = records.select(
         F.coalesce(F.col("page_id").cast("bigint"), F.lit(-1).cast("bigint")).alias("page_id"),
         F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("sha256"),
     )
-    shard = F.expr(f"page_id div {SHARD}")
-    order = Window.partitionBy(shard).orderBy("page_id", "sha256", "length")
-    before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    copy = F.row_number().over(Window.partitionBy(shard, "page_id").orderBy("sha256", "length"))
-    return hashed.select("page_id", copy.alias("copy"), F.coalesce(before, F.lit(0)).cast("bigint").alias("start"), "length", "sha256")
+    counted = hashed.groupBy("page_id", "sha256", "length").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.withColumn("part", F.substring("sha256", 1, DEALT))
+    inside = Window.partitionBy("page_id", "part").orderBy("sha256", "length").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.select("*", F.sum("n").over(inside).alias("n_here"), F.sum(F.col("n") * F.col("length")).over(inside).alias("bytes_here"))
+    parts = counted.groupBy("page_id", "part").agg(F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("length")).alias("bytes"))
+    of_id = Window.partitionBy(F.expr(f"page_id div {SHARD}"), "page_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    of_file = Window.partitionBy(F.expr(f"page_id div {SHARD}")).orderBy("page_id", "part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("page_id", "part", F.sum("rows").over(of_id).alias("n_before"), F.sum("bytes").over(of_file).alias("bytes_before"))
+    joined = placed.join(before, ["page_id", "part"])
+    zero = F.lit(0).cast("bigint")
+    number = F.coalesce("n_before", zero) + F.coalesce("n_here", zero) + F.col("k") + 1
+    start = F.coalesce("bytes_before", zero) + F.coalesce("bytes_here", zero) + F.col("k") * F.col("length")
+    spread = joined.select("*", F.explode(F.sequence(zero, F.col("n") - 1)).alias("k"))
+    return spread.select("page_id", number.alias("copy"), start.alias("start"), "length", "sha256")
+
+
+def _node(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, start, end, hash) over children (keys, at, start, end, hash); a single child stands for itself."""
+    children = F.sort_array(F.collect_list(F.struct("at", "hash")))
+    joined = F.array_join(F.transform(children, lambda c: F.concat_ws("=", c["at"].cast("string"), c["hash"])), ",")
+    value = F.when(F.count(F.lit(1)) == 1, F.first("hash")).otherwise(F.sha2(joined, 256))
+    return rows.groupBy(*keys).agg(F.min("start").alias("start"), F.max("end").alias("end"), value.alias("hash"))
+
+
+def _per_id(leaf_rows: DataFrame) -> DataFrame:
+    """(page_id, start, end, hash): the leaf of an id, or the root of a tree over its copies."""
+    leaf = F.sha2(F.concat_ws("|", "sha256", F.col("start").cast("string"), F.col("length").cast("string")), 256)
+    rows = leaf_rows.select("page_id", F.col("copy").alias("at"), "start", (F.col("start") + F.col("length")).alias("end"), leaf.alias("hash"))
+    copies = leaf_rows.agg(F.max("copy")).first()[0] or 0
+    while copies > 1:
+        group = F.expr(f"cast((at - 1) div {FANOUT} + 1 as bigint)")
+        rows = _node(rows.withColumn("up", group), ["page_id", "up"]).withColumnRenamed("up", "at")
+        copies = (copies - 1) // FANOUT + 1
+    return rows.drop("at")
 
 
 def hash_tree(leaf_rows: DataFrame) -> list[DataFrame]:
-    """Levels of the tree as written tables (node, start, end, hash), leaves' parents first, the root last.
+    """Levels of the tree as written tables (node, start, end, hash), ids' parents first, the root last.
 
     A node of level k covers `FANOUT`^k consecutive ids; division cuts towards zero, so that negative ids end at the
-    same root. No leaves give one empty level.
+    same root. The copies of an id have a tree of their own below it. No leaves give one empty level.
     """
     levels, width = [], 1
-    leaf = F.sha2(F.concat_ws("|", "sha256", F.col("start").cast("string"), F.col("length").cast("string")), 256)
-    below = leaf_rows.select(
-        F.struct("page_id", "copy").alias("at"), F.expr(f"page_id div {FANOUT}").alias("node"),
-        F.col("start"), (F.col("start") + F.col("length")).alias("end"), leaf.alias("hash"),
-    )
+    below = _per_id(leaf_rows).select(F.col("page_id").alias("at"), F.expr(f"page_id div {FANOUT}").alias("node"), "start", "end", "hash")
     while True:
         children = F.sort_array(F.collect_list(F.struct("at", "hash")))
         joined = F.array_join(F.transform(children, lambda c: F.concat_ws("=", c["at"].cast("string"), c["hash"])), ",")
