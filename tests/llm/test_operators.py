@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -11,6 +12,7 @@ import struct
 import textwrap
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -79,25 +81,53 @@ def test_quality_rejects_planted_outliers_only(spark):
     assert kept.columns == [*docs.columns, "_g"] and kept.count() == 200
 
 
-@pytest.mark.parametrize("n", [quality.LEAST_GROUP - 1, quality.LEAST_GROUP])
-def test_quality_of_small_groups_is_judged_by_their_language(spark, n):
-    """One document less than `LEAST_GROUP` borrows the estimate of all documents of the language; from then on it is the group's own."""
+def test_quality_of_small_groups_leans_on_their_language(spark):
+    """An estimate moves smoothly from the language's to the group's own as the group grows; no size is a switch."""
     rng = random.Random(9)
 
     def text(words):
         return " ".join(rng.choice(words) + str(rng.randint(0, 999)) for _ in range(rng.randint(60, 300)))
 
-    small = [(i, text(["internationalisation", "responsibilities"]), "en", "small") for i in range(n)]
-    large = [(1000 + i, text(["house", "tree", "of"]), "en", "large") for i in range(150)]
+    texts = [text(["internationalisation", "responsibilities"]) for _ in range(200)]
+    large = [(1000 + i, text(["house", "tree", "of"]), "en", "large") for i in range(400)]
 
-    def distances(rows):
+    def distances(n):
+        rows = [(i, t, "en", "small") for i, t in enumerate(texts[:n])] + large
         docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-        return [r.distance for r in quality.quality_report(docs).where(f"doc_id < {n}").orderBy("doc_id").collect()]
-
-    got = distances(small + large)
-    pooled, alone = distances([(*r[:3], "one") for r in small + large]), distances(small)
-    near, far = (pooled, alone) if n < quality.LEAST_GROUP else (alone, pooled)
-    assert got == pytest.approx(near, rel=0.01) and got != pytest.approx(far, rel=0.5)
+        return [r.distance for r in quality.quality_report(docs).where("doc_id < 3").orderBy("doc_id").collect()]
+
+    few, less, more, many = (sum(distances(n)) for n in (4, 39, 41, 200))
+    assert few > 2 * less and less == pytest.approx(more, rel=0.15) and many < more
+
+
+def brute_densest(points, share):
+    """The least logarithm of the root of the determinant over all subsets of a share of the points."""
+    size = math.ceil(share * len(points))
+    floors = np.diag(np.square(quality.FLOORS))
+    factor = quality._consistency(share) if share < 1 else 1.0
+    found = []
+    for chosen in itertools.combinations(range(len(points)), size):
+        own = points[list(chosen)]
+        found.append(0.5 * np.linalg.slogdet(np.cov(own.T, bias=True) * factor + floors)[1])  # of the root
+    return min(found)
+
+
+def test_concentration_finds_the_densest_subset(spark):
+    rng = np.random.default_rng(5)
+    groups = {}
+    for g in range(12):
+        points = rng.normal(size=(12, 4)) * (1 + g % 3)
+        points[: g % 4] += rng.choice([-1, 1], 4) * 12  # up to a quarter far off
+        groups[str(g)] = points
+    rows = [(g, *map(float, p)) for g, points in groups.items() for p in points]
+    table = spark.createDataFrame(rows, "g string, x0 double, x1 double, x2 double, x3 double")
+    found = {r.g: r.best for r in quality.concentrated(table).groupBy("g").agg(F.min("logdet").alias("best")).collect()}
+    least = {g: brute_densest(points, quality.DENSEST) for g, points in groups.items()}
+    assert all(found[g] >= least[g] - 1e-6 for g in groups)
+    # With as many far points as are left out, it is the least of all subsets; without, a subset that no step makes denser.
+    assert all(found[g] == pytest.approx(least[g], abs=1e-6) for g in ("3", "7", "11"))
+    everything = {g: brute_densest(points, 1) for g, points in groups.items()}
+    assert all(found[g] < everything[g] + math.log(quality._consistency(quality.DENSEST)) * 2 for g in groups)
 
 
 def test_fixity_equal_replicas_and_empty(spark):

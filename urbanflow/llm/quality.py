@@ -26,11 +26,13 @@ FLOORS = (0.08, 0.06, 0.06, 0.09)
 DIMENSIONS = len(FLOORS)
 # Share of a group that the estimate rests on, share kept when it is reweighted, share of a clean group kept.
 DENSEST, REWEIGHTED, CLEAN = 0.75, 0.975, 0.9999
-# Groups of fewer documents use the estimate of their language, and a language of fewer that of all documents.
-LEAST_GROUP = 40
-STEPS, SETTLED = 8, 1e-4
+# As many documents' worth of its language's estimate goes into that of a group, and of all documents' into a language's.
+BORROWED = 40
+# Concentration ends when a step lowers the logarithms of the determinants by less than this, a group on average.
+SETTLED = 1e-3
 _X = [f"x{i}" for i in range(DIMENSIONS)]
 _PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
+_PARAMETERS = [*[f"m{i}" for i in range(DIMENSIONS)], *[f"l{i}{j}" for i, j in _PAIRS]]
 
 
 def text_statistics(docs: DataFrame, text: str = "text", out: str = "stats") -> DataFrame:
@@ -145,31 +147,56 @@ def _starts(rows: DataFrame) -> DataFrame:
     return _cholesky(both.select("*", *spread), ["g", "start"])
 
 
-def densest_estimates(rows: DataFrame) -> DataFrame:
-    """(g, n, m*, l*) for rows (g, x*): the reweighted minimum-covariance-determinant estimate of every group.
+def concentrated(rows: DataFrame) -> DataFrame:
+    """(g, start, n, m*, l*, logdet) for written rows (g, x*): the densest share of each group, from each start.
 
-    The best of the starts is the one of the smallest determinant. Cut-offs come from mergeable quantile sketches.
+    A step keeps the rows nearest to the last estimate, which never raises the determinant; steps go on until it no
+    longer falls. Cut-offs come from mergeable quantile sketches.
     """
-    rows = materialize(rows)
     estimate, last = materialize(_starts(rows)), None
-    for _ in range(STEPS):
+    while True:
         far = _distance(join_lookup(rows, estimate, ["g"], "inner"), "d")
         cuts = far.groupBy("g", "start").agg(F.percentile_approx("d", DENSEST, 10000).alias("cut"))
         near = join_lookup(far, cuts, ["g", "start"], "inner").where("d <= cut")
         better = materialize(_moments(near, ["g", "start"], _consistency(DENSEST)))
-        level = better.agg(F.sum("logdet")).first()[0]
+        level, groups = better.agg(F.sum("logdet"), F.count(F.lit(1))).first()
         drop_table(estimate)
         estimate = better
-        if level is None or (last is not None and abs(level - last) < SETTLED):
-            break
+        if level is None or (last is not None and level > last - SETTLED * groups):
+            return estimate
         last = level
+
+
+def densest_estimates(rows: DataFrame) -> DataFrame:
+    """(g, n, m*, l*) for rows (g, x*): the reweighted minimum-covariance-determinant estimate of every group.
+
+    The best of the starts is the one of the smallest determinant; `n` counts the group.
+    """
+    rows = materialize(rows)
+    estimate = concentrated(rows)
     best = estimate.groupBy("g").agg(F.min(F.struct("logdet", "start")).alias("b")).select("g", F.col("b.start").alias("start"))
     chosen = estimate.join(best, ["g", "start"]).drop("start", "logdet", "n")
     near = _distance(join_lookup(rows, chosen, ["g"], "inner"), "d").where(F.col("d") <= chi2_quantile(REWEIGHTED, DIMENSIONS))
-    final = materialize(_moments(near.drop(*[c for c in chosen.columns if c != "g"]), ["g"], _consistency(REWEIGHTED)))
+    final = _moments(near.drop(*[c for c in chosen.columns if c != "g"]), ["g"], _consistency(REWEIGHTED))
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    out = materialize(final.drop("logdet", "n").join(sizes, "g"))
     drop_table(estimate)
     drop_table(rows)
-    return final.drop("logdet", "n")
+    return out
+
+
+def shrunk(estimates: DataFrame, parents: DataFrame) -> DataFrame:
+    """(g, n, m*, l*) of (g, parent, n, m*, l*) drawn towards their parents' (g, m*, l*), smoothly by their sizes."""
+    own = F.col("n") / (F.col("n") + F.lit(float(BORROWED)))
+    named = parents.select(F.col("g").alias("parent"), *[F.col(c).alias(f"p{c}") for c in _PARAMETERS])
+
+    def scatter(i: int, j: int, p: str = "") -> Column:
+        return sum((F.col(f"{p}l{i}{k}") * F.col(f"{p}l{j}{k}") for k in range(1, j + 1)), F.col(f"{p}l{i}0") * F.col(f"{p}l{j}0"))
+
+    means = [(own * F.col(f"m{i}") + (1 - own) * F.col(f"pm{i}")).alias(f"m{i}") for i in range(DIMENSIONS)]
+    # The floors are in both scatters and are added again.
+    mixed = [(own * scatter(i, j) + (1 - own) * scatter(i, j, "p") - (FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in _PAIRS]
+    return _cholesky(estimates.join(named, "parent").select("g", "n", *means, *mixed), ["g"]).drop("logdet")
 
 
 def _group(*names: str) -> Column:
@@ -181,23 +208,19 @@ def quality_verdicts(counted: DataFrame, stats: str = "stats", lang: str = "lang
     """Add `_failed`, `_distance` (NULL for failed rows) and `_kept` to a written table that has the counts.
 
     Rows that fail the base rules neither shape the estimates nor get a distance. Every group has an estimate, since
-    the floors make any scatter invertible; small groups borrow one (`LEAST_GROUP`). No group yields no rows to judge.
+    the floors make any scatter invertible; it is drawn towards that of its language, and a language's towards that of
+    all documents, the more the smaller it is (`BORROWED`). No group yields no rows to judge.
     """
     failed = F.coalesce(base_failed(F.col(stats)), F.lit(True))
     x = [c.alias(n) for c, n in zip(transformed(F.col(stats)), _X)]
     keys = F.array(_group(lang, source), _group(lang), _group())
     passing = counted.where(~failed)
-    sizes = passing.groupBy(keys.alias("keys")).agg(F.count(F.lit(1)).alias("n"))
-    totals = materialize(sizes.select("n", F.explode("keys").alias("g")).groupBy("g").agg(F.sum("n").alias("n")))
-    # A group is listed when it is large enough or the last resort; rows take the first of their keys that is.
-    listed = totals.where((F.col("n") >= LEAST_GROUP) | (F.col("g") == "0")).select("g")
-    member = passing.select(F.explode(keys).alias("g"), *x)
-    estimates = materialize(densest_estimates(join_lookup(member, listed, ["g"], "left_semi")))
-    choice = materialize(
-        sizes.select("keys", F.posexplode("keys").alias("at", "g")).join(listed, "g").groupBy("keys")
-        .agg(F.min(F.struct("at", "g")).alias("b")).select(F.col("keys")[0].alias("_g"), F.col("b.g").alias("g"))
-    )
-    parameters = choice.join(estimates, "g").drop("g")
+    families = materialize(passing.select(_group(lang, source).alias("g"), _group(lang).alias("parent")).distinct())
+    estimates = densest_estimates(passing.select(F.explode(keys).alias("g"), *x))
+    languages = estimates.join(families.select(F.col("parent").alias("g")).distinct(), "g").withColumn("parent", F.lit("0"))
+    languages = materialize(shrunk(languages, estimates.where("g = '0'")))
+    groups = materialize(shrunk(estimates.join(families, "g"), languages))
+    parameters = groups.drop("n").withColumnRenamed("g", "_g")
     judged = counted.select("*", F.when(~failed, _group(lang, source)).alias("_g"), failed.alias("_failed"), *x)
     judged = _distance(join_lookup(judged, parameters, ["_g"]), "_distance")
     kept = ~F.col("_failed") & F.coalesce(F.col("_distance") <= chi2_quantile(CLEAN, DIMENSIONS), F.lit(True))
