@@ -8,6 +8,7 @@ import itertools
 import math
 import random
 import re
+import string
 import struct
 import textwrap
 import zlib
@@ -411,6 +412,46 @@ def test_personal_masks_and_adds_keys(spark):
     assert all("<phone>" in masked[i] and '"<key>"' in masked[i] and "12345678" in masked[i] for i in range(60))
 
 
+def planted(rng):
+    """(text, personal spans): as many ordinary numbers and names stand in it as personal ones."""
+
+    def some(of, k):
+        return "".join(rng.choices(of, k=k))
+
+    digits, signs = string.digits, string.ascii_letters + string.digits
+    personal_ones = [
+        ("call ", f"({some(digits, 3)}) {some(digits, 3)}-{some(digits, 4)}", " today"), ("my ssn ", f"{some(digits, 3)}-{some(digits, 2)}-{some(digits, 4)}", "."),
+        ('token = "', hashlib.sha1(some(signs, 9).encode()).hexdigest(), '"'), ("key: ", "AKIA" + some(string.ascii_uppercase + digits, 15) + "7", " end"),
+        ('password "', "ghp_" + some(signs, 34) + "a1", '"'), ("phone ", f"{some(digits, 3)}-{some(digits, 3)}-{some(digits, 4)}", ","),
+    ]
+    others = [
+        ("page ", "0" + some(digits, 6), ""), ("on line ", some(digits, 7), ""), ("version ", "0" + some(digits, 7), " of"),
+        ("about $", some(digits, 7), " or"), ("the name ", "variable_name_of_part" + some(digits, 1), " there"), ("figure ", some(digits, 7), "."),
+    ]
+    text, spans = "Some prose goes before. ", []
+    for _ in range(4):
+        own = rng.random() < 0.5
+        before, middle, after = rng.choice(personal_ones if own else others)
+        text += before
+        spans += [(len(text), len(text) + len(middle))] if own else []
+        text += middle + after + " and more words follow. "
+    return text, spans
+
+
+def test_added_spans_have_precision_and_recall(spark):
+    rng = random.Random(12)
+    rows = [planted(rng) for _ in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x] for r in personal.personal_report(docs).collect()}
+
+    def met(span, spans):
+        return any(span[0] < b and a < span[1] for a, b in spans)
+
+    wanted = [met(s, got[i]) for i, (_, spans) in enumerate(rows) for s in spans]
+    said = [met(s, rows[i][1]) for i, spans in got.items() for s in spans]
+    assert sum(wanted) >= 0.9 * len(wanted) and sum(said) >= 0.9 * len(said) and len(wanted) > 700
+
+
 def test_votes_find_the_reliable_labelers():
     counts = {(1, 1, 1, 0, 0): 50, (-1, -1, -1, 0, 0): 50, (1, 1, -1, 0, 0): 5, (-1, -1, 1, 0, 0): 5}
     posterior, rates = personal.aggregate_votes(counts)

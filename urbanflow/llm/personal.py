@@ -46,6 +46,8 @@ NEAR_PERSONAL = r"(?i)\b(?:tel|phone|call|mobile|fax|card|account|iban|ssn|passp
 NEAR_ORDINARY = r"(?i)\b(?:page|vol|version|isbn|issn|doi|figure|table|line|year|commit|sha|md5|hash|http|https)\b[^\n]{0,12}$"
 KNOWN_NUMBER = r"^(?:4|5[1-5]|34|37|6011|65|1 |44|49|33|34)"
 KNOWN_KEY = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|sk_|pk_|xox|glpat|AIza|eyJ)"
+# Names made of words: letters, perhaps joined by underscores, and a short number at the end.
+NAMED = r"^[A-Za-z]+(?:_[A-Za-z]+)*_?[0-9]{1,4}$"
 SHAPED_NUMBER = r"^(?:\(?[0-9]{3}\)?[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4})$"
 SHAPED_KEY = r"^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}|[A-Z]{4}[A-Z0-9]{16}|[a-z]{2,4}_[A-Za-z0-9]{16,})$"
 LABELERS = ("shape", "known", "near", "beside", "content")
@@ -126,7 +128,7 @@ def _judged(kind: str, text: str, span: Column) -> Column:
     variety = F.size(F.array_distinct(F.split(match, "")))
     votes = [
         _vote(match.rlike(SHAPED_NUMBER if number else SHAPED_KEY), n < 8 if number else F.lower(match) == F.upper(match)),
-        _vote(match.rlike(KNOWN_NUMBER if number else KNOWN_KEY), match.rlike("^0" if number else "^[a-z]+[0-9]{1,3}$")),
+        _vote(match.rlike(KNOWN_NUMBER if number else KNOWN_KEY), match.rlike("^0" if number else NAMED)),
         _vote(before.rlike(NEAR_PERSONAL), before.rlike(NEAR_ORDINARY)),
         _vote(last.isin('"', "'", "(", "+"), last.isin("$", "#", "%", "/") | after.isin("%", "/")),
         _vote((n.between(13, 19) & luhn(digits)) if number else (variety >= 10), (variety <= 2) if number else (variety <= 6)),
