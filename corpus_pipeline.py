@@ -1,4 +1,10 @@
-"""From raw documents to tokens: five stages over the table `documents`, each written as Parquet before the next."""
+"""From raw documents to tokens: five stages over the table `documents`, each written as Parquet before the next.
+
+Every stage takes an empty table, and columns of any name besides those of documents. A text that is NULL or empty fails
+the base rules and goes in the first stage; by itself, each later stage keeps it: it has no shingles, no words of a
+benchmark, no spans and no tokens. Rows that share an id are one document to near-duplicate search and rows of their own
+elsewhere; of equal documents with different ids, the smallest id stays.
+"""
 
 from __future__ import annotations
 

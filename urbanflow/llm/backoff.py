@@ -184,8 +184,8 @@ def held_out(doc_id: str = "doc_id"):
 def scores(docs: DataFrame, order: int = ORDER, prior: float = PRIOR) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of `docs` (doc_id, text).
 
-    NULL counts as empty, of which the end token is scored. Repeated rows train and are scored once each. Words and
-    n-grams are told apart by 64-bit hashes.
+    NULL counts as empty, of which the end token is scored. Repeated rows train and are scored once each. An empty table
+    gives no rows. Words and n-grams are told apart by 64-bit hashes.
     """
     if order < 2:
         raise ValueError("a backoff model has at least two words")

@@ -168,7 +168,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", keep:
 
 
 def token_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of `docs` (doc_id, text)."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of `docs` (doc_id, text).
+
+    NULL and empty texts have no tokens and the hash of nothing; repeated rows stay; an empty table gives no rows.
+    """
     coded = encoded(docs.select("doc_id", "text"), path, pattern, keep=["doc_id"])
     n = (F.octet_length("_ids") / 4).cast("bigint")
     return coded.select("doc_id", n.alias("n_tokens"), F.sha2("_ids", 256).alias("ids_sha256"), F.sha2("_decoded", 256).alias("decoded_sha256"))

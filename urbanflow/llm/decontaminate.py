@@ -203,7 +203,11 @@ def _scan(items, text: str, window: int):
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of `docs` (doc_id, text)."""
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of `docs` (doc_id, text).
+
+    NULL and empty texts have no words; repeated rows stay; items that share a window both count; an empty table gives no
+    rows, and an empty benchmark hits nothing.
+    """
     found = find_items(docs.select("doc_id", "text"), benchmark)
     start = F.struct(F.lit(0).alias("e"), F.lit(0).cast("bigint").alias("n"))
     covered = F.aggregate(F.sort_array("_spans"), start, lambda a, s: F.struct(

@@ -122,7 +122,7 @@ def license_lines(docs: DataFrame, templates: dict[str, str] | None = None, thre
     Of overlapping windows one is named: that with most shared bigrams after those of window and template that are not
     shared are taken off, so that a notice is not named after a shorter one inside it; then the greatest coefficient, the
     alphabetically first license, the shortest and the earliest. `line` is the one in which the window begins, counted
-    from 0. NULL, empty and clean texts give no rows; repeated rows give repeated rows.
+    from 0. NULL, empty and clean texts, and an empty table, give no rows; repeated rows give repeated rows.
     """
     templates = TEMPLATES if templates is None else templates
     forms = {name: grams for name, text in sorted(templates.items()) if (grams := bigrams_of(text))}

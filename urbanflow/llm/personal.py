@@ -249,7 +249,7 @@ def _listed(spans: Column) -> Column:
 def personal_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of every row of `docs` (doc_id, text).
 
-    NULL and empty texts have no spans and the hash of the empty string; repeated rows stay.
+    NULL and empty texts have no spans and the hash of the empty string; repeated rows stay; an empty table gives no rows.
     """
     found = materialize(candidate_spans(docs.select("doc_id", "text")).drop("text"))
     detected = detected_spans(found, fit_weak_labels(found))

@@ -341,7 +341,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of `docs`."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of `docs`; an empty table gives no rows."""
     runs = repeated_runs(docs, length)
     gaps = F.transform(
         F.arrays_zip(F.concat(F.array(F.lit(0).cast("bigint")), "ends").alias("a"), F.concat("starts", F.array(F.octet_length("bytes").cast("bigint"))).alias("b")),

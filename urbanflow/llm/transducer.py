@@ -212,7 +212,10 @@ def counted(docs: DataFrame, path: str, text: str = "text", keep: list[str] | No
 
 
 def count_report(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, over_limit) of every row of `docs` (doc_id, text)."""
+    """(doc_id, n_bytes, n_tokens, over_limit) of every row of `docs` (doc_id, text).
+
+    NULL counts as empty and has no tokens; repeated rows are counted each; an empty table gives no rows.
+    """
     rows = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
     n = F.col("_n_tokens")
     return counted(rows, path, keep=["doc_id", "n_bytes"]).select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
