@@ -103,8 +103,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Facts and days are both dealt by date, so their join reads bucket by bucket."""
     lines = T.table(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("d")).agg(F.count(F.lit(1)).alias("lines"), F.max("l_quantity").alias("most"))
-    facts = write_bucketed(T.facts(spark, sf).select("d", "area"), "urbanflow_facts_by_day", ["d"], 8)
-    days = write_bucketed(lines, "urbanflow_days", ["d"], 8)
+    facts = write_bucketed(T.facts(spark, sf).select("d", "area"), "urbanflow_facts_by_day", ["d"], 8, path=scratch_path(spark))
+    days = write_bucketed(lines, "urbanflow_days", ["d"], 8, path=scratch_path(spark))
     joined = facts.join(days.hint("merge"), "d")
     return joined.groupBy("area").agg(F.count(F.lit(1)).alias("rows"), F.sum("lines").alias("lines"), F.max("most").alias("most"))
 
