@@ -28,7 +28,7 @@ DIMENSIONS = len(FLOORS)
 DENSEST, REWEIGHTED, CLEAN = 0.75, 0.975, 0.9999
 # As many documents' worth of its language's estimate goes into that of a group, and of all documents' into a language's.
 BORROWED = 40
-# Concentration ends when a step lowers the logarithms of the determinants by less than this, a group on average.
+# Concentration ends when no step lowers the logarithm of a group's determinant by as much as this.
 SETTLED = 1e-3
 _X = [f"x{i}" for i in range(DIMENSIONS)]
 _PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
@@ -150,19 +150,22 @@ def _starts(rows: DataFrame) -> DataFrame:
 def concentrated(rows: DataFrame) -> DataFrame:
     """(g, start, n, m*, l*, logdet) for written rows (g, x*): the densest share of each group, from each start.
 
-    A step keeps the rows nearest to the last estimate, which never raises the determinant; steps go on until it no
-    longer falls. Cut-offs come from mergeable quantile sketches.
+    A step keeps the rows nearest to the last estimate, which never raises the determinant; steps go on until no
+    group's falls any more. Cut-offs come from mergeable quantile sketches.
     """
-    estimate, last = materialize(_starts(rows)), None
+    estimate = materialize(_starts(rows))
+    last = None
     while True:
         far = _distance(join_lookup(rows, estimate, ["g"], "inner"), "d")
         cuts = far.groupBy("g", "start").agg(F.percentile_approx("d", DENSEST, 10000).alias("cut"))
         near = join_lookup(far, cuts, ["g", "start"], "inner").where("d <= cut")
         better = materialize(_moments(near, ["g", "start"], _consistency(DENSEST)))
-        level, groups = better.agg(F.sum("logdet"), F.count(F.lit(1))).first()
+        old = estimate.select("g", "start", F.col("logdet").alias("before"))
+        fall, level = better.join(old, ["g", "start"]).agg(F.max(F.col("before") - F.col("logdet")), F.sum("logdet")).first()
         drop_table(estimate)
         estimate = better
-        if level is None or (last is not None and level > last - SETTLED * groups):
+        # The first step leaves the starts, which are no subsets; from then on determinants fall, but for the sketches.
+        if level is None or (last is not None and (fall < SETTLED or level >= last)):
             return estimate
         last = level
 
