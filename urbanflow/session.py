@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+import warnings
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not named and not context.master.startswith("local") and (warehouse.startswith("file:") or ":" not in warehouse):
+        warnings.warn(f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} may be local to each", stacklevel=2)
+    context.setCheckpointDir(named or f"{warehouse}/checkpoints")
 
 
 def _row_bytes(schema: T.StructType) -> Column | None:
