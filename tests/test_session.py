@@ -69,6 +69,12 @@ def test_checkpoint_folder_is_the_named_one_or_below_the_warehouse(spark):
         session.ensure_checkpoint_dir(session_)
         assert session_.sparkContext.folder == folder
 
+    apart = Session()
+    apart.sparkContext.master = "spark://host:7077"
+    apart.conf = type("Conf", (), {"get": lambda self, key, default=None: {"spark.sql.warehouse.dir": "file:/w"}.get(key, default)})()
+    with pytest.warns(UserWarning, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(apart)
+
 
 def test_tables_are_removed(spark):
     table = materialize(spark.range(3).toDF("a"))

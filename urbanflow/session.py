@@ -41,7 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    if not named and not context.master.startswith("local") and (warehouse.startswith("file:") or ":" not in warehouse):
+    own_disk = warehouse.startswith("file:") or ":" not in warehouse
+    if not named and own_disk and not context.master.startswith("local"):
         warnings.warn(f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} may be local to each", stacklevel=2)
     context.setCheckpointDir(named or f"{warehouse}/checkpoints")
 
