@@ -169,3 +169,57 @@ def test_no_rows_and_one_value(spark, table):
     for growth in GROWTHS:
         assert {r[0] for r in M.fit(growth, flat).transform(table.limit(5)).select(F.round("prediction", 9)).collect()} == {7.0}
     assert M.fit(GROWTHS[0], table.limit(1)).transform(table).count() == table.count()
+
+
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """600 rows of 24 feature vectors, of which one has 200 rows."""
+    rng = np.random.default_rng(11)
+    n = 600
+    x = np.column_stack([rng.integers(0, 4, n), rng.integers(0, 3, n) / 7, rng.integers(0, 2, n)]).astype(float)
+    x[:200] = x[0]
+    y = 10 * x[:, 0] + 90 * x[:, 1] * x[:, 2] + rng.normal(size=n) * 5
+    frame = pd.DataFrame({"k": range(n), "split": rng.choice(["train", "val", "test"], n, p=[0.6, 0.2, 0.2]), "x": x.tolist(), "label": y})
+    return materialize(spark.createDataFrame(frame).repartition(5).select("k", "split", array_to_vector("x").alias("features"), "label"))
+
+
+@pytest.mark.parametrize("growth", GROWTHS, ids=["tree", "forest", "boosted"])
+def test_rows_of_equal_features_grow_as_groups(repeated, monkeypatch, growth):
+    """A table of more rows than a task may hold needs no levels if its vectors are few, and gives the same trees."""
+    monkeypatch.setattr(G, "CELLS_IN_TASK", 3 * 60)
+    monkeypatch.setattr(G, "ROWS_IN_DEAL", 50)
+    train = repeated.where("split = 'train'")
+
+    def levels(*args):
+        raise AssertionError("grown by levels")
+
+    with monkeypatch.context() as m:
+        m.setattr(G, "grow_by_levels", levels)
+        model = M.fit(growth, train)
+        got = model.transform(repeated).orderBy("k").toPandas()["prediction"]
+        trials = {0: {"p": growth}, 4: {"p": GROWTHS[1]}}
+        errors = M.errors_of_models(repeated, trials, ["train", "val"], {"rmse": ["p"]})
+    monkeypatch.setattr(G, "small_enough", lambda table, features: False)
+    apart = M.fit(growth, train)
+    np.testing.assert_allclose(got, apart.transform(repeated).orderBy("k").toPandas()["prediction"], rtol=1e-9)
+    for trial, said in M.errors_of_models(repeated, trials, ["train", "val"], {"rmse": ["p"]}).items():
+        assert errors[trial] == pytest.approx(said)
+    roots = [{r["tree"]: r["rows"] for r in m.nodes().where("node = 0").collect()} for m in (model, apart)]
+    assert roots[0] == roots[1]
+
+
+def test_quantiles_of_groups_count_their_rows():
+    rng = np.random.default_rng(5)
+    x, count = rng.normal(size=(300, 2)), rng.integers(1, 9, 300).astype(float)
+    groups, rows = G.values_in_task(x, 32, count), G.values_in_task(np.repeat(x, count.astype(int), axis=0), 32)
+    np.testing.assert_array_equal(groups.flat, rows.flat)
+    want = np.unique(np.quantile(np.repeat(x[:, 0], count.astype(int)), np.arange(1, 33) / 32, method="higher"))
+    np.testing.assert_array_equal(rows.flat[: rows.size[0]], want)
+
+
+def test_vectors_are_scored_once(repeated, monkeypatch):
+    model = M.fit(GROWTHS[0], repeated)
+    scored = []
+    plain = G.Trees._scored
+    monkeypatch.setattr(G.Trees, "_scored", lambda self, rows: scored.append(rows.count()) or plain(self, rows))
+    assert model.transform(repeated).count() == 600 and scored == [repeated.select("features").toPandas()["features"].map(str).nunique()]

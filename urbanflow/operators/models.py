@@ -103,22 +103,20 @@ def errors_of_models(
 ) -> dict[int, dict[str, float]]:
     """{trial: {split_output: error}}: every trial's members are grown on the first split and scored on all of `splits`.
 
-    `outputs` maps an error to the members whose mean it judges. A table that fits a task is scored for all trials in
-    one job; a larger one is fitted trial by trial, `parallelism` of them at a time, each fit spread over the cluster.
+    `outputs` maps an error to the members whose mean it judges. A table whose different feature vectors fit a task is
+    scored for all trials in one job; another is fitted trial by trial, `parallelism` at a time, each fit spread over the cluster.
     """
     ensure_checkpoint_dir(table.sparkSession)
     rows = table.where(F.col("split").isin(splits))
     first = rows.select("features").first()
     if first is None or not trials:
         return {trial: {} for trial in trials}
-    blocks = G.packed_rows(rows, splits)
-    small = G.small_enough(blocks, first["features"].size)
-    found: dict[int, dict[str, float]] = {trial: {} for trial in trials}
-    if small:
-        for r in G.errors_in_tasks(blocks, trials, splits, outputs).collect():
+    if G.small_enough(rows, first["features"].size):
+        groups = G.Groups.of(rows, splits)
+        found: dict[int, dict[str, float]] = {trial: {} for trial in trials}
+        for r in G.errors_in_tasks(groups, trials, splits, outputs).collect():
             found[r["trial"]][f"{r['part']}_{r['output']}"] = (r["squares"] / r["rows"]) ** 0.5
-    drop_table(blocks)
-    if small:
+        drop_table(groups.table)
         return found
 
     def run(trial: int) -> dict[str, float]:

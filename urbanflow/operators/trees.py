@@ -1,11 +1,12 @@
 """Regression trees, forests and boosting whose every knob is exact, grown as Spark jobs.
 
 A node is split by histograms: per feature and value the rows, weights and weighted labels of the node. They add up, so
-rows may lie anywhere. Nodes of many rows are split level by level, one job each: tasks send histograms, their sums
-choose the splits, and only splits reach the driver. Nodes of at most `CELLS_IN_TASK` cells are finished by one task
-each, which receives just their rows; a table within that size is grown whole, chunks of trees side by side, in one job
-over all models of a search. Both ways share the functions below and draw by hashes of rows and nodes, so they give the
-same trees.
+rows may lie anywhere, and rows of equal features count as one group with sums. A table of few enough different feature
+vectors is grown from its groups, whatever its rows: a job draws the rows of every tree and sends sums per group, and
+tasks grow trees side by side, over all models of a search, from those. In a table of more vectors, nodes of many rows
+are split level by level, one job each: tasks send histograms, their sums choose the splits, and only splits reach the
+driver; nodes of at most `CELLS_IN_TASK` cells are finished by one task each, which receives just their rows. Both ways
+share the functions below and draw by hashes of rows and nodes, so they give the same trees.
 
 A node is split if it has `least_split` rows, both children keep `least_leaf`, and its labels differ. Of the columns,
 `columns` are drawn per node; if none of them splits it, more are drawn until one does. `tree_columns` restricts a whole
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -24,11 +26,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanflow.operators.positions import row_numbers
 from urbanflow.session import drop_table, materialize
 
-# Numbers (rows times features) that one task may hold, trees that one task grows, and values of a feature told apart;
-# a feature of more values is cut at its quantiles.
+# Numbers (rows or groups times features) that one task may hold, trees that are grown by levels at a time, and values of
+# a feature told apart; a feature of more values is cut at its quantiles.
 CELLS_IN_TASK, TREES_IN_TASK, MAX_BINS = 1 << 23, 25, 1024
+# Trees of each forest that a task grows from groups, and rows whose draws are summed by one task.
+TREES_OF_GROUPS, ROWS_IN_DEAL = 10, 1 << 16
 # Cells that are counted at once; only memory and speed depend on it.
 AT_ONCE = 1 << 20
 # Bytes of trees that are broadcast at once to score rows.
@@ -123,12 +128,18 @@ class Values:
         return out
 
 
-def values_in_task(x: np.ndarray, max_bins: int) -> Values:
+def values_in_task(x: np.ndarray, max_bins: int, count: np.ndarray | None = None) -> Values:
+    """The values of rows, or of groups of `count` rows each."""
     parts, exact = [], []
     for f in range(x.shape[1]):
         own = np.unique(x[:, f])
         exact.append(len(own) <= max_bins)
-        parts.append(own if exact[-1] else np.unique(np.quantile(x[:, f], np.arange(1, max_bins + 1) / max_bins, method="higher")))
+        if not exact[-1]:
+            order = np.argsort(x[:, f], kind="stable")
+            upto = np.cumsum(np.ones(len(x)) if count is None else count[order])
+            ranks = np.ceil((upto[-1] - 1) * (np.arange(1, max_bins + 1) / max_bins))
+            own = np.unique(x[order, f][np.searchsorted(upto, ranks, "right")])
+        parts.append(own)
     return Values.of(parts, exact)
 
 
@@ -239,21 +250,27 @@ class Grown:
         return tuple(np.concatenate(x) for x in (self.feature, self.threshold, self.left, self.value, self.rows))
 
 
-def node_totals(at: np.ndarray, w: np.ndarray, wy: np.ndarray, wyy: np.ndarray, nodes: int) -> Totals:
-    return Totals(*(np.bincount(at, x, nodes) for x in (None, w, wy, wyy)))
+def node_totals(at: np.ndarray, n: np.ndarray, w: np.ndarray, wy: np.ndarray, wyy: np.ndarray, nodes: int) -> Totals:
+    return Totals(*(np.bincount(at, x, nodes) for x in (n, w, wy, wyy)))
 
 
 def grow(bins: np.ndarray, values: Values, y: np.ndarray, w: np.ndarray, growth: Growth, tree: int, uid: np.uint64, depth: int = 0) -> tuple[np.ndarray, ...]:
     """A tree, or the part below the node `uid`, from all rows of weight above 0; arrays as of `Grown`."""
-    rows = np.flatnonzero(w > 0)
-    bins, w, wy = bins[rows], w[rows], (w * y)[rows]
-    wyy = wy * y[rows]
+    return grow_groups(bins, values, (w > 0).astype(float), w, w * y, w * y * y, growth, tree, uid, depth)
+
+
+def grow_groups(
+    bins: np.ndarray, values: Values, n: np.ndarray, w: np.ndarray, wy: np.ndarray, wyy: np.ndarray, growth: Growth, tree: int, uid: np.uint64, depth: int = 0
+) -> tuple[np.ndarray, ...]:
+    """The same from groups of rows of equal features: per group its rows, and their weights, weighted labels and squares added up."""
+    rows = np.flatnonzero(n > 0)
+    bins, n, w, wy, wyy = bins[rows], n[rows], w[rows], wy[rows], wyy[rows]
     allowed = tree_features(growth, tree, bins.shape[1])
     tried = columns_per_node(growth, len(allowed))
-    weighted = bool((w != 1).any())
+    single, weighted = bool((n == 1).all()), bool((w != n).any())
     at, uids, out, numbered = np.zeros(len(rows), np.int64), np.array([uid], np.uint64), Grown(), 1
     while len(uids):
-        totals = node_totals(at, w, wy, wyy, len(uids))
+        totals = node_totals(at, n, w, wy, wyy, len(uids))
         best, can = Splits.none(len(uids)), totals.splittable(growth, depth)
         if can.any():
             order, slot = drawn_order(uids, allowed), 0
@@ -270,7 +287,8 @@ def grow(bins: np.ndarray, values: Values, y: np.ndarray, w: np.ndarray, growth:
                 start = (np.cumsum(size) - size.ravel()).reshape(size.shape)
                 cell = (start[mine] + bins[here[:, None], feature[mine]]).ravel()
                 cells = int(size.sum())
-                count, total = np.bincount(cell, None, cells), np.bincount(cell, np.repeat(wy[here], tries), cells)
+                count = np.bincount(cell, None if single else np.repeat(n[here], tries), cells)
+                total = np.bincount(cell, np.repeat(wy[here], tries), cells)
                 weight = np.bincount(cell, np.repeat(w[here], tries), cells) if weighted else count
                 take_best(best, nodes, feature, (count, weight, total), totals, values, growth)
                 slot += tries
@@ -279,7 +297,7 @@ def grow(bins: np.ndarray, values: Values, y: np.ndarray, w: np.ndarray, growth:
         rank = np.full(len(uids), -1)
         rank[split] = np.arange(len(split))
         stay = rank[at] >= 0
-        at, bins, w, wy, wyy = at[stay], bins[stay], w[stay], wy[stay], wyy[stay]
+        at, bins, n, w, wy, wyy = at[stay], bins[stay], n[stay], w[stay], wy[stay], wyy[stay]
         right = bins[np.arange(len(at)), best.feature[at]] > best.last[at]
         at = 2 * rank[at] + right
         uids, depth = child_uids(uids[split]), depth + 1
@@ -310,35 +328,24 @@ def unpacked_tree(row: dict) -> tuple[np.ndarray, ...]:
     return tuple(np.frombuffer(row[k], t) for k, t in kinds.items())
 
 
-def _grown_trees(x: np.ndarray, y: np.ndarray, ids: np.ndarray, train: np.ndarray, growth: Growth, first: int, count: int) -> Iterator[tuple[int, tuple]]:
-    """Trees of a chunk, grown on the rows `train`; boosted ones in turn, each on what the ones before it leave."""
-    own, label, id_ = x[train], y[train], ids[train]
-    values = values_in_task(own, growth.max_bins)
-    bins = values.bins(own)
-    base = label.mean() if len(label) else 0.0
-    left = label - base
-    for tree in range(first, first + count):
-        w = row_weights(growth, tree, id_)
-        arrays = grow(bins, values, left, w, growth, tree, root_uid(growth, tree))
-        if growth.rate is not None:
-            arrays = (*arrays[:3], arrays[3] * growth.rate, arrays[4])
-            left = left - tree_values(arrays, own)
-        yield tree, arrays
-
-
 # Tables: rows are packed into blocks, each the numbers of one Arrow batch.
 _BLOCK = "rows long, x binary, y binary, id binary, part binary"
 
 
-def packed_rows(table: DataFrame, parts: list[str] | None = None) -> DataFrame:
-    """Blocks of an assembled table (features, label, and split if `parts` names its values), written.
+def _told_apart(table: DataFrame, parts: list[str] | None) -> DataFrame:
+    """(x, label, id, part) of an assembled table (features, label, and split if `parts` names its values).
 
     Rows are told apart by the hash of all they hold, so a draw does not depend on where a row lies.
     """
     others = [c for c in table.columns if c != "features"]
     x = vector_to_array("features")
     part = F.lit(0) if parts is None else F.coalesce(*[F.when(F.col("split") == p, F.lit(i)) for i, p in enumerate(parts)], F.lit(len(parts)))
-    rows = table.select(x.alias("x"), "label", F.xxhash64(x, *[F.col(f"`{c}`") for c in others]).alias("id"), part.alias("part"))
+    return table.select(x.alias("x"), "label", F.xxhash64(x, *[F.col(f"`{c}`") for c in others]).alias("id"), part.alias("part"))
+
+
+def packed_rows(table: DataFrame) -> DataFrame:
+    """Blocks of an assembled table, written."""
+    rows = _told_apart(table, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,81 +357,241 @@ def packed_rows(table: DataFrame, parts: list[str] | None = None) -> DataFrame:
     return materialize(rows.mapInArrow(run, _BLOCK))
 
 
-def unpacked_rows(blocks: pa.Table) -> tuple[np.ndarray, ...]:
-    """(x, y, ids, parts) of all rows in the order of their ids."""
-    joined = {k: b"".join(v.as_py() for v in blocks[k]) for k in ("x", "y", "id", "part")}
-    y, ids, parts = np.frombuffer(joined["y"], np.float64), np.frombuffer(joined["id"], np.uint64), np.frombuffer(joined["part"], np.int8)
-    x = np.frombuffer(joined["x"], np.float64).reshape(len(y), -1) if len(y) else np.empty((0, 0))
-    order = np.lexsort((parts, y, ids))
-    return x[order], y[order], ids[order], parts[order]
+def small_enough(table: DataFrame, features: int) -> bool:
+    """Whether a task may hold the different feature vectors of an assembled table."""
+    vectors = table.agg(F.approx_count_distinct(F.xxhash64(vector_to_array("features")), 0.02)).first()[0]
+    return vectors * features <= CELLS_IN_TASK
 
 
-def small_enough(blocks: DataFrame, features: int) -> bool:
-    return (blocks.agg(F.sum("rows")).first()[0] or 0) * features <= CELLS_IN_TASK
+@dataclass
+class Groups:
+    """The rows of equal features of a table.
 
+    `table` has (g, x, told): the group's number, its features, and per part its rows, their mean label and the squares
+    around it. `rows` are those of part 0 with their distance from the group's mean label, `base` is their mean label.
+    """
 
-def _chunks(models: dict[str, Growth]) -> list[tuple[str, int, int]]:
-    """(model, first tree, trees) of every task; a boosted model is one."""
-    out = []
+    table: DataFrame
+    rows: DataFrame
+    count: int
+    learned: int
+    base: float
+
+    @staticmethod
+    def of(table: DataFrame, parts: list[str] | None = None) -> Groups:
+        rows = _told_apart(table, parts).withColumn("label", F.coalesce("label", F.lit(float("nan"))))
+        told = []
+        for i in range(len(parts or [0])):
+            own = F.when(F.col("part") == i, F.col("label"))
+            told += [F.count(own).cast("double"), F.coalesce(F.avg(own), F.lit(0.0)), F.coalesce(F.var_pop(own) * F.count(own), F.lit(0.0))]
+        found = materialize(rows.groupBy("x").agg(F.array(*told).alias("told")))
+        # Numbers follow hashes, so that a range of them has its share of the rows.
+        groups = materialize(row_numbers(found, [F.xxhash64("x"), F.col("x")], "g"))
+        drop_table(found)
+        n, mean = F.col("told")[0], F.col("told")[1]
+        count, learned, total = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum(n), F.lit(0.0)), F.coalesce(F.sum(n * mean), F.lit(0.0))).first()
+        known = F.broadcast(groups.select("x", "g", n.alias("n"), mean.alias("mean")))
+        near = rows.where("part = 0").join(known, "x").select("g", "n", "id", (F.col("label") - F.col("mean")).alias("gap"))
+        return Groups(groups, near, count, int(learned), total / learned if learned else 0.0)
+
+
+def _draw_of(growth: Growth) -> tuple | None:
+    """Models of equal ones draw the same rows for a tree; None draws nothing."""
+    return (growth.seed, growth.bootstrap, growth.bootstrap or growth.share) if growth.bootstrap or growth.share < 1 else None
+
+
+def _tasks(models: dict[str, Growth]) -> list[tuple[dict[str, Growth], int, int]]:
+    """(models, first tree, trees) of every task: a boosted model each, the longest first, and chunks of the trees of all forests of a draw."""
+    boosted = sorted((m for m, g in models.items() if g.rate is not None), key=lambda m: -models[m].trees)
+    out = [({m: models[m]}, 0, models[m].trees) for m in boosted]
+    shared: dict[object, dict[str, Growth]] = {}
     for name, growth in models.items():
-        step = growth.trees if growth.rate is not None else TREES_IN_TASK
-        out += [(name, first, min(step, growth.trees - first)) for first in range(0, growth.trees, max(step, 1))]
+        if growth.rate is None:
+            shared.setdefault(_draw_of(growth) or name, {})[name] = growth
+    for some in shared.values():
+        most = max(g.trees for g in some.values())
+        for first in range(0, most, TREES_OF_GROUPS):
+            out.append(({m: g for m, g in some.items() if g.trees > first}, first, min(TREES_OF_GROUPS, most - first)))
     return out
 
 
-def _by_chunk(blocks: DataFrame, models: dict[str, Growth]) -> DataFrame:
-    """The blocks once per chunk of trees, dealt so that every chunk can be a task."""
-    chunks = _chunks(models)
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(f).alias("first"), F.lit(n).alias("count")) for m, f, n in chunks]))
-    return blocks.select("*", each.alias("c")).select("rows", "x", "y", "id", "part", "c.*").repartition(len(chunks), "model", "first").groupBy("model", "first")
+_WORK = "task int, tree int, draw int, place long, a binary, b binary, c binary, d binary"
 
 
-def grow_in_tasks(blocks: DataFrame, growth: Growth) -> DataFrame:
-    """The trees of one model from blocks that fit a task, written; all rows of part 0 are learned from."""
+def _drawn(groups: Groups, draws: list[tuple[Growth, int]]) -> DataFrame:
+    """(tree, draw, place, a, b, c, d): per tree and range of groups, from `place` on, the drawn rows, their weights, and their
+    weighted distances from the group's mean label and squares of these.
 
-    def run(rows: pa.Table) -> pa.Table:
-        x, y, ids, parts = unpacked_rows(rows)
-        found = [packed_tree(t, a) for t, a in _grown_trees(x, y, ids, parts == 0, growth, rows["first"][0].as_py(), rows["count"][0].as_py())]
-        return pa.table([pa.array(c, pa.int64() if i == 0 else pa.binary()) for i, c in enumerate(zip(*found))], [c.split()[0] for c in TREE.split(", ")])
+    `draws` has a growth that draws so and a number of trees. A group of many rows is dealt to several tasks.
+    """
+    deals = groups.learned // ROWS_IN_DEAL + 1
+    width = groups.count // deals + 1
+    at = F.floor(F.col("g") / width) + F.pmod("id", F.floor(F.col("n") / ROWS_IN_DEAL) + 1)
+    dealt = groups.rows.select("g", "id", "gap", F.pmod(at, F.lit(deals)).cast("int").alias("deal")).repartitionById(deals, "deal")
 
-    return materialize(_by_chunk(blocks, {"m": growth}).applyInArrow(run, TREE))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [b for b in batches if b.num_rows]
+        if not own:
+            return
+        g, ids, gap = (np.concatenate([b[c].to_numpy(zero_copy_only=False) for b in own]) for c in ("g", "id", "gap"))
+        order = np.lexsort((gap, ids, g))
+        g, ids, gap = g[order], ids[order].view(np.uint64), gap[order]
+        ranges, begin = np.unique(g // width, return_index=True)
+        ends = np.append(begin[1:], len(g))
+        for draw, (growth, trees) in enumerate(draws):
+            for tree in range(trees):
+                w = row_weights(growth, tree, ids)
+                n, s = w > 0, w * gap
+                found = []
+                for r, one, end in zip(ranges.tolist(), begin, ends):
+                    part, size = g[one:end] - r * width, width
+                    sums = [np.bincount(part, v[one:end], size) for v in (n, w, s, s * gap)]
+                    found.append((tree, draw, r * width, *[v.astype(t).tobytes() for v, t in zip(sums, (np.int32, np.int32, np.float64, np.float64))]))
+                types = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], ["tree", "draw", "place", "a", "b", "c", "d"])
+
+    return dealt.mapInArrow(run, _WORK.removeprefix("task int, "))
+
+
+def _packed_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            cells = [batch["g"], *[batch[c].flatten() for c in ("x", "told")]]
+            yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in cells], ["a", "b", "c"])
+
+
+def _work(groups: Groups, models: dict[str, Growth], tasks: list[tuple[dict[str, Growth], int, int]]) -> DataFrame:
+    """What each task of `_tasks` reads: all groups first (tree -1), then the draws of its trees in their order."""
+    spark = groups.table.sparkSession
+    numbers = spark.range(len(tasks)).select(F.col("id").cast("int").alias("task"))
+    blocks = groups.table.mapInArrow(_packed_groups, "a binary, b binary, c binary").crossJoin(F.broadcast(numbers))
+    work = blocks.select("task", F.lit(-1).alias("tree"), F.lit(-1).alias("draw"), F.lit(0).cast("long").alias("place"), "a", "b", "c", F.lit(b"").alias("d"))
+    drawn = list(dict.fromkeys(d for d in map(_draw_of, models.values()) if d))
+    if drawn:
+        of = {d: [g for g in models.values() if _draw_of(g) == d] for d in drawn}
+        sums = _drawn(groups, [(of[d][0], max(g.trees for g in of[d])) for d in drawn])
+        wanted = []
+        for task, (some, first, count) in enumerate(tasks):
+            draw = _draw_of(next(iter(some.values())))
+            wanted += [(task, tree, drawn.index(draw)) for tree in range(first, first + count)] if draw else []
+        where = F.broadcast(spark.createDataFrame(wanted, "task int, tree int, draw int"))
+        work = work.unionByName(sums.join(where, ["tree", "draw"]).select(work.columns))
+    return work.repartitionById(len(tasks), "task").sortWithinPartitions("task", "tree", "place")
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(column[i].as_py() for column in batch.columns)
 
 
-def errors_in_tasks(blocks: DataFrame, trials: dict[int, dict[str, Growth]], parts: list[str], outputs: dict[str, list[str]]) -> DataFrame:
+@dataclass
+class Held:
+    """All groups of a table in a task: features, and per part rows, mean labels and squares around them."""
+
+    x: np.ndarray
+    told: np.ndarray
+
+    @staticmethod
+    def of(records: Iterator[tuple]) -> Held:
+        blocks = list(records)
+        g, x, told = (np.frombuffer(b"".join(r[k] for r in blocks), t) for k, t in ((4, np.int64), (5, np.float64), (6, np.float64)))
+        order = np.argsort(g)
+        return Held(x.reshape(len(g), -1)[order], told.reshape(len(g), -1, 3)[order])
+
+    def drawn(self, records: Iterator[tuple]) -> list[np.ndarray]:
+        out = [np.zeros(len(self.x)) for _ in range(4)]
+        for record in records:
+            for whole, data, kind in zip(out, record[4:], (np.int32, np.int32, np.float64, np.float64)):
+                own = whole[record[3] :][: len(data) // np.dtype(kind).itemsize]
+                own += np.frombuffer(data, kind)[: len(own)]
+        return out
+
+
+def _grown_models(held: Held, models: dict[str, Growth], first: int, count: int, base: float, records: Iterator[tuple]) -> Iterator[tuple[str, int, tuple]]:
+    """(model, tree, arrays) of a task's trees from groups; boosted ones in turn, each on what the ones before it leave."""
+    own = held.told[:, 0, 0] > 0
+    x, (all_rows, mean, square) = held.x[own], held.told[own, 0].T
+    bounds = {growth.max_bins for growth in models.values()}
+    values = {b: values_in_task(x, b, all_rows) for b in bounds}
+    bins = {b: v.bins(x) for b, v in values.items()}
+    draws = groupby(records, key=lambda r: r[1])
+    left = {name: mean - base for name in models}
+    for tree in range(first, first + count):
+        n, w, s, q = all_rows, all_rows, np.zeros(len(x)), square
+        if len(x) and _draw_of(next(iter(models.values()))):
+            n, w, s, q = (v[own] for v in held.drawn(next(draws)[1]))
+        for name, growth in models.items():
+            if tree >= growth.trees:
+                continue
+            y, b = left[name], growth.max_bins
+            arrays = grow_groups(bins[b], values[b], n, w, s + w * y, q + y * (2 * s + w * y), growth, tree, root_uid(growth, tree))
+            if growth.rate is not None:
+                arrays = (*arrays[:3], arrays[3] * growth.rate, arrays[4])
+                left[name] = y - tree_values(arrays, x)
+            yield name, tree, arrays
+
+
+def grow_in_tasks(groups: Groups, growth: Growth) -> DataFrame:
+    """The trees of one model from groups that fit a task, written."""
+    models, base = {"m": growth}, groups.base
+    tasks = _tasks(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task, records in groupby(_records(batches), key=lambda r: r[0]):
+            some, first, count = tasks[task]
+            rest = groupby(records, key=lambda r: r[1] < 0)
+            held = Held.of(next(rest)[1])
+            draws = next(rest, (False, iter(())))[1]
+            for _, tree, arrays in _grown_models(held, some, first, count, base, draws):
+                cells = packed_tree(tree, arrays)
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64() if i == 0 else pa.binary()) for i, c in enumerate(cells)], [c.split()[0] for c in TREE.split(", ")])
+
+    return materialize(_work(groups, models, tasks).mapInArrow(run, TREE))
+
+
+def errors_in_tasks(groups: Groups, trials: dict[int, dict[str, Growth]], parts: list[str], outputs: dict[str, list[str]]) -> DataFrame:
     """(trial, output, part, rows, squares): squared errors per part of the means of members, for every trial, in one job.
 
     `trials` maps a trial to its members; `outputs` maps an output to the members whose mean it is. Part 0 is learned from.
-    Each task grows a chunk of trees and sums up what they say of all rows; no tree leaves its task.
+    Each task grows its trees and sums up what they say of all groups; no tree leaves its task.
     """
     models = {f"{trial}:{member}": growth for trial, members in trials.items() for member, growth in members.items()}
-
-    def say(rows: pa.Table) -> pa.Table:
-        x, y, ids, part = unpacked_rows(rows)
-        name, first = rows["model"][0].as_py(), rows["first"][0].as_py()
-        growth, total = models[name], np.zeros(len(y))
-        for _, arrays in _grown_trees(x, y, ids, part == 0, growth, first, rows["count"][0].as_py()):
-            total += tree_values(arrays, x)
-        trial, _, member = name.partition(":")
-        columns = [[int(trial)], [member], [first], [total.tobytes()], [y.tobytes()], [part.tobytes()]]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * 3))], ["trial", "member", "first", "sums", "y", "part"])
+    base, tasks = groups.base, _tasks(models)
+
+    def say(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task, records in groupby(_records(batches), key=lambda r: r[0]):
+            some, first, count = tasks[task]
+            rest = groupby(records, key=lambda r: r[1] < 0)
+            held = Held.of(next(rest)[1])
+            draws = next(rest, (False, iter(())))[1]
+            totals = {name: np.zeros(len(held.x)) for name in some}
+            for name, _, arrays in _grown_models(held, some, first, count, base, draws):
+                totals[name] += tree_values(arrays, held.x)
+            for name, total in totals.items():
+                trial, _, member = name.partition(":")
+                cells = [[int(trial)], [member], [first], [total.tobytes()], [held.told.tobytes() if first == 0 else b""]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()))], ["trial", "member", "first", "sums", "told"])
 
     def judge(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("member", "ascending"), ("first", "ascending")])
         trial = rows["trial"][0].as_py()
-        y, part = np.frombuffer(rows["y"][0].as_py(), np.float64), np.frombuffer(rows["part"][0].as_py(), np.int8)
+        told = np.frombuffer(next(t.as_py() for t, f in zip(rows["told"], rows["first"]) if f.as_py() == 0), np.float64).reshape(-1, len(parts), 3)
         said = {}
         for member, growth in trials[trial].items():
             total = sum(np.frombuffer(s.as_py(), np.float64) for m, s in zip(rows["member"], rows["sums"]) if m.as_py() == member)
-            base = y[part == 0].mean() if (part == 0).any() else 0.0
             said[member] = base + (total / growth.trees if growth.rate is None else total)
         out = []
         for output, members in outputs.items():
-            gap = sum(said[m] for m in members) / len(members) - y
-            out += [(trial, output, p, int((part == i).sum()), float((gap[part == i] ** 2).sum())) for i, p in enumerate(parts) if (part == i).any()]
+            mean = sum(said[m] for m in members) / len(members)
+            for i, part in enumerate(parts):
+                n, label, square = told[told[:, i, 0] > 0, i].T
+                gap = mean[told[:, i, 0] > 0] - label
+                out += [(trial, output, part, int(n.sum()), float((square + n * gap**2).sum()))] if len(n) else []
         kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["trial", "output", "part", "rows", "squares"])
 
-    sums = _by_chunk(blocks, models).applyInArrow(say, "trial long, member string, first long, sums binary, y binary, part binary")
+    sums = _work(groups, models, tasks).mapInArrow(say, "trial long, member string, first long, sums binary, told binary")
     return sums.groupBy("trial").applyInArrow(judge, "trial long, output string, part string, rows long, squares double")
 
 
@@ -655,7 +822,21 @@ class Trees:
     prediction: str = "prediction"
 
     def transform(self, rows: DataFrame) -> DataFrame:
-        """`rows` (features, ...) with the prediction; trees are broadcast `SCORED_BYTES` at a time."""
+        """`rows` (features, ...) with the prediction. Where few feature vectors repeat, each is scored once.
+
+        The rows are read several times, so they have to be the same each time, as those of a written table are.
+        """
+        one = rows.select("features").first()
+        if one is None or not small_enough(rows, one["features"].size):
+            return self._scored(rows.withColumn("__x", vector_to_array("features"))).drop("__x")
+        x = vector_to_array("features")
+        vectors = materialize(self._scored(materialize(rows.select(x.alias("__x")).distinct())))
+        changed = F.raise_error(F.lit("the rows changed while they were scored")).cast("double")
+        found = rows.withColumn("__x", x).join(F.broadcast(vectors.withColumnRenamed(self.prediction, "__p")), "__x", "left")
+        return found.withColumn(self.prediction, F.coalesce("__p", changed)).drop("__x", "__p")
+
+    def _scored(self, rows: DataFrame) -> DataFrame:
+        """`rows` (__x, ...) with the prediction; trees are broadcast `SCORED_BYTES` at a time."""
         total, first = F.lit(0.0), True
         for chunk in _tree_chunks(self.table):
             if not first:
@@ -706,7 +887,7 @@ def _said(rows: DataFrame, trees: list[tuple]):
     def say(x: pd.Series) -> pd.Series:
         return pd.Series(_said_so_far(shared.value, np.stack(x.to_numpy())) if len(x) else np.empty(0))
 
-    return say(vector_to_array("features"))
+    return say(F.col("__x"))
 
 
 def fit_trees(growth: Growth, train: DataFrame, prediction: str = "prediction") -> Trees:
@@ -715,11 +896,13 @@ def fit_trees(growth: Growth, train: DataFrame, prediction: str = "prediction")
     if one is None:
         raise ValueError("no rows to learn from")
     features = one["features"].size
+    if small_enough(train, features):
+        groups = Groups.of(train)
+        trees, base = grow_in_tasks(groups, growth), groups.base
+        drop_table(groups.table)
+        return Trees(trees, growth, float(base), prediction)
     blocks = packed_rows(train)
     base = blocks.mapInArrow(_label_sums, "rows long, total double").agg((F.sum("total") / F.sum("rows")).alias("m")).first()["m"]
-    if small_enough(blocks, features):
-        trees = grow_in_tasks(blocks, growth)
-    else:
-        trees = grow_by_levels(blocks, train.select(vector_to_array("features").alias("x")), growth, features)
+    trees = grow_by_levels(blocks, train.select(vector_to_array("features").alias("x")), growth, features)
     drop_table(blocks)
     return Trees(trees, growth, float(base), prediction)
