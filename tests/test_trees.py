@@ -223,3 +223,9 @@ def test_vectors_are_scored_once(repeated, monkeypatch):
     plain = G.Trees._scored
     monkeypatch.setattr(G.Trees, "_scored", lambda self, rows: scored.append(rows.count()) or plain(self, rows))
     assert model.transform(repeated).count() == 600 and scored == [repeated.select("features").toPandas()["features"].map(str).nunique()]
+
+
+def test_a_model_of_missing_labels_says_nothing(repeated):
+    unknown = repeated.withColumn("label", F.when(F.col("k") != 3, F.col("label")))
+    said = M.fit(GROWTHS[0], unknown).transform(repeated)
+    assert said.where("prediction IS NULL").count() == 600

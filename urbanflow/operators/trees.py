@@ -832,8 +832,9 @@ class Trees:
         x = vector_to_array("features")
         vectors = materialize(self._scored(materialize(rows.select(x.alias("__x")).distinct())))
         changed = F.raise_error(F.lit("the rows changed while they were scored")).cast("double")
-        found = rows.withColumn("__x", x).join(F.broadcast(vectors.withColumnRenamed(self.prediction, "__p")), "__x", "left")
-        return found.withColumn(self.prediction, F.coalesce("__p", changed)).drop("__x", "__p")
+        known = vectors.withColumnRenamed(self.prediction, "__p").withColumn("__known", F.lit(True))
+        found = rows.withColumn("__x", x).join(F.broadcast(known), "__x", "left")
+        return found.withColumn(self.prediction, F.when(F.col("__known"), F.col("__p")).otherwise(changed)).drop("__x", "__p", "__known")
 
     def _scored(self, rows: DataFrame) -> DataFrame:
         """`rows` (__x, ...) with the prediction; trees are broadcast `SCORED_BYTES` at a time."""
