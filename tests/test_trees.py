@@ -229,3 +229,25 @@ def test_a_model_of_missing_labels_says_nothing(repeated):
     unknown = repeated.withColumn("label", F.when(F.col("k") != 3, F.col("label")))
     said = M.fit(GROWTHS[0], unknown).transform(repeated)
     assert said.where("prediction IS NULL").count() == 600
+
+
+def test_trees_that_differ_only_in_where_they_end_are_grown_once(monkeypatch):
+    """Of random limits, each model says what a tree of its own says; before, every model grew its own."""
+    draws = np.random.default_rng(3)
+    x = np.unique(draws.integers(0, 6, (400, 4)).astype(float), axis=0)
+    label = x[:, 0] * x[:, 1] - x[:, 2] + draws.normal(size=len(x))
+    rows = draws.integers(1, 5, len(x)).astype(float)
+    held = G.Held(x, np.stack([rows, label, rows * 0.1], axis=1)[:, None, :])
+    limits = [(None, 2, 1, None), (3, 2, 1, None), (None, 12, 1, 1.0), (6, 30, 1, 4 / 4), (0, 2, 1, None), (None, 2, 3, None), (5, 2, 1, 0.5)]
+    models = {str(i): G.Growth(trees=2, depth=d, least_split=s, least_leaf=leaf, columns=c) for i, (d, s, leaf, c) in enumerate(limits)}
+    values = G.values_in_task(x, G.MAX_BINS, rows)
+    grow, calls = G.grow_groups, []
+    monkeypatch.setattr(G, "grow_groups", lambda *a: calls.append(a) or grow(*a))
+    said = {(name, tree): G.ended_values(arrays, models[name])[G.tree_leaves(arrays, x)]
+            for names, tree, arrays in G._grown_models(held, models, 0, 2, 0.5, iter(())) for name in names}
+    assert len(calls) == 2 * 3  # five models grow alike
+    assert set(said) == {(name, tree) for name in models for tree in range(2)}
+    y = label - 0.5
+    for (name, tree), found in said.items():
+        own = grow(values.bins(x), values, rows, rows, rows * y, rows * (y * y + 0.1), models[name], tree, G.root_uid(models[name], tree))
+        assert np.allclose(found, G.tree_values(own, x), rtol=0, atol=1e-9), name

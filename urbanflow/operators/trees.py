@@ -16,7 +16,7 @@ tree. A leaf has the value sum / (weight + penalty). Thresholds lie halfway betw
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import groupby
 
 import numpy as np
@@ -184,16 +184,22 @@ class Totals:
         return enough & differ & (growth.depth is None or depth < growth.depth)
 
 
-def take_best(best: Splits, nodes: np.ndarray, feature: np.ndarray, hist: tuple[np.ndarray, ...], totals: Totals, values: Values, growth: Growth) -> None:
-    """Improve the splits of `nodes`, each tried on a row of `feature`, by their histograms (rows, weights, sums), one after the other."""
+def take_best(
+    best: Splits, nodes: np.ndarray, feature: np.ndarray, hist: tuple[np.ndarray, ...], totals: Totals, values: Values, growth: Growth, there: np.ndarray | None = None
+) -> None:
+    """Improve the splits of `nodes`, each tried on a row of `feature`, by their histograms (rows, weights, sums), one after the other.
+
+    `there` has the cells that the histograms are of, in ascending order, if they are not of all.
+    """
     count, weight, total = hist
+    if there is None:
+        # Only values that a node has: of many small nodes, most have few.
+        there = np.flatnonzero(count)
+        count, weight, total = count[there], weight[there], total[there]
     tries = feature.shape[1]
     feature, nodes = feature.ravel(), np.repeat(nodes, tries)
     begin = np.cumsum(values.size[feature]) - values.size[feature]
-    # Only values that a node has: of many small nodes, most have few.
-    there = np.flatnonzero(count)
     start = np.searchsorted(there, begin)
-    count, weight, total = count[there], weight[there], total[there]
     node = np.repeat(np.arange(len(nodes)), np.diff(np.append(start, len(there))))
 
     def up_to(x: np.ndarray) -> np.ndarray:
@@ -264,18 +270,20 @@ def grow_groups(
 ) -> tuple[np.ndarray, ...]:
     """The same from groups of rows of equal features: per group its rows, and their weights, weighted labels and squares added up."""
     rows = np.flatnonzero(n > 0)
-    bins, n, w, wy, wyy = bins[rows], n[rows], w[rows], wy[rows], wyy[rows]
+    columns, height, n, w, wy, wyy = bins[rows].T.ravel(), len(rows), n[rows], w[rows], wy[rows], wyy[rows]
     allowed = tree_features(growth, tree, bins.shape[1])
     tried = columns_per_node(growth, len(allowed))
-    single, weighted = bool((n == 1).all()), bool((w != n).any())
+    single, weighted, rows = bool((n == 1).all()), bool((w != n).any()), np.arange(height)
     at, uids, out, numbered = np.zeros(len(rows), np.int64), np.array([uid], np.uint64), Grown(), 1
     while len(uids):
         totals = node_totals(at, n, w, wy, wyy, len(uids))
         best, can = Splits.none(len(uids)), totals.splittable(growth, depth)
+        # Rows of one group alone have the same features, so no further column tells them apart.
+        several = np.bincount(at, minlength=len(uids)) > 1
         if can.any():
             order, slot = drawn_order(uids, allowed), 0
             while slot < len(allowed):
-                nodes = np.flatnonzero(can if slot < tried else can & ~np.isfinite(best.gain))
+                nodes = np.flatnonzero(can if slot < tried else can & several & ~np.isfinite(best.gain))
                 if not len(nodes):
                     break
                 tries = min(tried - slot, max(1, AT_ONCE // max(len(at), 1))) if slot < tried else 1
@@ -285,34 +293,80 @@ def grow_groups(
                 mine, feature = place[at[here]], order[nodes, slot : slot + tries]
                 size = values.size[feature]
                 start = (np.cumsum(size) - size.ravel()).reshape(size.shape)
-                cell = (start[mine] + bins[here[:, None], feature[mine]]).ravel()
-                cells = int(size.sum())
-                count = np.bincount(cell, None if single else np.repeat(n[here], tries), cells)
-                total = np.bincount(cell, np.repeat(wy[here], tries), cells)
-                weight = np.bincount(cell, np.repeat(w[here], tries), cells) if weighted else count
-                take_best(best, nodes, feature, (count, weight, total), totals, values, growth)
+                own, cells = rows[here], int(size.sum())
+                cell = np.empty((feature.shape[1], len(here)), np.int64)
+                for slot_cell, first, column in zip(cell, start.T, feature.T * height):
+                    np.add(first[mine], columns[column[mine] + own], out=slot_cell)
+                cell, there = cell.ravel(), None
+                if cells > 2 * len(cell):
+                    cell, there = _numbered(cell, cells)
+                    cells = len(there)
+                count = np.bincount(cell, None if single else np.tile(n[here], feature.shape[1]), cells)
+                total = np.bincount(cell, np.tile(wy[here], feature.shape[1]), cells)
+                weight = np.bincount(cell, np.tile(w[here], feature.shape[1]), cells) if weighted else count
+                take_best(best, nodes, feature, (count, weight, total), totals, values, growth, there)
                 slot += tries
         split = out.level(best, totals, growth, numbered)
         numbered += 2 * len(split)
         rank = np.full(len(uids), -1)
         rank[split] = np.arange(len(split))
         stay = rank[at] >= 0
-        at, bins, n, w, wy, wyy = at[stay], bins[stay], n[stay], w[stay], wy[stay], wyy[stay]
-        right = bins[np.arange(len(at)), best.feature[at]] > best.last[at]
+        at, rows, n, w, wy, wyy = at[stay], rows[stay], n[stay], w[stay], wy[stay], wyy[stay]
+        right = columns[best.feature[at] * height + rows] > best.last[at]
         at = 2 * rank[at] + right
         uids, depth = child_uids(uids[split]), depth + 1
     return out.arrays()
 
 
-def tree_values(tree: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
-    feature, threshold, left, value = tree[:4]
+def _numbered(cell: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cells' numbers among those that occur, and these in ascending order."""
+    there = np.zeros(cells, bool)
+    there[cell] = True
+    there = np.flatnonzero(there)
+    number = np.empty(cells, np.int32)
+    number[there] = np.arange(len(there), dtype=np.int32)
+    return number[cell], there
+
+
+def tree_leaves(tree: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    """The leaf that each row reaches."""
+    feature, threshold, left = tree[:3]
     node = np.zeros(len(x), np.int64)
     inside = np.flatnonzero(feature[node] >= 0)
     while len(inside):
         at = node[inside]
         node[inside] = left[at] + (x[inside, feature[at]] > threshold[at])
         inside = inside[feature[node[inside]] >= 0]
-    return value[node]
+    return node
+
+
+def tree_values(tree: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    return tree[3][tree_leaves(tree, x)]
+
+
+def _alike(growth: Growth, features: int) -> Growth:
+    """Growths of which this is equal grow the same trees, but for where the depth and the rows to split end them."""
+    columns = columns_per_node(growth, len(tree_features(growth, 0, features)))
+    return replace(growth, trees=1, depth=None, least_split=0, columns=columns / max(features, 1))
+
+
+def _farthest(growths: list[Growth]) -> Growth:
+    """Of growths that are alike, the one whose trees hold those of all."""
+    depths = [g.depth for g in growths]
+    return replace(growths[0], depth=None if None in depths else max(depths), least_split=min(g.least_split for g in growths))
+
+
+def ended_values(tree: tuple[np.ndarray, ...], growth: Growth) -> np.ndarray:
+    """What `growth` says at each node of a tree that was grown farther: below a node that it does not split, the value of that node."""
+    feature, _, left, value, rows = tree
+    said, ended, begin, end, depth = value.copy(), rows < growth.least_split, 0, 1, 0
+    while begin < end:
+        inner = begin + np.flatnonzero(feature[begin:end] >= 0)
+        ends = inner[ended[inner]] if growth.depth is None or depth < growth.depth else inner
+        for child in (left[ends], left[ends] + 1):
+            said[child], ended[child] = said[ends], True
+        begin, end, depth = end, end + 2 * len(inner), depth + 1
+    return said
 
 
 def root_uid(growth: Growth, tree: int) -> np.uint64:
@@ -508,28 +562,36 @@ class Held:
         return out
 
 
-def _grown_models(held: Held, models: dict[str, Growth], first: int, count: int, base: float, records: Iterator[tuple]) -> Iterator[tuple[str, int, tuple]]:
-    """(model, tree, arrays) of a task's trees from groups; boosted ones in turn, each on what the ones before it leave."""
+def _grown_models(held: Held, models: dict[str, Growth], first: int, count: int, base: float, records: Iterator[tuple]) -> Iterator[tuple[list[str], int, tuple]]:
+    """(models, tree, arrays) of a task's trees from groups; boosted ones in turn, each on what the ones before it leave.
+
+    Trees that differ only in where they end are grown once, as far as any of their models goes (see `ended_values`).
+    """
     own = held.told[:, 0, 0] > 0
     x, (all_rows, mean, square) = held.x[own], held.told[own, 0].T
     bounds = {growth.max_bins for growth in models.values()}
     values = {b: values_in_task(x, b, all_rows) for b in bounds}
     bins = {b: v.bins(x) for b, v in values.items()}
     draws = groupby(records, key=lambda r: r[1])
-    left = {name: mean - base for name in models}
+    alike: dict[Growth, list[str]] = {}
+    for name, growth in models.items():
+        alike.setdefault(_alike(growth, x.shape[1]), []).append(name)
+    y = mean - base
     for tree in range(first, first + count):
         n, w, s, q = all_rows, all_rows, np.zeros(len(x)), square
         if len(x) and _draw_of(next(iter(models.values()))):
             n, w, s, q = (v[own] for v in held.drawn(next(draws)[1]))
-        for name, growth in models.items():
-            if tree >= growth.trees:
+        for some in alike.values():
+            names = [name for name in some if tree < models[name].trees]
+            if not names:
                 continue
-            y, b = left[name], growth.max_bins
+            growth = _farthest([models[name] for name in names])
+            b = growth.max_bins
             arrays = grow_groups(bins[b], values[b], n, w, s + w * y, q + y * (2 * s + w * y), growth, tree, root_uid(growth, tree))
             if growth.rate is not None:
                 arrays = (*arrays[:3], arrays[3] * growth.rate, arrays[4])
-                left[name] = y - tree_values(arrays, x)
-            yield name, tree, arrays
+                y = y - tree_values(arrays, x)
+            yield names, tree, arrays
 
 
 def grow_in_tasks(groups: Groups, growth: Growth) -> DataFrame:
@@ -554,7 +616,7 @@ def errors_in_tasks(groups: Groups, trials: dict[int, dict[str, Growth]], parts:
     """(trial, output, part, rows, squares): squared errors per part of the means of members, for every trial, in one job.
 
     `trials` maps a trial to its members; `outputs` maps an output to the members whose mean it is. Part 0 is learned from.
-    Each task grows its trees and sums up what they say of all groups; no tree leaves its task.
+    Each task grows its trees and sums up what they say of all groups; no tree leaves its task. A boosted model has a task of its own.
     """
     models = {f"{trial}:{member}": growth for trial, members in trials.items() for member, growth in members.items()}
     base, tasks = groups.base, _tasks(models)
@@ -566,8 +628,10 @@ def errors_in_tasks(groups: Groups, trials: dict[int, dict[str, Growth]], parts:
             held = Held.of(next(rest)[1])
             draws = next(rest, (False, iter(())))[1]
             totals = {name: np.zeros(len(held.x)) for name in some}
-            for name, _, arrays in _grown_models(held, some, first, count, base, draws):
-                totals[name] += tree_values(arrays, held.x)
+            for names, _, arrays in _grown_models(held, some, first, count, base, draws):
+                leaves = tree_leaves(arrays, held.x)
+                for name in names:
+                    totals[name] += ended_values(arrays, some[name])[leaves]
             for name, total in totals.items():
                 trial, _, member = name.partition(":")
                 cells = [[int(trial)], [member], [first], [total.tobytes()], [held.told.tobytes() if first == 0 else b""]]
