@@ -19,10 +19,10 @@ from urbanflow.llm.texts import total_bytes
 BLOCK_BYTES, PART_BYTES = 4 << 20, 8 << 20
 
 
-def in_blocks(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int, int]:
-    """`docs` dealt into blocks with the column `block`, the number of blocks and that of the parts of tables."""
+def in_blocks(docs: DataFrame, text: str = "text", times: int = 1) -> tuple[DataFrame, int, int]:
+    """`docs` dealt into blocks, `times` as large as usual, with the column `block`, the number of blocks and that of the parts of tables."""
     size = total_bytes(docs, text)
-    blocks, parts = size // BLOCK_BYTES + 1, size // PART_BYTES + 1
+    blocks, parts = size // (times * BLOCK_BYTES) + 1, size // PART_BYTES + 1
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)))
     return dealt.repartition(blocks, "block"), blocks, parts
 
