@@ -497,3 +497,11 @@ def test_keys_of_ngrams_are_coded_below_their_eight_bytes():
     assert taken < 6.6 * len(keys)
     for some in (keys[:1], keys[-1:]):
         assert np.array_equal(backoff.decoded(backoff.coded(some)), some)
+
+
+def test_packed_texts_come_back(spark):
+    """Before, blocks were sent with plain texts."""
+    texts = [None, "", "é漢 \n", "word " * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = backoff.zipped(docs).toArrow().sort_by("doc_id")
+    assert backoff.unzipped(found["text"]) == texts and len(found["text"][3].as_py()) < 1000

@@ -12,6 +12,8 @@ documents; a block of documents gets the counts of just the n-grams in its own t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanflow.llm.blocks import in_blocks, packed, unpacked
+from urbanflow.llm.texts import sliced
 
 ORDER, PRIOR = 3, 64.0
 # Blocks are so many times as large as usual: a larger one repeats more of its own n-grams, so it asks for fewer.
@@ -59,6 +62,23 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[new], order[new], numbers
 
 
+def zipped(docs: DataFrame) -> DataFrame:
+    """The rows with each text packed, its length first; NULL stays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            plain = [t if t is None else t.encode() for t in batch["text"].to_pylist()]
+            texts = [t if t is None else len(t).to_bytes(8, "little") + pa.compress(t, "zstd", asbytes=True) for t in plain]
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.binary()))
+
+    kinds = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema.fields]
+    return docs.mapInArrow(run, ", ".join(kinds))
+
+
+def unzipped(texts: pa.ChunkedArray) -> list[str | None]:
+    return [t if t is None else pa.decompress(t[8:], int.from_bytes(t[:8], "little"), "zstd", asbytes=True).decode() for t in texts.to_pylist()]
+
+
 def by_range(keys: np.ndarray, parts: int) -> list[tuple[int, slice]]:
     """(part, places of its keys) for ascending hashes, empty parts left out. A part is a range, so that its keys lie close."""
     part = ((keys >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
@@ -122,7 +142,7 @@ class Grams:
 
 def request(rows: pa.Table, order: int, parts: int) -> pa.Table:
     """(part, block, length, keys, counts) of a block: its n-grams with their counts in its training documents."""
-    grams = Grams(rows["text"].to_pylist(), order)
+    grams = Grams(unzipped(rows["text"]), order)
     training = np.repeat(~np.array(rows["held_out"].to_pylist(), bool), np.diff(grams.begins))
     out: list[list] = [[], [], [], [], []]
     block = rows["block"][0].as_py()
@@ -216,7 +236,7 @@ class Automaton:
 
 def score_block(rows: pa.Table, answers: pa.Table, order: int, parts: int, prior: float) -> pa.Table:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of a block's documents."""
-    grams = Grams(rows["text"].to_pylist(), order)
+    grams = Grams(unzipped(rows["text"]), order)
     totals = [np.zeros(len(k), np.int64) for k in grams.keys]
     given = {(r["length"], r["part"]): r["totals"] for r in answers.select(["length", "part", "totals"]).to_pylist()}
     for length, keys in enumerate(grams.keys):
@@ -250,7 +270,7 @@ def scores(docs: DataFrame, order: int = ORDER, prior: float = PRIOR) -> DataFra
     """
     if order < 2:
         raise ValueError("a backoff model has at least two words")
-    rows, _, parts = in_blocks(docs.select("doc_id", "text", held_out().alias("held_out")), times=TIMES)
+    rows, _, parts = in_blocks(docs.select("doc_id", "text", held_out().alias("held_out")), times=TIMES, pack=zipped)
     asked = rows.groupBy("block").applyInArrow(
         lambda t: request(t, order, parts), "part long, block long, length int, keys binary, counts binary"
     )

@@ -9,6 +9,8 @@ computed again after an executor was lost asks for the same keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,12 +21,15 @@ from urbanflow.llm.texts import total_bytes
 BLOCK_BYTES, PART_BYTES = 4 << 20, 8 << 20
 
 
-def in_blocks(docs: DataFrame, text: str = "text", times: int = 1) -> tuple[DataFrame, int, int]:
-    """`docs` dealt into blocks, `times` as large as usual, with the column `block`, the number of blocks and that of the parts of tables."""
+def in_blocks(docs: DataFrame, text: str = "text", times: int = 1, pack: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, int, int]:
+    """`docs` dealt into blocks, `times` as large as usual, with the column `block`, the number of blocks and that of the parts of tables.
+
+    `pack` is what is done to the rows before they are sent.
+    """
     size = total_bytes(docs, text)
     blocks, parts = size // (times * BLOCK_BYTES) + 1, size // PART_BYTES + 1
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)))
-    return dealt.repartition(blocks, "block"), blocks, parts
+    return (pack(dealt) if pack else dealt).repartition(blocks, "block"), blocks, parts
 
 
 def by_part(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
