@@ -11,6 +11,7 @@ from urbanflow.operators import models as M
 from urbanflow.operators import search as R
 from urbanflow.plans.exploration import cluster_rows
 from urbanflow.plans.modelling import baseline_tree, model_table, tuned
+from urbanflow.session import materialize
 from urbanflow.workload import learning
 
 
@@ -129,6 +130,43 @@ def test_elbow(blobs):
     assert curve[1] > 3 * curve[2] and curve[2] > curve[4]
 
 
+def _curve(df, **options):
+    return [(r["k"], r["inertia"]) for r in K.kmeans_elbow(df, df.columns, range(1, 6), **options).collect()]
+
+
+def test_elbow_of_a_large_table_moves_all_centers_together(spark, monkeypatch):
+    """MLlib chooses the first centres only, and its curve stays as it is. One file: its choice depends on the order of the rows."""
+    rows = materialize(spark.range(0, 1500, 1, 1).select((F.rand(5) * 9).alias("x"), (F.rand(6) * 4).alias("y.1"), F.randn(7).alias("z")))
+    expected, asked, fit = _curve(rows, max_iter=30), [], K._fit
+    monkeypatch.setattr(K, "_fit", lambda points, k, seed, max_iter: asked.append((k, max_iter)) or fit(points, k, seed, max_iter))
+    monkeypatch.setattr(K, "LARGE", 0)
+    monkeypatch.setattr(K, "FIRST_ASIDE", 3)
+    found = _curve(rows, max_iter=30)
+    assert asked == [(k, 0) for k in range(2, 6)]
+    assert [k for k, _ in found] == [1, 2, 3, 4, 5]
+    assert [i for _, i in found] == pytest.approx([i for _, i in expected], rel=1e-6)
+
+
+def test_points_set_aside_change_no_inertia(spark, monkeypatch):
+    """Far from the origin and with many ties; points are handed on in small blocks."""
+    rows = materialize(spark.range(0, 900, 1, 2).select((F.rand(5) * 9 + 1000).alias("x"), F.floor(F.rand(6) * 4).cast("int").alias("y")))
+    starts = {k: np.array([[1000.0 + 2 * j, j % 3] for j in range(k)]) for k in (2, 3, 5)}
+    points, found = rows.select("x", F.col("y").cast("double")), []
+    monkeypatch.setattr(K, "BLOCK", 16)
+    for first in (2, 1000):
+        monkeypatch.setattr(K, "FIRST_ASIDE", first)
+        found.append(K._inertias(points, dict(starts), 25))
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
+
+
+def test_elbow_of_equal_points_on_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(K, "LARGE", 0)
+    same = spark.range(20).select(F.lit(2.0).alias("x"), F.lit(3.0).alias("y"))
+    assert [r["inertia"] for r in K.kmeans_elbow(same, ["x", "y"], range(1, 4)).collect()] == [0, 0, 0]
+    with pytest.raises(Exception, match="missing value in feature y"):
+        K.kmeans_elbow(same.withColumn("y", F.expr("nullif(y, 3)")), ["x", "y"], range(2, 3))
+
+
 def test_clusters_of_rows(blobs):
     found = cluster_rows(blobs, ["x", "y", "z"])
     rows = found.rows.toPandas().sort_values("k")
