@@ -15,6 +15,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -329,6 +331,69 @@ def test_interval_expansion_equals_all_strings(spark, texts, monkeypatch, crowd)
     assert repeats.removal_report(docs.limit(0)).count() == 0
 
 
+def shared_passages(seed=8, texts=120):
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(6)]
+    return [(i, "".join(rng.choice(base)[rng.randint(0, 150) :][: rng.randint(60, 140)] for _ in range(rng.randint(0, 6)))) for i in range(texts)]
+
+
+def removed_in_blocks(rows, parts, crowd, length=50):
+    """What the steps of op8 remove, run on tables here."""
+    zipped = lambda t: len(t).to_bytes(8, "little") + pa.compress(t.encode(), "zstd", asbytes=True)
+    tables = [pa.table({"doc_id": [i for i, _ in r], "text": [zipped(t) for _, t in r], "block": [b] * len(r)}) for b, r in enumerate(rows)]
+    by = lambda t, c, n: [t.filter(pc.equal(t[c], k)) for k in range(n)]
+    asked = pa.concat_tables([repeats.anchors_asked(t, length, parts) for t in tables])
+    totals = pa.concat_tables([repeats.anchors_answered(t, crowd) for t in by(asked, "part", parts) if len(t)])
+    sent = pa.concat_tables([repeats.fragments_asked(t, a, length, parts, crowd) for t, a in zip(tables, by(totals, "block", len(rows)))])
+    owned = pa.concat_tables([repeats.fragments_answered(t, length) for t in by(sent, "part", parts) if len(t)])
+    answers = pa.concat_tables([totals, owned], promote_options="default")
+    out = [repeats.removed_bytes(t, a, length, parts, crowd) for t, a in zip(tables, by(answers, "block", len(rows)))]
+    return asked, {i: (s, e) for t in out for i, s, e in zip(*(t[c].to_pylist() for c in ("doc_id", "starts", "ends")))}
+
+
+def runs_by_brute_force(texts, length=50):
+    owner, runs = {}, {}
+    for i, t in texts:
+        for j in range(len(t) - length + 1):
+            owner[t[j : j + length]] = min(owner.get(t[j : j + length], i), i)
+    for i, t in texts:
+        gone = sorted({k for j in range(len(t) - length + 1) if owner[t[j : j + length]] < i for k in range(j, j + length)})
+        runs[i] = [k for k in gone if k - 1 not in set(gone)], [k + 1 for k in gone if k + 1 not in set(gone)]
+    return runs
+
+
+@pytest.mark.parametrize("crowd", [4096, 5, 0])
+@pytest.mark.parametrize("hashes", ["own", "equal"])
+def test_interval_expansion_by_steps(monkeypatch, crowd, hashes):
+    """In several lots, with crowded anchors, and with contents that have the hash of another one."""
+    texts = shared_passages() + [(500, "z" * 200), (501, "z" * 120), (502, ""), (503, "q" * 49)]
+    rows = [texts[k::4] for k in range(4)]
+    monkeypatch.setattr(repeats, "SEARCH_BYTES", 2000)
+    monkeypatch.setattr(repeats, "RUN_BYTES", 500)
+    if hashes == "equal":
+        monkeypatch.setattr(repeats, "_mixed", lambda x: np.zeros(len(x), np.uint64))
+        data = repeats.Bytes(b"a" * 60 + b"b" * 60 + b"a" * 60 + b"b" * 60 + b"a" * 59 + b"c")
+        digest, first, number = data.distinct(np.arange(5) * 60, np.array([60, 55, 60, 55, 60]), 50)
+        assert first.tolist() == [0, 1, 4] and number.tolist() == [0, 1, 0, 1, 2] and not digest.any()
+    assert removed_in_blocks(rows, 3, crowd)[1] == runs_by_brute_force(texts)
+
+
+def test_interval_expansion_asks_and_searches_in_small_pieces(monkeypatch):
+    """What a part searches at once does not grow with the part, single strings that differ are not searched, and an
+    anchor is asked for in four bytes."""
+    texts = shared_passages(texts=400)
+    rows = [texts[k::4] for k in range(4)]
+    sizes, borders = [], repeats.prefix_borders
+    monkeypatch.setattr(repeats, "prefix_borders", lambda t, depth: sizes.append(len(t)) or borders(t, depth))
+    monkeypatch.setattr(repeats, "SEARCH_BYTES", 2000)
+    asked, few = removed_in_blocks(rows, 2, 4096)
+    assert sum(map(len, asked["keys"].to_pylist())) == 4 * sum(len(c) for c in asked["counts"].to_pylist())
+    assert len(sizes) > 3 and max(sizes) < sum(sizes) / 3
+    sizes.clear()
+    _, single = removed_in_blocks(rows, 2, 0)
+    assert few == single == runs_by_brute_force(texts) and not sizes
+
+
 def test_license_pruning_loses_nothing():
     for text in licenses.TEMPLATES.values():
         form = licenses.bigrams_of(text)
